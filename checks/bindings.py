@@ -332,11 +332,13 @@ CTES = {
         FROM (SELECT DISTINCT order_id, product_id FROM c_order_items) i JOIN c_order_scores s USING (order_id)
         GROUP BY 1""",
     "c_enriched_catalog": """SELECT p.product_id, coalesce(p.product_category_name, 'general') AS category,
-        CAST(round_even(coalesce(CAST(s.total AS DOUBLE) / s.units, 0), 2) AS DOUBLE) AS price,
+        coalesce((s.cents // s.units + CASE WHEN 2 * (s.cents % s.units) > s.units
+        OR (2 * (s.cents % s.units) = s.units AND (s.cents // s.units) % 2 = 1) THEN 1 ELSE 0 END)
+        / 100.0::DOUBLE, 0) AS price,
         coalesce(s.units, 0) AS units, coalesce(r.mean_score, 0) AS rating,
         CAST(p.product_name_lenght AS BIGINT) AS name_length, CAST(p.product_photos_qty AS BIGINT) AS photos_qty,
         p.product_weight_g AS weight_g, p.product_width_cm AS width_cm
-        FROM c_products p LEFT JOIN (SELECT product_id, sum(price) AS total, count(*) AS units
+        FROM c_products p LEFT JOIN (SELECT product_id, CAST(sum(price) * 100 AS BIGINT) AS cents, count(*) AS units
         FROM c_order_items GROUP BY 1) s USING (product_id) LEFT JOIN c_product_ratings r USING (product_id)""",
     "c_revenue_groups": """SELECT o.state, CAST(date_trunc('month', o.purchase_ts) AS TIMESTAMP) AS month,
         CAST(count(*) AS BIGINT) AS total_orders, CAST(sum(o.total_value) AS DOUBLE) AS total_revenue,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storelens.functions.scalars import let
+
 # WGS84 semi-major axis and flattening; mean radius (2a + b) / 3.
 WGS84_A = 6378137.0
 WGS84_F = 1 / 298.257223563
@@ -80,17 +82,13 @@ def geodesic_m(
             F.when(F.abs(cos2_a) < 1e-15, F.lit(0.0)).otherwise(mid).alias("mid"),
         )
 
-    def bind(value: Column, body) -> Column:
-        """Evaluate ``value`` once and use it several times in ``body``."""
-        return F.element_at(F.transform(F.array(value), body), 1)
-
     def next_lambda(lam: Column, e: Column) -> Column:
         def body(a: Column) -> Column:
             c = f / 16 * a["cos2_a"] * (4 + f * (4 - 3 * a["cos2_a"]))
             inner = a["mid"] + c * a["cos_s"] * (2 * a["mid"] * a["mid"] - 1)
             return e["d"] + (1 - c) * f * a["sin_a"] * (a["s"] + c * a["sin_s"] * inner)
 
-        return bind(arc(lam, e), body)
+        return let(arc(lam, e), body)
 
     def length(lam: Column, e: Column) -> Column:
         def body(a: Column) -> Column:
@@ -117,7 +115,7 @@ def geodesic_m(
             )
             return F.lit(WGS84_B) * big_a * (a["s"] - shift)
 
-        return bind(arc(lam, e), body)
+        return let(arc(lam, e), body)
 
     def solve(e: Column) -> Column:
         return F.aggregate(
@@ -127,7 +125,7 @@ def geodesic_m(
             lambda lam: length(lam, e),
         )
 
-    return bind(ends, solve)
+    return let(ends, solve)
 
 
 def nearest(

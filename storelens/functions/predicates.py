@@ -171,7 +171,7 @@ def _contains(doc: Column, wanted) -> Column:
         elements = F.try_variant_get(doc, "$", "array<variant>")
         result = kind.startswith("ARRAY")
         for inner in wanted:
-            result = result & F.exists(elements, lambda e, inner=inner: _contains(e, inner))
+            result = result & _any_contains(elements, inner)
         return F.coalesce(result, F.lit(False))
     if wanted is None:
         return F.coalesce(kind == "VOID", F.lit(False))
@@ -183,3 +183,7 @@ def _contains(doc: Column, wanted) -> Column:
     else:
         same = (kind == "STRING") & (F.try_variant_get(doc, "$", "string") == F.lit(str(wanted)))
     return F.coalesce(same, F.lit(False))
+
+
+def _any_contains(elements: Column, wanted) -> Column:
+    return F.exists(elements, lambda e: _contains(e, wanted))

@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``.
+
+    An expression repeated inside array functions is worked out at each place it stands.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def month_start(df: DataFrame, name: str) -> Column:
     """First instant of the month, in the column's own timestamp type.
 
@@ -144,6 +152,11 @@ def hash_bucket(key: Column, buckets: int) -> Column:
     return folded
 
 
+def exact_mean(total: Column, count: Column, places: int) -> Column:
+    """Mean of exact numbers, rounded half-even once, from a sum and a count."""
+    return F.bround(F.try_divide(total.cast("decimal(38,16)"), count), places)
+
+
 def improvement_percent(before: Column, after: Column) -> Column:
     """Percent saved against ``before``; null if a side is missing or ``before`` is 0."""
     return F.bround(F.try_divide(before - after, before) * 100, 2)

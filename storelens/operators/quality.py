@@ -7,6 +7,7 @@ fills a third of a table reaches the shuffle as one row per task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -80,7 +81,10 @@ def row_violations(df: DataFrame, table: str, key: list[str], rules: list[Rule])
             ]
         )
     )
-    return df.select(_key_text(key).alias("key"), F.inline(broken)).select(
+    # The outer form plus a null test: the plain generator would make Spark test every
+    # rule once more in a filter of its own.
+    found = df.select(_key_text(key).alias("key"), F.inline_outer(broken))
+    return found.filter(F.col("check").isNotNull()).select(
         "check", F.lit(table).alias("tbl"), "key", "detail", F.lit(1).cast("bigint").alias("rows")
     )
 
@@ -365,22 +369,20 @@ def _shape_rules(doc: Column, shape: dict, at: str) -> list[Rule]:
     return rules
 
 
-def _item_rules(item: dict, where: str) -> list:
-    out = []
-    for name in item.get("required", []):
-        out.append(
-            (f"required:{where}[].{name}", lambda e, n=name: _field(e, n).isNotNull())
-        )
-    for name, rule in item.get("fields", {}).items():
-        if "types" in rule:
-            out.append(
-                (
-                    f"type:{where}[].{name}",
-                    lambda e, n=name, t=rule["types"]: _field(e, n).isNull()
-                    | _has_type(_field(e, n), t),
-                )
-            )
-    return out
+def _item_rules(item: dict, where: str) -> list[tuple[str, Callable[[Column], Column]]]:
+    def has(name: str):
+        return lambda e: _field(e, name).isNotNull()
+
+    def typed(name: str, types: list[str]):
+        return lambda e: _field(e, name).isNull() | _has_type(_field(e, name), types)
+
+    required = [(f"required:{where}[].{name}", has(name)) for name in item.get("required", [])]
+    kinds = [
+        (f"type:{where}[].{name}", typed(name, rule["types"]))
+        for name, rule in item.get("fields", {}).items()
+        if "types" in rule
+    ]
+    return required + kinds
 
 
 def _value_rules(value: Column, rule: dict, where: str) -> list[Rule]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.geo import geojson_point
 from storelens.functions.scalars import (
+    exact_mean,
     lenient_timestamp,
     or_zero,
     photo_urls,
@@ -184,7 +185,8 @@ def enriched_catalog(tables: Tables, as_of: Column | None = None) -> DataFrame:
     """Catalogue documents with price, units sold and rating worked out beforehand."""
     items = tables["order_items"]
     sales = items.groupBy("product_id").agg(
-        F.avg("price").alias("price"), F.count("order_item_id").alias("units")
+        exact_mean(F.sum("price"), F.count("price"), 2).alias("price"),
+        F.count("order_item_id").alias("units"),
     )
     ratings = _mean_score(items, tables["order_reviews"], "product_id")
     joined = (
@@ -196,7 +198,7 @@ def enriched_catalog(tables: Tables, as_of: Column | None = None) -> DataFrame:
         "product_id",
         product_name(category, F.col("product_id")).alias("name"),
         category.alias("category"),
-        F.bround(or_zero(F.col("price")), 2).cast("double").alias("price"),
+        or_zero(F.col("price")).cast("double").alias("price"),
         photo_urls(F.col("product_id")).alias("photos"),
         present_map(
             {

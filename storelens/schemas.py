@@ -2,46 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
+# Table schemas as DDL text, which every reader takes as it is.
 # The source headers misspell "length" in two product columns; the names are kept
 # as they come and renamed by ``sources.readers.rename_product_lengths``.
-CUSTOMERS = _schema(
+CUSTOMERS = (
     "customer_id string, customer_unique_id string, customer_zip_code_prefix int, "
     "customer_city string, customer_state string"
 )
-SELLERS = _schema(
+SELLERS = (
     "seller_id string, seller_zip_code_prefix int, seller_city string, seller_state string"
 )
-GEOLOCATION = _schema(
+GEOLOCATION = (
     "geolocation_zip_code_prefix int, geolocation_lat double, geolocation_lng double, "
     "geolocation_city string, geolocation_state string"
 )
-CATEGORIES = _schema("product_category_name string, product_category_name_english string")
-PRODUCTS = _schema(
+CATEGORIES = ("product_category_name string, product_category_name_english string")
+PRODUCTS = (
     "product_id string, product_category_name string, product_name_lenght double, "
     "product_description_lenght double, product_photos_qty double, product_weight_g double, "
     "product_length_cm double, product_height_cm double, product_width_cm double"
 )
-ORDERS = _schema(
+ORDERS = (
     "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp, "
     "order_approved_at timestamp, order_delivered_carrier_date timestamp, "
     "order_delivered_customer_date timestamp, order_estimated_delivery_date timestamp"
 )
-ORDER_ITEMS = _schema(
+ORDER_ITEMS = (
     "order_id string, order_item_id int, product_id string, seller_id string, "
     "shipping_limit_date timestamp, price decimal(12,2), freight_value decimal(12,2)"
 )
-ORDER_PAYMENTS = _schema(
+ORDER_PAYMENTS = (
     "order_id string, payment_sequential int, payment_type string, payment_installments int, "
     "payment_value decimal(12,2)"
 )
-ORDER_REVIEWS = _schema(
+ORDER_REVIEWS = (
     "review_id string, order_id string, review_score int, review_comment_title string, "
     "review_comment_message string, review_creation_date timestamp, review_answer_timestamp timestamp"
 )

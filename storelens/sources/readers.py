@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False
 ) -> DataFrame:
     """CSV with a header, typed by a declared schema.
 
@@ -26,7 +26,7 @@ def read_csv(
     )
 
 
-def read_docs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_docs(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Newline-delimited JSON documents with a declared nested schema."""
     return spark.read.schema(schema).json(path)
 

@@ -18,14 +18,14 @@ from pyspark.sql.streaming import StreamingQuery
 from storelens.operators.aggregates import first_row_per_key, last_row_per_key
 from storelens.sinks.upserts import upsert
 
-EVENTS = T.StructType.fromDDL(
+EVENTS = (
     "event_id string, aggregate_type string, aggregate_id string, event_type string, "
     "payload string, created_at timestamp, retries int"
 )
 
 
 def read_events(
-    spark: SparkSession, path: str, schema: T.StructType = EVENTS, max_files: int | None = None
+    spark: SparkSession, path: str, schema: str | T.StructType = EVENTS, max_files: int | None = None
 ) -> DataFrame:
     """A stream over a folder to which event files are added; ``max_files`` bounds a batch."""
     reader = spark.readStream.schema(schema)
@@ -34,7 +34,7 @@ def read_events(
     return reader.json(path)
 
 
-def split_events(events: DataFrame, body: T.StructType) -> tuple[DataFrame, DataFrame]:
+def split_events(events: DataFrame, body: str | T.StructType) -> tuple[DataFrame, DataFrame]:
     """Readable events with a parsed ``body``, and the rest with one more retry."""
     readable = (
         F.col("event_id").isNotNull()
@@ -61,7 +61,7 @@ def newest_changes(good: DataFrame) -> DataFrame:
 
 
 def apply_events(
-    events: DataFrame, root: str, body: T.StructType, checkpoint: str
+    events: DataFrame, root: str, body: str | T.StructType, checkpoint: str
 ) -> StreamingQuery:
     """Start the job: handle everything there is, then stop. Run it again for later events.
 
