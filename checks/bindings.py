@@ -377,4 +377,6 @@ def oracle(body: str) -> str:
     if not wanted:
         return body
     views = ",\n".join(f"{name} AS ({CTES[name]})" for name in wanted)
+    if body.lstrip().startswith("WITH "):
+        return f"WITH {views},\n{body.lstrip()[5:]}"
     return f"WITH {views}\n{body}"

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from checks import expressions, quality_reports, relations, reporting  # noqa: F401
+from checks import builders, expressions, quality_reports, relations, reporting, storage  # noqa: F401

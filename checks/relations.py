@@ -219,7 +219,7 @@ def _(t):
 
 @case(
     "a02_sum_and_mean",
-    """SELECT product_id, CAST(sum(price) AS DOUBLE) AS total, round(CAST(sum(price) AS DOUBLE) / count(*), 4) AS mean
+    """SELECT product_id, CAST(sum(price) AS DOUBLE) AS total, CAST(sum(price) AS DOUBLE) / count(*) AS mean
     FROM c_order_items GROUP BY 1""",
 )
 def _(t):
@@ -229,7 +229,7 @@ def _(t):
     return sums.select(
         "product_id",
         F.col("total").cast("double").alias("total"),
-        F.round(F.col("total").cast("double") / F.col("n"), 4).alias("mean"),
+        (F.col("total").cast("double") / F.col("n")).alias("mean"),
     )
 
 
