@@ -245,6 +245,17 @@ class CommerceTables(dict):
         )
 
 
+def half_even(total: str, count: str, places: int) -> str:
+    """SQL for ``total / count`` rounded half-even, in whole numbers: no float takes part."""
+    n = f"CAST(abs({total}) AS HUGEINT) * {10 ** places}"
+    c = f"CAST({count} AS HUGEINT)"
+    up = f"2 * (({n}) % {c}) > {c} OR (2 * (({n}) % {c}) = {c} AND (({n}) // {c}) % 2 = 1)"
+    return (
+        f"(sign({total}) * CAST((({n}) // {c}) + CASE WHEN {up} THEN 1 ELSE 0 END AS DOUBLE) "
+        f"/ {10 ** places})"
+    )
+
+
 CTES = {
     "c_orders": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
         o_orderdate AS order_purchase_timestamp, o_orderpriority AS channel, o_totalprice > 250000 AS gift
@@ -327,14 +338,11 @@ CTES = {
         FROM c_products LEFT JOIN c_product_categories USING (product_category_name)""",
     "c_order_scores": """SELECT order_id, sum(review_score) AS score_sum, count(review_score) AS score_count
         FROM c_order_reviews GROUP BY order_id""",
-    "c_product_ratings": """SELECT i.product_id, CAST(round_even(CAST(sum(score_sum) AS DOUBLE)
-        / sum(score_count), 1) AS DOUBLE) AS mean_score
+    "c_product_ratings": """SELECT i.product_id, """ + half_even("sum(score_sum)", "nullif(sum(score_count), 0)", 1) + """ AS mean_score
         FROM (SELECT DISTINCT order_id, product_id FROM c_order_items) i JOIN c_order_scores s USING (order_id)
         GROUP BY 1""",
     "c_enriched_catalog": """SELECT p.product_id, coalesce(p.product_category_name, 'general') AS category,
-        coalesce((s.cents // s.units + CASE WHEN 2 * (s.cents % s.units) > s.units
-        OR (2 * (s.cents % s.units) = s.units AND (s.cents // s.units) % 2 = 1) THEN 1 ELSE 0 END)
-        / 100.0::DOUBLE, 0) AS price,
+        coalesce(""" + half_even("s.cents", "s.units * 100", 2) + """, 0) AS price,
         coalesce(s.units, 0) AS units, coalesce(r.mean_score, 0) AS rating,
         CAST(p.product_name_lenght AS BIGINT) AS name_length, CAST(p.product_photos_qty AS BIGINT) AS photos_qty,
         p.product_weight_g AS weight_g, p.product_width_cm AS width_cm
@@ -342,7 +350,7 @@ CTES = {
         FROM c_order_items GROUP BY 1) s USING (product_id) LEFT JOIN c_product_ratings r USING (product_id)""",
     "c_revenue_groups": """SELECT o.state, CAST(date_trunc('month', o.purchase_ts) AS TIMESTAMP) AS month,
         CAST(count(*) AS BIGINT) AS total_orders, CAST(sum(o.total_value) AS DOUBLE) AS total_revenue,
-        CAST(round_even(CAST(sum(r.review_score) AS DOUBLE) / count(r.review_score), 2) AS DOUBLE)
+        """ + half_even("sum(r.review_score)", "nullif(count(r.review_score), 0)", 2) + """
         AS avg_review_score FROM c_orders_analytics o LEFT JOIN c_order_reviews r USING (order_id)
         WHERE o.status = 'F' AND o.purchase_ts >= TIMESTAMP '1997-01-01'
         AND o.purchase_ts < TIMESTAMP '1998-01-01' GROUP BY 1, 2""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.bindings import half_even
 from checks.catalog import case
 from storelens.plans import documents
 
@@ -107,7 +108,7 @@ def _(t):
 
 @case(
     "d08_seller_metrics",
-    """SELECT i.seller_id, CAST(round_even(CAST(sum(score_sum) AS DOUBLE) / sum(score_count), 1) AS DOUBLE) AS reputation_score,
+    "SELECT i.seller_id, " + half_even("sum(score_sum)", "nullif(sum(score_count), 0)", 1) + """ AS reputation_score,
     CAST(sum(i.sales) AS DOUBLE) AS total_sales, count(*) AS orders,
     round(avg(date_diff('hour', o.order_delivered_carrier_date, o.order_delivered_customer_date)), 4) AS hours
     FROM (SELECT seller_id, order_id, sum(price) AS sales FROM c_order_items GROUP BY 1, 2) i

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.catalog import case, dbl
+from checks.bindings import half_even
+from checks.catalog import case
 from checks.reporting import _SPHERE, _grams, _similar
 from storelens.functions import geo, predicates, scalars, text
 from storelens.operators import paging, reshape
@@ -471,8 +472,9 @@ def _(t):
 
 @case(
     "f15_improvement",
-    """SELECT l_partkey, CAST(CASE WHEN b IS NULL OR a IS NULL OR b = 0 THEN NULL
-    ELSE round_even(CAST((b - a) AS DECIMAL(30,2)) * 100 / CAST(b AS DECIMAL(30,2)), 2) END AS DOUBLE) AS improvement
+    "SELECT l_partkey, CASE WHEN b IS NULL OR a IS NULL OR b = 0 THEN NULL ELSE "
+    + half_even("(b - a) * 100", "b", 2)
+    + """ END AS improvement
     FROM (SELECT l_partkey, sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INTEGER) END) AS b,
     sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS INTEGER) END) AS a FROM lineitem GROUP BY 1)""",
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.bindings import half_even
 from checks.catalog import case, dbl
 from storelens import schemas
 from storelens.operators import joins, quality
@@ -347,8 +348,9 @@ def _(t):
     "v18_bucket_balance",
     """WITH b AS (SELECT CAST(list_sum(list_transform(string_split(sha256(CAST(o_orderkey AS VARCHAR)), ''),
     lambda d: strpos('0123456789abcdef', d) - 1)) % 3 AS BIGINT) AS shard FROM orders)
-    SELECT shard, count(*) AS orders, CAST(round_even(CAST(count(*) * 100 AS DECIMAL(28,10)) /
-    CAST((SELECT count(*) FROM orders) AS DECIMAL(18,0)), 2) AS DOUBLE) AS percentage FROM b GROUP BY 1""",
+    SELECT shard, count(*) AS orders, """
+    + half_even("count(*) * 100", "(SELECT count(*) FROM orders)", 2)
+    + """ AS percentage FROM b GROUP BY 1""",
 )
 def _(t):
     return quality.bucket_balance(t["orders"], "order_id", 3)

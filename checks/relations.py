@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.bindings import half_even
 from checks.catalog import case, dbl
 from storelens.operators import aggregates, joins, paging
 from storelens.plans import comparison, lookups
@@ -347,7 +348,9 @@ def _(t):
 @case(
     "a13_share_of_total",
     """SELECT event_type, count(*) AS rows,
-    CAST(round_even(CAST(count(*) * 100 AS DECIMAL(28,10)) / CAST((SELECT count(*) FROM events) AS DECIMAL(18,0)), 2) AS DOUBLE) AS percentage FROM events GROUP BY 1""",
+    """
+    + half_even("count(*) * 100", "(SELECT count(*) FROM events)", 2)
+    + """ AS percentage FROM events GROUP BY 1""",
 )
 def _(t):
     return aggregates.share_of_total(t.star("events"), ["event_type"])
@@ -474,8 +477,9 @@ def _(t):
 @case(
     "z01_compare_runs",
     """SELECT coalesce(b.p, a.p) AS query, b.n AS execution_time_ms_before, a.n AS execution_time_ms_after,
-    CASE WHEN b.n IS NULL OR a.n IS NULL OR b.n = 0 THEN NULL ELSE
-    CAST(round_even(CAST((b.n - a.n) * 100 AS DECIMAL(30,6)) / CAST(b.n AS DECIMAL(18,0)), 2) AS DOUBLE) END AS improvement_percent
+    CASE WHEN b.n IS NULL OR a.n IS NULL OR b.n = 0 THEN NULL ELSE """
+    + half_even("(b.n - a.n) * 100", "b.n", 2)
+    + """ END AS improvement_percent
     FROM (SELECT o_orderpriority AS p, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) b
     FULL JOIN (SELECT o_orderpriority AS p, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) a ON a.p = b.p""",
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.bindings import half_even
 from checks.catalog import case, dbl
 from storelens.plans import collections as col_reports
 from storelens.plans import documents, lookups, reports
@@ -24,12 +25,13 @@ def _(t):
 @case(
     "n02_payments_by_type",
     """SELECT payment_type, count(*) AS total_payments, CAST(sum(payment_value) AS DOUBLE) AS total_value,
-    round(CAST(sum(payment_value) AS DOUBLE) / count(*), 4) AS avg_value
+    -- half-up at the sixth place, as the decimal mean has it
+    CAST((2 * CAST(sum(payment_value) * 1000000 AS HUGEINT) + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000 AS avg_value
     FROM c_order_payments WHERE payment_value > 0 GROUP BY 1""",
 )
 def _(t):
     return reports.payments_by_type(t).select(
-        "payment_type", "total_payments", dbl("total_value"), dbl("avg_value", 4)
+        "payment_type", "total_payments", dbl("total_value"), dbl("avg_value")
     )
 
 
@@ -443,28 +445,25 @@ def _(t):
 
 
 _M2 = """SELECT CAST(review_score AS VARCHAR) AS bucket, count(*) AS total_reviews,
-    round(CAST(sum(length(review_comment_message)) AS DOUBLE) / count(*), 6) AS avg_comment_length
+    CAST(sum(length(review_comment_message)) AS DOUBLE) / count(*) AS avg_comment_length
     FROM {src} WHERE review_score <= 3 AND review_comment_message IS NOT NULL GROUP BY 1"""
 
 
 @case("m02_low_score_reviews", _M2.format(src="c_order_reviews"))
 def _(t):
-    out = col_reports.low_score_reviews(documents.order_reviews(t))
-    return out.withColumn("avg_comment_length", dbl("avg_comment_length"))
+    return col_reports.low_score_reviews(documents.order_reviews(t))
 
 
 @case("m02_low_score_texts", _M2.format(src="c_text_reviews"))
 def _(t):
-    return col_reports.low_score_reviews(t["text_reviews"]).withColumn(
-        "avg_comment_length", dbl("avg_comment_length")
-    )
+    return col_reports.low_score_reviews(t["text_reviews"])
 
 
 @case(
     "m03_category_attributes",
     """SELECT name_en AS category, 2 * count(*) AS product_count,
-    CAST(round_even(CAST(sum(weight_g) AS DOUBLE) / count(weight_g), 2) AS DOUBLE) AS avg_weight,
-    CAST(round_even(CAST(sum(volume_cm3) AS DOUBLE) / count(volume_cm3), 2) AS DOUBLE) AS avg_volume
+    """ + half_even("CAST(sum(weight_g) AS BIGINT)", "count(weight_g)", 2) + """ AS avg_weight,
+    """ + half_even("CAST(sum(volume_cm3) AS BIGINT)", "count(volume_cm3)", 2) + """ AS avg_volume
     FROM c_products_catalog WHERE name_en IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
 )
 def _(t):
@@ -474,8 +473,8 @@ def _(t):
 @case(
     "m03_category_attributes_by_product",
     """SELECT name_en AS category, count(*) AS product_count,
-    CAST(round_even(CAST(sum(weight_g) AS DOUBLE) / count(weight_g), 2) AS DOUBLE) AS avg_weight,
-    CAST(round_even(CAST(sum(volume_cm3) AS DOUBLE) / count(volume_cm3), 2) AS DOUBLE) AS avg_volume
+    """ + half_even("CAST(sum(weight_g) AS BIGINT)", "count(weight_g)", 2) + """ AS avg_weight,
+    """ + half_even("CAST(sum(volume_cm3) AS BIGINT)", "count(volume_cm3)", 2) + """ AS avg_volume
     FROM c_products_catalog WHERE name_en IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
 )
 def _(t):
@@ -484,12 +483,11 @@ def _(t):
 
 @case(
     "m04_income_by_rating",
-    """SELECT rating, count(*) AS total_photos, round(CAST(sum(CAST(round(price * units, 2) AS DECIMAL(20,2))) AS DOUBLE)
-    / count(*), 4) AS avg_income FROM c_enriched_catalog WHERE category IN ('ECONOMY', 'LARGE') GROUP BY 1""",
+    """SELECT rating, count(*) AS total_photos, CAST(sum(CAST(round(price * units, 2) AS DECIMAL(20,2))) AS DOUBLE)
+    / count(*) AS avg_income FROM c_enriched_catalog WHERE category IN ('ECONOMY', 'LARGE') GROUP BY 1""",
 )
 def _(t):
-    out = col_reports.income_by_rating(documents.enriched_catalog(t), ("ECONOMY", "LARGE"))
-    return out.withColumn("avg_income", dbl("avg_income", 4))
+    return col_reports.income_by_rating(documents.enriched_catalog(t), ("ECONOMY", "LARGE"))
 
 
 @case(

@@ -153,13 +153,20 @@ def hash_bucket(key: Column, buckets: int) -> Column:
 
 
 def exact_mean(total: Column, count: Column, places: int) -> Column:
-    """Mean of exact numbers, rounded half-even once, from a sum and a count."""
+    """Mean of exact numbers, rounded half-even once, from a sum and a count.
+
+    The result stays a decimal; null if the count is 0.
+    """
     return F.bround(F.try_divide(total.cast("decimal(38,16)"), count), places)
 
 
 def improvement_percent(before: Column, after: Column) -> Column:
-    """Percent saved against ``before``; null if a side is missing or ``before`` is 0."""
-    return F.bround(F.try_divide(before - after, before) * 100, 2)
+    """Percent saved against ``before``; null if a side is missing or ``before`` is 0.
+
+    Worked out in decimals, so a tie at the third place is a real tie.
+    """
+    b, a = before.cast("decimal(20,6)"), after.cast("decimal(20,6)")
+    return F.bround(F.try_divide((b - a) * 100, b), 2).cast("double")
 
 
 def read_efficiency(examined: Column, returned: Column) -> Column:

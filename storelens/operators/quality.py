@@ -145,6 +145,7 @@ def overlapping_periods(df: DataFrame, key: str, lo: str, hi: str) -> DataFrame:
         .groupBy("key", "lo")
         .agg(F.max("hi").alias("hi"), F.count("*").alias("periods"))
         .withColumn("day", F.col("lo").cast("date"))
+        .repartition("key", "day")
     )
     earlier = (Window.unboundedPreceding, -1)
     days = starts.groupBy("key", "day").agg(F.max("hi").alias("day_hi"))

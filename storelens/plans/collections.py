@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.predicates import has_text, time_range
-from storelens.functions.scalars import month_start, revenue
+from storelens.functions.scalars import exact_mean, month_start, revenue
 from storelens.operators.aggregates import bucket_groups, facet
 from storelens.operators.paging import newest_first, oldest_first, top_n
 
@@ -40,7 +40,9 @@ def revenue_groups(
     return rows.groupBy("state", "month").agg(
         F.sum(times).alias("total_orders"),
         F.bround(F.sum(F.col("value") * times.cast("decimal(12,0)")), 2).alias("total_revenue"),
-        F.bround(F.try_divide(F.sum("score_sum"), F.sum("scores")), 2).alias("avg_review_score"),
+        exact_mean(F.sum("score_sum"), F.sum("scores"), 2)
+        .cast("double")
+        .alias("avg_review_score"),
     )
 
 
@@ -143,7 +145,8 @@ def category_attributes(
 
     def weighted(value: str) -> F.Column:
         count = F.sum(F.when(F.col(value).isNotNull(), F.col("m")))
-        return F.bround(F.try_divide(F.sum(F.col(value) * F.col("m")), count), 2)
+        total = F.sum(F.col(value).cast("decimal(20,6)") * F.col("m"))
+        return exact_mean(total, count, 2).cast("double")
 
     groups = (
         matched.filter(F.col("m") > 0)

@@ -176,7 +176,7 @@ def _mean_score(items: DataFrame, reviews: DataFrame, key: str) -> DataFrame:
         held.join(_order_scores(reviews), "order_id")
         .groupBy(key)
         .agg(
-            F.bround(F.try_divide(F.sum("score_sum"), F.sum("score_count")), 1).alias("mean_score")
+            exact_mean(F.sum("score_sum"), F.sum("score_count"), 1).cast("double").alias("mean_score")
         )
     )
 
@@ -270,7 +270,7 @@ def seller_metrics(tables: Tables, period: str = "2018-08") -> DataFrame:
         F.bround(F.sum("sales"), 2).alias("total_sales"),
         F.count("*").alias("orders"),
         F.bround(F.avg("hours"), 1).alias("avg_shipping_hours"),
-        F.bround(F.try_divide(F.sum("score_sum"), F.sum("score_count")), 1).alias("reputation"),
+        exact_mean(F.sum("score_sum"), F.sum("score_count"), 1).cast("double").alias("reputation"),
     )
     return kpis.select(
         "seller_id",

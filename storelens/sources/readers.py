@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelens.functions.scalars import let
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False
@@ -73,8 +75,14 @@ def parse_json_text(text: Column) -> Column:
 
 def parse_range_text(text: Column) -> Column:
     """``["lo","hi")`` to ``struct<lo, hi>``; a side left out is null, meaning open."""
-    pattern = r'^[\[\(]"?([^",]*)"?,"?([^",]*)"?[\]\)]$'
-    side = lambda i: F.try_to_timestamp(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")))
-    return F.when(
-        text.rlike(pattern), F.struct(side(1).alias("lo"), side(2).alias("hi"))
+    sides = F.split(F.translate(text, '[]()"', ""), ",")
+    shaped = (F.left(text, F.lit(1)).isin("[", "(")) & (F.right(text, F.lit(1)).isin("]", ")"))
+    return let(
+        sides,
+        lambda s: F.when(
+            shaped & (F.size(s) == 2),
+            F.struct(
+                s[0].try_cast("timestamp").alias("lo"), s[1].try_cast("timestamp").alias("hi")
+            ),
+        ),
     )
