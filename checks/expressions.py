@@ -638,7 +638,7 @@ def _(t):
 
 
 @case(
-    "g04_geojson_points",
+    "d05_geolocation_points",
     """SELECT zip_code_prefix, city, state, 'Point' AS type, longitude AS lng, latitude AS lat FROM c_geo_locations""",
 )
 def _(t):
@@ -651,3 +651,31 @@ def _(t):
         F.col("location.coordinates")[0].alias("lng"),
         F.col("location.coordinates")[1].alias("lat"),
     )
+
+
+@case(
+    "g03_nearest_many",
+    "SELECT geolocation_zip_code_prefix AS zip, geolocation_city AS city, geolocation_state AS state, round("
+    + _SPHERE.format(lat1="geolocation_lat", lng1="geolocation_lng", lat2="-12.97::DOUBLE", lng2="-38.5::DOUBLE")
+    + ", 2) AS metres FROM c_geolocations ORDER BY round("
+    + _SPHERE.format(lat1="geolocation_lat", lng1="geolocation_lng", lat2="-12.97::DOUBLE", lng2="-38.5::DOUBLE")
+    + ", 3), 1, 2, 3 LIMIT 100",
+)
+def _(t):
+    """Ranking and distance on the sphere."""
+    lat, lng = F.col("geolocation_lat"), F.col("geolocation_lng")
+    found = geo.nearest(
+        t["geolocations"],
+        "geolocation_lat",
+        "geolocation_lng",
+        -12.97,
+        -38.5,
+        100,
+        ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"],
+    )
+    return found.select(
+        F.col("geolocation_zip_code_prefix").alias("zip"),
+        F.col("geolocation_city").alias("city"),
+        F.col("geolocation_state").alias("state"),
+        F.round(geo.sphere_m(lat, lng, F.lit(-12.97), F.lit(-38.5)), 2).alias("metres"),
+    )

@@ -8,6 +8,7 @@ from checks.bindings import half_even
 from checks.catalog import case, dbl
 from storelens.plans import collections as col_reports
 from storelens.plans import documents, lookups, reports
+from storelens.session import fresh_path
 
 LO, HI = "1997-01-01", "1998-01-01"
 
@@ -190,7 +191,7 @@ def _(t):
 
 
 @case(
-    "n10b_order_distances",
+    "j09_pair_distances",
     "SELECT * FROM (WITH pairs AS (SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT i.seller_id AS seller_zip, "
     "c.customer_zip_code_prefix AS customer_zip, a.latitude AS lat1, a.longitude AS lng1, b.latitude AS lat2, "
     "b.longitude AS lng2 FROM c_order_items i JOIN c_orders o USING (order_id) JOIN c_customers c USING (customer_id) "
@@ -415,7 +416,12 @@ def _(t):
 )
 def _(t):
     out = col_reports.revenue_by_state_month(
-        documents.orders_analytics(t), documents.order_reviews(t), "F", LO, HI
+        documents.orders_analytics(t),
+        documents.order_reviews(t),
+        "F",
+        LO,
+        HI,
+        path=fresh_path(t.spark, "m01"),
     )
     return out.select(
         "facet", "state", "month", "total_orders", dbl("total_revenue", 2), dbl("avg_review_score")

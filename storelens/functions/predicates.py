@@ -96,58 +96,17 @@ ACCENTED = {
 }
 
 
-def folded_pattern(needle: str) -> str:
-    """A pattern that finds ``needle`` in any case and with any accents.
-
-    The needle is folded once on the driver and each letter becomes the class of its
-    accented forms, so the column itself is scanned as it is and never rewritten.
-    A combining mark after a letter is skipped.
-    """
-    back = {accent: base for base, accents in ACCENTED.items() for accent in accents}
-    pieces = []
-    for ch in needle.lower():
-        base = back.get(ch, ch)
-        if base in ACCENTED:
-            pieces.append(f"[{base}{ACCENTED[base]}]\\p{{Mn}}*")
-        elif base.isalpha():
-            pieces.append(f"{base}\\p{{Mn}}*")
-        else:
-            pieces.append("\\x{%x}" % ord(base))
-    return "(?iu)" + "".join(pieces)
-
-
 def folded_contains(text: Column, needle: str) -> Column:
-    """Accent- and case-insensitive substring test."""
-    return text.rlike(folded_pattern(needle))
+    """Accent- and case-insensitive substring test, by Spark's own collation."""
+    return F.contains(F.collate(text, "UNICODE_CI_AI"), F.lit(needle))
 
 
 def folded_like(text: Column, pattern: str) -> Column:
-    """The same with LIKE wildcards: ``%`` any text, ``_`` one character, ``\\`` escapes."""
-    out, literal, i = [], "", 0
-
-    def flush() -> None:
-        nonlocal literal
-        if literal:
-            out.append(folded_pattern(literal)[len("(?iu)"):])
-            literal = ""
-
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == "\\" and i + 1 < len(pattern):
-            literal += pattern[i + 1]
-            i += 2
-            continue
-        if ch == "%":
-            flush()
-            out.append(".*")
-        elif ch == "_":
-            flush()
-            out.append(".")
-        else:
-            literal += ch
-        i += 1
-    flush()
-    return text.rlike("(?ius)\\A" + "".join(out) + "\\z")
+    """The same for LIKE patterns, which the collation does not take: letters are folded."""
+    accents = "".join(ACCENTED.values())
+    bases = "".join(base * len(letters) for base, letters in ACCENTED.items())
+    plain = pattern.lower().translate(str.maketrans(accents, bases))
+    return F.translate(F.lower(text), accents, bases).like(plain)
 
 
 def json_contains(value: Column, wanted: dict) -> Column:

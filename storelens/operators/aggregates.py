@@ -56,12 +56,20 @@ def bucket_groups(
     return grouped.orderBy(F.expr("try_cast(bucket AS double)").asc_nulls_last(), "bucket")
 
 
-def facet(df: DataFrame, branches: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+def facet(
+    df: DataFrame,
+    branches: dict[str, Callable[[DataFrame], DataFrame]],
+    path: str | None = None,
+) -> DataFrame:
     """Several results over one input, stacked under a ``facet`` label.
 
-    Branches that need the same columns of ``df`` share its exchange at run time
-    (reused shuffle stage), so an aggregated input is worked out once.
+    With ``path``, a folder in shared storage, the input is written there first and worked
+    out exactly once; without it each branch plans the input anew and shares only those
+    shuffles that come out the same.
     """
+    if path is not None:
+        df.write.mode("overwrite").parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
     stacked = None
     for name, build in branches.items():
         rows = build(df).select(F.lit(name).alias("facet"), "*")

@@ -141,28 +141,34 @@ def overlapping_periods(df: DataFrame, key: str, lo: str, hi: str) -> DataFrame:
             F.coalesce(F.col(lo), low).alias("lo"),
             F.coalesce(F.col(hi), high).alias("hi"),
         )
-        .filter(F.col("lo") < F.col("hi"))
+        .filter(F.col("key").isNotNull() & (F.col("lo") < F.col("hi")))
         .groupBy("key", "lo")
         .agg(F.max("hi").alias("hi"), F.count("*").alias("periods"))
         .withColumn("day", F.col("lo").cast("date"))
+        .filter(F.col("day").isNotNull())
         .repartition("key", "day")
     )
     earlier = (Window.unboundedPreceding, -1)
-    days = starts.groupBy("key", "day").agg(F.max("hi").alias("day_hi"))
-    carried = days.select(
-        F.col("key").alias("day_key"),
-        F.col("day").alias("day_day"),
-        F.max("day_hi")
-        .over(Window.partitionBy("key").orderBy("day").rowsBetween(*earlier))
-        .alias("carried"),
+    days = starts.groupBy("key", "day").agg(
+        F.max("hi").alias("day_hi"), F.sum("periods").alias("day_periods")
+    )
+    # A key with one period cannot overlap. Needing the counts here as well, both uses of
+    # ``starts`` read the same columns and so share the scan and the first shuffle.
+    carried = (
+        days.withColumn("key_periods", F.sum("day_periods").over(Window.partitionBy("key")))
+        .withColumn(
+            "carried",
+            F.max("day_hi").over(Window.partitionBy("key").orderBy("day").rowsBetween(*earlier)),
+        )
+        .filter(F.col("key_periods") > 1)
+        .select(F.col("key").alias("day_key"), F.col("day").alias("day_day"), "carried")
     )
     within = F.max("hi").over(Window.partitionBy("key", "day").orderBy("lo").rowsBetween(*earlier))
     return (
         starts.withColumn("within", within)
-        .join(carried, F.col("key").eqNullSafe(F.col("day_key")) & (F.col("day") == F.col("day_day")))
+        .join(carried, (F.col("key") == F.col("day_key")) & (F.col("day") == F.col("day_day")))
         .withColumn("open_until", F.greatest("within", "carried"))
         .filter((F.col("open_until") > F.col("lo")) | (F.col("periods") > 1))
-        .filter(F.col("key").isNotNull())
         .select(F.col("key").alias(key), F.col("lo").alias(lo), "periods", "open_until")
     )
 

@@ -53,10 +53,12 @@ def revenue_by_state_month(
     lo: str = "2017-01-01",
     hi: str = "2018-01-01",
     top: int = 10,
+    path: str | None = None,
 ) -> DataFrame:
     """Two facets: the ``top`` state-months by revenue, and the grand summary.
 
-    The summary's score is the plain mean of the groups' rounded means.
+    The summary's score is the plain mean of the groups' rounded means. ``path`` names a
+    shared folder for the groups, so that both facets read them ready-made.
     """
     groups = revenue_groups(orders, reviews, status, lo, hi)
     return facet(
@@ -74,6 +76,7 @@ def revenue_by_state_month(
                 ).alias("avg_review_score"),
             ),
         },
+        path,
     )
 
 
