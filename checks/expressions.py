@@ -398,7 +398,7 @@ def _(t):
 
 @case(
     "f10_photo_urls",
-    "SELECT p_partkey, 'https://ecommify.images/' || p_partkey || '_1.jpg' AS photo FROM part",
+    "SELECT p_partkey, 'https://images.example/' || p_partkey || '_1.jpg' AS photo FROM part",
 )
 def _(t):
     return t.star("part").select(

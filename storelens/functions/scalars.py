@@ -97,10 +97,8 @@ def product_name(category: Column, product_id: Column) -> Column:
     )
 
 
-def photo_urls(product_id: Column) -> Column:
-    return F.array(
-        F.concat(F.lit("https://ecommify.images/"), product_id.cast("string"), F.lit("_1.jpg"))
-    )
+def photo_urls(product_id: Column, host: str = "https://images.example") -> Column:
+    return F.array(F.concat(F.lit(f"{host}/"), product_id.cast("string"), F.lit("_1.jpg")))
 
 
 def narrow(value: Column) -> Column:

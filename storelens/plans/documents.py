@@ -181,7 +181,9 @@ def _mean_score(items: DataFrame, reviews: DataFrame, key: str) -> DataFrame:
     )
 
 
-def enriched_catalog(tables: Tables, as_of: Column | None = None) -> DataFrame:
+def enriched_catalog(
+    tables: Tables, as_of: Column | None = None, photo_host: str = "https://images.example"
+) -> DataFrame:
     """Catalogue documents with price, units sold and rating worked out beforehand."""
     items = tables["order_items"]
     sales = items.groupBy("product_id").agg(
@@ -199,7 +201,7 @@ def enriched_catalog(tables: Tables, as_of: Column | None = None) -> DataFrame:
         product_name(category, F.col("product_id")).alias("name"),
         category.alias("category"),
         or_zero(F.col("price")).cast("double").alias("price"),
-        photo_urls(F.col("product_id")).alias("photos"),
+        photo_urls(F.col("product_id"), photo_host).alias("photos"),
         present_map(
             {
                 "name_length": count_text("product_name_lenght"),

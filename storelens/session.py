@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -45,6 +46,11 @@ def local_session(cores: int | str = "*", app: str = "storelens", memory: str =
     return configure(spark)
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="storelens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named in ``spark.checkpoint.dir``.
 
@@ -58,9 +64,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="storelens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
