@@ -679,3 +679,21 @@ def _(t):
         F.col("geolocation_state").alias("state"),
         F.round(geo.sphere_m(lat, lng, F.lit(-12.97), F.lit(-38.5)), 2).alias("metres"),
     )
+
+
+@case(
+    "g04_geojson_text",
+    """SELECT geolocation_zip_code_prefix AS zip, 'Point' AS type, geolocation_lng AS lng, geolocation_lat AS lat FROM c_geolocations""",
+)
+def _(t):
+    """Points written as GeoJSON text and read back."""
+    made = geo.geojson_point(F.col("geolocation_lng"), F.col("geolocation_lat"))
+    text_form = t["geolocations"].select(
+        F.col("geolocation_zip_code_prefix").alias("zip"), F.to_json(made).alias("j")
+    )
+    parsed = text_form.select(
+        "zip", F.from_json("j", "type string, coordinates array<double>").alias("p")
+    )
+    return parsed.select(
+        "zip", "p.type", F.col("p.coordinates")[0].alias("lng"), F.col("p.coordinates")[1].alias("lat")
+    )

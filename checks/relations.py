@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from checks.bindings import half_even
 from checks.catalog import case, dbl
+from checks.reporting import _SPHERE
+from storelens.functions.geo import nearest
 from storelens.operators import aggregates, joins, paging
 from storelens.plans import comparison, lookups
 
@@ -452,6 +454,30 @@ def _(t):
     )
 
 
+@case(
+    "o06_nearest_first",
+    "SELECT geolocation_zip_code_prefix AS zip, geolocation_city AS city, geolocation_state AS state FROM c_geolocations "
+    "ORDER BY round("
+    + _SPHERE.format(lat1="geolocation_lat", lng1="geolocation_lng", lat2="-30.03::DOUBLE", lng2="-51.23::DOUBLE")
+    + ", 3), 1, 2, 3 LIMIT 20",
+)
+def _(t):
+    found = nearest(
+        t["geolocations"],
+        "geolocation_lat",
+        "geolocation_lng",
+        -30.03,
+        -51.23,
+        20,
+        ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"],
+    )
+    return found.select(
+        F.col("geolocation_zip_code_prefix").alias("zip"),
+        F.col("geolocation_city").alias("city"),
+        F.col("geolocation_state").alias("state"),
+    )
+
+
 @case(
     "o07_page_then_aggregate",
     """SELECT s.seller_id, count(i.seller_id) AS items_sold FROM (SELECT seller_id FROM c_sellers ORDER BY 1 LIMIT 10) s

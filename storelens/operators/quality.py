@@ -334,10 +334,13 @@ _TYPE_PATTERNS = {
 def validate_docs(docs: DataFrame, doc: str, key: str, shape: dict, collection: str) -> DataFrame:
     """Violations of a document shape, from a VARIANT column, in one pass.
 
+    A null document (text that is no JSON) is a violation of its own.
     Fields the shape does not name pass. ``date`` accepts text that parses as a time, as
     JSON has no date type.
     """
-    rules = _shape_rules(F.col(doc), shape, "")
+    is_object = F.coalesce(_is_object(F.col(doc)), F.lit(False))
+    whole = Rule("type:document", is_object, F.lit("the document is no object"))
+    rules = [whole, *_shape_rules(F.col(doc), shape, "")]
     return row_violations(docs, collection, [key], rules)
 
 
@@ -346,7 +349,11 @@ def _shape_rules(doc: Column, shape: dict, at: str) -> list[Rule]:
     for name in shape.get("required", []):
         present = _field(doc, name).isNotNull()
         rules.append(
-            Rule(f"required:{at}{name}", _only_if(doc, present), F.lit(f"{at}{name} is missing"))
+            Rule(
+                f"required:{at}{name}",
+                F.when(_is_object(doc), present).otherwise(F.lit(True)),
+                F.lit(f"{at}{name} is missing"),
+            )
         )
     for name, rule in shape.get("fields", {}).items():
         value = _field(doc, name)
@@ -412,6 +419,10 @@ def _value_rules(value: Column, rule: dict, where: str) -> list[Rule]:
     return rules
 
 
+def _is_object(doc: Column) -> Column:
+    return F.schema_of_variant(doc).startswith("OBJECT")
+
+
 def _field(doc: Column, name: str) -> Column:
     return F.try_variant_get(doc, f"$.{name}", "variant")
 

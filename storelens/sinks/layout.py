@@ -67,9 +67,10 @@ def refresh_summary(df: DataFrame, path: str, part: str | None = None) -> None:
 
 
 def apply_retention(df: DataFrame, ts: str, months: int, as_of: str) -> DataFrame:
-    """Keep the last ``months`` months, counted back from ``as_of``."""
+    """Keep the last ``months`` months, counted back from ``as_of``; undated rows stay."""
     limit = F.add_months(instant(as_of).cast("date"), -months)
-    return df.filter(F.col(ts) >= limit.cast(df.schema[ts].dataType))
+    recent = F.col(ts) >= limit.cast(df.schema[ts].dataType)
+    return df.filter(recent | F.col(ts).isNull())
 
 
 def drop_old_partitions(

@@ -233,13 +233,15 @@ def test_integrity_rate(frame):
          {"required:state", "enum:location.type", "min_items:location.coordinates"}),
         ('{"zip_code_prefix":true,"city":null,"state":"SP","location":{"type":"Point"}}',
          {"type:zip_code_prefix", "type:city", "required:location.coordinates"}),
-        ('{"zip_code_prefix":1,"city":"x","state":"SP","location":7}', {"type:location", "required:location.type", "required:location.coordinates"}),
+        ('{"zip_code_prefix":1,"city":"x","state":"SP","location":7}', {"type:location"}),
+        ("{broken", {"type:document"}),
+        ("[1]", {"type:document"}),
     ],
 )
 def test_document_shape(frame, doc, broken):
     from storelens.schemas import GEOLOCATION_POINTS_DOC
 
-    df = frame([(1, doc)], "id int, body string").withColumn("doc", F.parse_json("body"))
+    df = frame([(1, doc)], "id int, body string").withColumn("doc", F.try_parse_json("body"))
     out = quality.validate_docs(df, "doc", "id", GEOLOCATION_POINTS_DOC, "g").collect()
     assert {r["check"] for r in out} == broken
 
