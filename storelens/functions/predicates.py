@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from storelens.functions.scalars import let
+
 
 def instant(value) -> Column:
     """A time literal that takes the type of the column it is compared with.
@@ -115,7 +117,10 @@ def json_contains(value: Column, wanted: dict) -> Column:
     Objects match key by key, arrays when each wanted element is present in any place,
     scalars on type and value (1 equals 1.0, but "1" does not equal 1).
     """
-    return F.coalesce(_contains(F.try_parse_json(value), wanted), F.lit(False))
+    return let(
+        F.try_parse_json(value),
+        lambda doc: F.coalesce(_contains(doc, wanted), F.lit(False)),
+    )
 
 
 def _contains(doc: Column, wanted) -> Column:
@@ -124,7 +129,9 @@ def _contains(doc: Column, wanted) -> Column:
         result = kind.startswith("OBJECT")
         for key, inner in wanted.items():
             path = "$['" + key.replace("'", "\\'") + "']"
-            result = result & _contains(F.try_variant_get(doc, path, "variant"), inner)
+            result = result & let(
+                F.try_variant_get(doc, path, "variant"), _holding(inner)
+            )
         return F.coalesce(result, F.lit(False))
     if isinstance(wanted, (list, tuple)):
         elements = F.try_variant_get(doc, "$", "array<variant>")
@@ -144,5 +151,9 @@ def _contains(doc: Column, wanted) -> Column:
     return F.coalesce(same, F.lit(False))
 
 
+def _holding(wanted):
+    return lambda doc: _contains(doc, wanted)
+
+
 def _any_contains(elements: Column, wanted) -> Column:
     return F.exists(elements, lambda e: _contains(e, wanted))
