@@ -186,7 +186,7 @@ def _(t):
 @case(
     "r02_computed_fields",
     """SELECT review_id, CAST(date_trunc('month', review_creation_date) AS TIMESTAMP) AS review_month,
-    length(review_comment_message) AS comment_length FROM c_order_reviews""",
+    CAST(length(review_comment_message) AS INTEGER) AS comment_length FROM c_order_reviews""",
 )
 def _(t):
     reviews = t["order_reviews"]
@@ -372,7 +372,7 @@ def _(t):
 
 @case(
     "f08_text_length",
-    "SELECT doc_id, length(text) AS chars, length(trim(source)) AS trimmed FROM documents",
+    "SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, CAST(length(trim(source)) AS INTEGER) AS trimmed FROM documents",
 )
 def _(t):
     return t.star("documents").select(

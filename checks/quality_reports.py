@@ -17,7 +17,7 @@ _COLS = "\"check\", tbl, key, detail, rows"
 
 
 def _violation(check: str, table: str, key: str, detail: str, body: str) -> str:
-    return f"SELECT '{check}' AS \"check\", '{table}' AS tbl, {key} AS key, {detail} AS detail, 1 AS rows {body}"
+    return f"SELECT '{check}' AS \"check\", '{table}' AS tbl, {key} AS key, {detail} AS detail, CAST(1 AS BIGINT) AS rows {body}"
 
 
 @case(
@@ -45,7 +45,7 @@ def _(t):
 @case(
     "v03_foreign_key",
     """SELECT 'foreign:customer_id' AS "check", 'parts' AS tbl, CAST(p_partkey AS VARCHAR) AS key, 'no such parent' AS detail,
-    1 AS rows FROM part WHERE p_partkey NOT IN (SELECT c_custkey FROM customer) UNION ALL
+    CAST(1 AS BIGINT) AS rows FROM part WHERE p_partkey NOT IN (SELECT c_custkey FROM customer) UNION ALL
     SELECT 'foreign:order_id', 'reviews', CAST(order_id AS VARCHAR), 'no such parent', count(*) FROM c_order_reviews
     WHERE order_id NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY order_id""",
 )
@@ -64,7 +64,7 @@ def _(t):
 @case(
     "v03_foreign_key_two_columns",
     """SELECT 'foreign:order_id,customer_id' AS "check", 'orders' AS tbl, order_id || '|' || customer_id AS key,
-    'no such parent' AS detail, 1 AS rows FROM c_orders WHERE NOT EXISTS
+    'no such parent' AS detail, CAST(1 AS BIGINT) AS rows FROM c_orders WHERE NOT EXISTS
     (SELECT 1 FROM events WHERE event_id = order_id AND user_id = customer_id)""",
 )
 def _(t):
@@ -115,7 +115,7 @@ def _(t):
 @case(
     "v06_date_order",
     """SELECT 'order:order_approved_at>=order_purchase_timestamp' AS "check", 'orders' AS tbl, CAST(order_id AS VARCHAR) AS key,
-    1 AS rows FROM c_orders_delivered WHERE order_approved_at < order_purchase_timestamp""",
+    CAST(1 AS BIGINT) AS rows FROM c_orders_delivered WHERE order_approved_at < order_purchase_timestamp""",
 )
 def _(t):
     return quality.row_violations(
@@ -128,7 +128,7 @@ def _(t):
 
 @case(
     "v07_blank_text",
-    """SELECT 'not_blank:text' AS "check", 'conversations' AS tbl, conv_id || '|' || turn AS key, 'text is blank' AS detail, 1 AS rows
+    """SELECT 'not_blank:text' AS "check", 'conversations' AS tbl, conv_id || '|' || turn AS key, 'text is blank' AS detail, CAST(1 AS BIGINT) AS rows
     FROM conversations WHERE length(trim(text, ' ')) = 0""",
 )
 def _(t):
@@ -154,7 +154,7 @@ def _(t):
 @case(
     "v09_document_shape",
     """SELECT 'max:k' AS "check", 'props' AS tbl, CAST(event_id AS VARCHAR) AS key,
-    'k=' || json_extract_string(props, '$.k') AS detail, 1 AS rows FROM events
+    'k=' || json_extract_string(props, '$.k') AS detail, CAST(1 AS BIGINT) AS rows FROM events
     WHERE CAST(json_extract(props, '$.k') AS INTEGER) > 49""",
 )
 def _(t):
@@ -166,7 +166,7 @@ def _(t):
 @case(
     "v09_catalog_documents",
     """SELECT 'type:product_id' AS "check", 'products_catalog' AS tbl, CAST(product_id AS VARCHAR) AS key,
-    'product_id is BIGINT' AS detail, 1 AS rows FROM c_products_catalog""",
+    'product_id is BIGINT' AS detail, CAST(1 AS BIGINT) AS rows FROM c_products_catalog""",
 )
 def _(t):
     """Ids of the test tables are numbers where the shape wants text; all else must hold."""
@@ -180,7 +180,7 @@ def _(t):
 
 @case(
     "v09_geo_documents",
-    """SELECT 'key' AS unused WHERE false""".replace("'key' AS unused", "'' AS \"check\", '' AS tbl, '' AS key, '' AS detail, 0 AS rows"),
+    """SELECT 'key' AS unused WHERE false""".replace("'key' AS unused", "'' AS \"check\", '' AS tbl, '' AS key, '' AS detail, CAST(0 AS BIGINT) AS rows"),
 )
 def _(t):
     docs = documents.geolocation_points(t)

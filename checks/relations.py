@@ -415,7 +415,7 @@ def _(t):
     from pyspark.sql import Window
 
     # The window numbers the 200 rows of the top list, nothing more.
-    return first.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    return first.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 @case(

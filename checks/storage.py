@@ -45,7 +45,7 @@ def _(t):
 
 @case(
     "s01_csv_with_line_breaks",
-    """SELECT review_id, review_score, md5(review_comment_message) AS digest, length(review_comment_message) AS chars
+    """SELECT review_id, review_score, md5(review_comment_message) AS digest, CAST(length(review_comment_message) AS INTEGER) AS chars
     FROM c_text_reviews""",
 )
 def _(t):
@@ -87,7 +87,7 @@ def _(t):
 
 @case(
     "s03_array_text",
-    "SELECT product_id, len(search_tokens) AS n, array_to_string(list_reverse(search_tokens), '+') AS tokens FROM c_products",
+    "SELECT product_id, CAST(len(search_tokens) AS INTEGER) AS n, array_to_string(list_reverse(search_tokens), '+') AS tokens FROM c_products",
 )
 def _(t):
     text = F.concat(F.lit("{"), F.concat_ws(",", "search_tokens"), F.lit("}"))

@@ -46,7 +46,10 @@ def lookup(
         )
         .withColumn(
             "_chunk",
-            F.coalesce(F.pmod(F.xxhash64(*names, "_piece"), F.col("_chunks")), F.lit(0)).cast("int"),
+            F.coalesce(
+                F.pmod(F.pmod(F.xxhash64(*names), F.col("_chunks")) + F.col("_piece"), F.col("_chunks")),
+                F.lit(0),
+            ).cast("int"),
         )
     )
     arrays = pieces.groupBy(F.col(right_key).alias("_lookup_key"), F.col("_chunk").alias("chunk")).agg(
