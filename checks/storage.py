@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from checks.catalog import case
 from storelens.functions import geo
-from storelens.functions.scalars import month_start
 from storelens.operators import quality
 from storelens.plans import documents, lookups, reports
 from storelens.session import fresh_path

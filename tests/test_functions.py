@@ -228,3 +228,18 @@ def test_defaults(frame):
     df = frame([(1, None), (2, "x")], "id int, tag string")
     rows = readers.with_defaults(df, {"tag": F.lit("none"), "retries": F.lit(0)}).orderBy("id").collect()
     assert [(r["tag"], r["retries"]) for r in rows] == [("none", 0), ("x", 0)]
+
+
+def test_open_documents_and_column_types(spark, frame, tmp_path):
+    from storelens.operators.aggregates import column_types
+
+    (tmp_path / "d.json").write_text('{"a":1}\nnot json\n{"b":{"c":[1,2]}}\n')
+    docs = readers.read_open_docs(spark, str(tmp_path))
+    got = {r[0] for r in docs.select(F.to_json("doc")).collect()}
+    assert got == {'{"a":1}', None, '{"b":{"c":[1,2]}}'}
+    assert column_types(frame([(1, "x")], "id int, v string")) == [("id", "int"), ("v", "string")]
+
+
+def test_product_headers_are_renamed(frame):
+    df = frame([(1.0, 2.0)], "product_name_lenght double, product_description_lenght double")
+    assert readers.rename_product_lengths(df).columns == ["product_name_length", "product_description_length"]
