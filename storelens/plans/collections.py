@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.predicates import has_text, time_range
@@ -146,7 +146,7 @@ def category_attributes(
         F.col("dimensions.volume_cm3").alias("volume"),
     )
 
-    def weighted(value: str) -> F.Column:
+    def weighted(value: str) -> Column:
         count = F.sum(F.when(F.col(value).isNotNull(), F.col("m")))
         total = F.sum(F.col(value).cast("decimal(20,6)") * F.col("m"))
         return exact_mean(total, count, 2).cast("double")
