@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, token_counts
+from storelens.llm import byte_bpe, repeats, token_counts
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
@@ -25,3 +25,8 @@ def _(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_quality_rules")
+def _(spark, sf_dir):
+    return repeats.quality(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
