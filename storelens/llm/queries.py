@@ -5,11 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, repeats, token_counts
+from storelens.llm import byte_bpe, repeats, substring_dedup, token_counts
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
 
+_OP2_SQL = r"""WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+  win AS (SELECT doc_id, p, sha256(array_to_string(words[p:p + 49], ' ')) AS h
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS p FROM w WHERE len(words) >= 50)),
+  smallest AS (SELECT h, min(doc_id) AS lo FROM win GROUP BY h),
+  gone AS (SELECT DISTINCT doc_id, p + k AS i FROM (SELECT win.doc_id, win.p, unnest(range(0, 50)) AS k
+    FROM win JOIN smallest USING (h) WHERE win.doc_id > smallest.lo)),
+  each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+  kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op2_substring_dedup", _OP2_SQL)
+def _(spark, sf_dir):
+    cut = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_token_counts")
 def _(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
