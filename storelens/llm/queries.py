@@ -5,11 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, repeats, substring_dedup, token_counts
+from storelens.llm import byte_bpe, mixing, repeats, substring_dedup, token_counts
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
 
+@query("op1_mixing")
+def _(spark, sf_dir):
+    return mixing.plan(documents(spark, sf_dir)).drop("source")
+
+
 _OP2_SQL = r"""WITH w AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
   win AS (SELECT doc_id, p, sha256(array_to_string(words[p:p + 49], ' ')) AS h
