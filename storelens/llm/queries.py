@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, mixing, repeats, substring_dedup, token_counts
+from storelens.llm import byte_bpe, mixing, repeats, secrets, substring_dedup, token_counts
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
@@ -39,6 +39,14 @@ def _(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op5_secret_scan")
+def _(spark, sf_dir):
+    count = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id", *count, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), secrets.joined(F.col("found")).alias("spans")
+    )
+
+
 @query("op7_byte_bpe")
 def _(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
