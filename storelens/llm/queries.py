@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, mixing, repeats, secrets, substring_dedup, token_counts
+from storelens.llm import byte_bpe, mixing, repeats, secrets, spotsigs, substring_dedup, token_counts
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
@@ -34,6 +34,11 @@ def _(spark, sf_dir):
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op3_spotsigs")
+def _(spark, sf_dir):
+    return spotsigs.compare_with_edits(documents(spark, sf_dir))
+
+
 @query("op4_token_counts")
 def _(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
