@@ -1,7 +1,7 @@
 """Numpy kernels over the UTF-8 buffers of Arrow batches.
 
 Tasks get their texts as Arrow batches and work on slices of at most ``SLICE`` bytes (one text at
-least), so what a worker holds is bounded by that or by its longest text. Word and sequence
+least) and ``MOST_ROWS`` rows, so what a worker holds is bounded by that or by its longest text. Word and sequence
 hashes have 64 bits; equal sequences have equal hashes in every task and run.
 """
 
@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE = 1 << 21
+MOST_ROWS = 1 << 15
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -165,7 +166,7 @@ def slices(batch: pa.RecordBatch, name: str = "text", limit: int = SLICE) -> Ite
     every = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(filled):
-        end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + limit, "right")) - 1)
+        end = min(row + MOST_ROWS, max(row + 1, int(np.searchsorted(bounds, bounds[row] + limit, "right")) - 1))
         yield batch.slice(row, end - row), Texts(every[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row])
         row = end
 

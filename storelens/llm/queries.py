@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, mixing, repeats, secrets, spotsigs, substring_dedup, token_counts
+from storelens.llm import byte_bpe, mixing, near_dedup, repeats, secrets, spotsigs, substring_dedup, token_counts
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
@@ -52,6 +52,11 @@ def _(spark, sf_dir):
     )
 
 
+@query("op6_near_dedup")
+def _(spark, sf_dir):
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op7_byte_bpe")
 def _(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
