@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, mixing, near_dedup, repeats, secrets, spotsigs, substring_dedup, token_counts
+from storelens.llm import byte_bpe, mixing, near_dedup, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
@@ -72,3 +72,12 @@ def _(spark, sf_dir):
 @query("op10_quality_rules")
 def _(spark, sf_dir):
     return repeats.quality(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+@query("op8_toxicity")
+def _(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = toxicity.id_fold(4) == 2
+    model = toxicity.learn(docs, labels, ~held_out)
+    # a row without an id is never learnt from
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", "predicted")
