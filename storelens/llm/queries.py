@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, mixing, near_dedup, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
+from storelens.llm import byte_bpe, language_model, mixing, near_dedup, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 
@@ -69,6 +69,13 @@ def _(spark, sf_dir):
     )
 
 
+@query("op9_language_model")
+def _(spark, sf_dir):
+    held_out = toxicity.id_fold(10) == 0
+    scored = language_model.score(documents(spark, sf_dir), ~held_out, public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.withColumn("held_out", F.coalesce(held_out, F.lit(True)))
+
+
 @query("op10_quality_rules")
 def _(spark, sf_dir):
     return repeats.quality(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
