@@ -2,18 +2,47 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from storelens.llm import byte_bpe, mixing, near_dedup, repeats, secrets
 from storelens.llm.common import documents, stored
 
-STAGES: list = []
 
-#: no stage but the first could be told in SQL
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return repeats.quality(docs).where("kept").select(*docs.columns)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, the one with the smallest id."""
+    return near_dedup.keep_one(docs)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts masked."""
+    return secrets.redact(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mix(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``source``, ``n_tokens`` and the packed ``ids`` of every document of the mix."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "source", "n_tokens", "ids")
+
+
+STAGES = [("quality", quality), ("near_dedup", dedup), ("secrets", redact), ("mixing", mix), ("byte_bpe", tokens)]
+
+#: sampling, hashing and the tokenizer can't be told in SQL
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows."""
+    """The rows of the last stage."""
     docs = documents(spark, sf_dir)
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
