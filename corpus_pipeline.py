@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storelens.llm import byte_bpe, mixing, near_dedup, repeats, secrets
 from storelens.llm.common import documents, stored
@@ -20,8 +21,9 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked."""
-    return secrets.redact(docs)
+    """All documents, secrets in their texts masked and ``n_chars`` made to fit."""
+    length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))
+    return secrets.redact(docs).withColumn("n_chars", length)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
