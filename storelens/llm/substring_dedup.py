@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm import kernels
-from storelens.llm.common import id_or_last, text_key, text_or_empty
+from storelens.llm.common import LAST_ID, id_or_last, stored, text_key, text_or_empty
 
 _PATHS = "m bigint, path bigint, id bigint, key bigint, at int, n int"
 _PATHS_ARROW = pa.schema([("m", pa.int64()), ("path", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
@@ -103,19 +103,27 @@ def _cut(marked: DataFrame, window: int) -> DataFrame:
                     total.append(len(words))
                     gone.append(len(words) - len(left))
                     kept.append(b" ".join(left).decode())
-                yield kernels.rows(_CUT_ARROW, kernels.column(part, "doc_id"), total, gone, kept)
+                ids = [None if i == LAST_ID else i for i in kernels.column(part, "id").to_pylist()]
+                yield kernels.rows(_CUT_ARROW, ids, total, gone, kept)
 
     return marked.mapInArrow(run, _CUT)
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select(id_or_last().alias("id"), text_key().alias("key"), text_or_empty().alias("text"))
+
+
 def repeated_spans(docs: DataFrame, window: int = 50, anchor: int = 10) -> DataFrame:
     """Runs of removable edges: ``id``, ``key`` (of the text), ``at`` (first word) and ``n`` (edges).
 
     An edge is removable if its words also begin an edge of a document with a smaller id. A null id
     counts as larger than all others; rows with equal ids do not remove each other's words.
     """
-    named = docs.select(id_or_last().alias("id"), text_key().alias("key"), text_or_empty().alias("text"))
+    named = _named(docs)
     found = paths(named, window, anchor)
+    # most minimizers are in one document only; their paths go no further
+    shared = found.groupBy("m").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("m")
+    found = stored(found.join(shared, "m", "left_semi"), "paths")
     here = F.struct("id", "key", "at", "n")
     each = found.groupBy("m", "path").agg(F.min(here).alias("source"), F.max("id").alias("last"))
     # the same path again: gone in every document but the smallest
@@ -150,7 +158,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 10) -> DataF
     """
     gone = repeated_spans(docs, window, anchor).distinct()
     per_text = gone.groupBy("id", "key").agg(F.collect_list(F.struct("at", "n")).alias("removed"))
-    named = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), id_or_last().alias("id"), text_key().alias("key"), text_or_empty().alias("text")
-    )
-    return _cut(named.join(per_text, ["id", "key"], "left").select("doc_id", "text", "removed"), window)
+    # the same exchange of the texts serves the edges and the cut
+    marked = _named(docs).join(per_text, ["id", "key"], "left").select("id", "text", "removed")
+    return _cut(marked, window)
