@@ -20,6 +20,8 @@ BANDS, ROWS = 16, 3
 COMMON = 200
 #: how much more a rare shingle weighs than one that every document has
 RARE = 0.25
+#: cells of a text's outline
+CELLS = 64
 _U = np.uint64
 _LOW = _U((1 << 48) - 1)
 
@@ -211,15 +213,52 @@ def verified(pairs: DataFrame, texts: DataFrame, table, threshold: float, block:
     return stream.repartition("a", "block").sortWithinPartitions("a", "block", "role", "b").mapInArrow(run, "a bigint, b bigint, likeness double")
 
 
+def outlines(texts: DataFrame, table) -> DataFrame:
+    """``node``, its ``total`` weight, and the weights of its shingles that other given texts have too, summed in CELLS cells by hash.
+
+    Two texts share at most the sum of the smaller weights cell by cell.
+    """
+    schema = pa.schema(
+        [("node", pa.int64()), ("total", pa.float64()), ("cells", pa.list_(pa.float64())), ("hashes", pa.list_(pa.int64())), ("each", pa.list_(pa.float64()))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts_ in kernels.slices(batch):
+                owner, hashes, times = shingles(texts_)
+                weight = weights(hashes, times, table.value)
+                n = len(texts_)
+                cell = owner * CELLS + (hashes % _U(CELLS)).astype(np.int64)
+                cells = np.bincount(cell, weight, n * CELLS)
+                cuts = pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32())
+                yield kernels.rows(
+                    schema,
+                    kernels.column(part, "node"),
+                    np.bincount(owner, weight, n),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * CELLS, pa.int32()), pa.array(cells)),
+                    pa.ListArray.from_arrays(cuts, pa.array(hashes.view(np.int64))),
+                    pa.ListArray.from_arrays(cuts, pa.array(weight)),
+                )
+
+    made = stored(texts.select("node", "text").mapInArrow(run, "node bigint, total double, cells array<double>, hashes array<bigint>, each array<double>"), "near-outlines")
+    single = made.select("node", F.explode(F.arrays_zip("hashes", "each")).alias("s")).groupBy("s.hashes").agg(
+        F.count("*").alias("n"), F.min("node").alias("node"), F.min("s.each").alias("each")
+    )
+    own = single.where("n = 1").groupBy("node", (F.col("hashes") % CELLS).alias("cell")).agg(F.sum("each").alias("w"))
+    by_cell = own.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("cell", "w"))).alias("own"))
+    less = F.transform("cells", lambda w, i: w - F.coalesce(F.col("own")[i.cast("bigint")], F.lit(0.0)))
+    return made.join(by_cell, "node", "left").select("node", "total", F.when(F.col("own").isNull(), F.col("cells")).otherwise(less).alias("cells"))
+
+
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: ``id`` (null last), ``node`` (names the text), ``root`` (names the class) and ``class_id``, its smallest id.
 
-    Classes are the connected parts of the graph of texts whose weighted Jaccard similarity is at least
-    ``threshold``. Equal texts are one node. In every bucket of a band all texts are first compared with the bucket's
-    smallest one, its hub. What these links leave in different classes is compared further: each round eight
-    times as many texts of such a bucket, chosen by hash, are hubs to all texts of other classes, and the last round all of them; so no pair that shares
-    a bucket and is still apart goes unseen, while groups of like texts cost one comparison a member.
-    Texts are named by 64 bits.
+    Classes are the connected parts of the graph of texts whose weighted Jaccard similarity is at least ``threshold``. Equal
+    texts are one node, named by 64 bits. In every bucket of a band all texts are first compared with its hub, the text that shares
+    buckets with most others, so a group of like texts costs one comparison a member. Where a bucket's texts are then
+    still in different classes, each two of different classes are compared unless a bound says that they cannot be alike: a
+    text too much of whose weight no other such text has is like none, and two texts share no more than their outlines do. So
+    no pair that shares a bucket is lost. What remains quadratic is the test of outlines within a bucket, among texts that have near misses.
     """
     spark = docs.sparkSession
     named = docs.select(id_or_last().alias("id"), text_key().alias("node"), text_or_empty().alias("text"))
@@ -227,38 +266,31 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     drawn = stored(signatures(named, table), "near-signatures")
     once = drawn.groupBy("node").agg(F.any_value("bands").alias("bands"))
     rows = once.select("node", F.explode("bands").alias("bucket"))
-    sized = rows.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
+    sized = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(rows.join(sized, "bucket"), "near-buckets")
-    needed = members.select("node").distinct()
+    mass = members.groupBy("node").agg(F.sum("size").alias("mass"))
     texts = stored(
-        named.select("node", "text").join(needed, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")), "near-texts"
+        named.select("node", "text").join(mass.select("node"), "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")), "near-texts"
     )
-    pairs = members.where("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    hubs = members.join(mass, "node").groupBy("bucket").agg(F.max(F.struct("mass", "node"))["node"].alias("a"))
+    pairs = members.select("bucket", F.col("node").alias("b")).join(hubs, "bucket").where("a != b").select("a", "b").distinct()
     links = stored(verified(pairs, texts, table, threshold), "near-links")
-    seen, hubs = pairs, 1
-    largest = members.agg(F.max("size")).first()[0] or 0
-    roots = components(links) if largest else None
-    while roots is not None:
-        placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        apart = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-        left = stored(placed.join(apart, "bucket"), "near-apart")
-        chance = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        chosen = left.where(chance * F.col("size") < hubs).select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
-        others = left.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-        todo = chosen.join(others, "bucket").where("ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        todo = stored(todo.join(seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
-        more = stored(verified(todo, texts, table, threshold), "near-links")
-        seen = seen.unionByName(todo)
-        if more.limit(1).count():
-            links = links.unionByName(more)
-            roots = components(links)
-        if hubs >= largest:
-            break
-        hubs *= 8
-    if roots is None:
-        placed = drawn.select("id", "node", F.col("node").alias("root"))
-    else:
-        placed = drawn.select("id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+    left = stored(placed.join(apart, "bucket").select("bucket", "node", "root"), "near-apart")
+    some = texts.join(left.select("node").distinct(), "node", "left_semi")
+    outlined = outlines(some, table).withColumn("common", F.aggregate("cells", F.lit(0.0), lambda x, y: x + y))
+    able = stored(left.join(outlined.where(F.col("common") >= threshold * F.col("total") - 1e-9), "node"), "near-able")
+    one = able.select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("node", "root", "total", "cells", "common")))
+    two = able.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("node", "root", "total", "cells", "common")))
+    # shared weight s is enough if s / (total_a + total_b - s) >= threshold
+    enough = (F.col("total_a") + F.col("total_b")) * F.lit(threshold / (1 + threshold)) - 1e-9
+    outline = F.aggregate(F.zip_with("cells_a", "cells_b", lambda x, y: F.least(x, y)), F.lit(0.0), lambda x, y: x + y)
+    may = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & (F.least("common_a", "common_b") >= enough) & (outline >= enough)
+    todo = one.join(two, (one["bucket"] == two["bucket"]) & may).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    links = links.unionByName(stored(verified(stored(todo, "near-pairs"), texts, table, threshold), "near-links"))
+    roots = components(links)
+    placed = drawn.select("id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("id").alias("class_id"))
     return placed.join(least, "root").select("id", "node", "root", "class_id")
 
