@@ -46,7 +46,7 @@ def _(spark, sf_dir):
 
 @query("op5_secret_scan")
 def _(spark, sf_dir):
-    count = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    count = [secrets.of_kind("base", k).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")]
     return secrets.scan(documents(spark, sf_dir)).select(
         "doc_id", *count, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), secrets.joined(F.col("found")).alias("spans")
     )

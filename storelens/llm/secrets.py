@@ -132,9 +132,10 @@ def candidates(named: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """Texts and the kinds of which they have all trigrams of some alternative: ``id, key, kinds``."""
     queries = [(r.kind, i, sorted(q)) for r in rules for i, q in enumerate(trigram_query(r.pattern))]
     terms = [(kind, i, len(q), t) for kind, i, q in queries for t in q]
-    spark = named.sparkSession
     # as many rows as the rules have trigrams
-    wanted = spark.createDataFrame(terms, "kind string, alternative int, needed int, trigram string")
+    names = ("kind", "alternative", "needed", "trigram")
+    listed = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, t, strict=True))) for t in terms))
+    wanted = named.sparkSession.range(1).select(F.inline(listed))
     hits = postings(named, sorted({t[3] for t in terms})).join(F.broadcast(wanted), "trigram")
     met = hits.groupBy("id", "key", "kind", "alternative", "needed").agg(F.count_distinct("trigram").alias("n"))
     return met.where("n = needed").groupBy("id", "key").agg(F.collect_set("kind").alias("kinds"))
@@ -198,6 +199,11 @@ def joined(spans: Column) -> Column:
     )
 
 
+def of_kind(spans: str, kind: str) -> Column:
+    """How many spans are of a kind."""
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind))
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per document: ``doc_id``, ``found`` (see ``find``) and ``base`` (spans of base rules).
 

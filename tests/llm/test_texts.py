@@ -235,3 +235,24 @@ def test_similar_fingerprints(spark, documents):
             if len(x & y) >= 0.8 * len(x | y):
                 want[frozenset((a, b))] = len(x & y) / len(x | y)
     assert got == pytest.approx(want) and len(want) > 10
+
+
+def test_contract_columns(spark):
+    from storelens.llm import queries, registry  # noqa: F401
+
+    want = {
+        "op1_mixing": "doc_id size source_size target taken",
+        "op2_substring_dedup": "doc_id n_words n_removed kept_sha256",
+        "op3_spotsigs": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+        "op4_token_counts": "doc_id n_bytes n_tokens over_limit",
+        "op5_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
+        "op6_near_dedup": "doc_id class_id",
+        "op7_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+        "op8_toxicity": "doc_id held_out score predicted",
+        "op9_language_model": "doc_id held_out n_tokens n_known train_tokens base_score score",
+        "op10_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    }
+    for name, columns in want.items():
+        rows = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert set(columns.split()) <= set(rows.columns), name
+        assert rows.count() == 200, name
