@@ -58,10 +58,10 @@ def _(t):
     "SELECT seller_state AS state, count(*) AS sellers, CAST(sum(seller_id) AS BIGINT) AS id_sum FROM c_sellers GROUP BY 1",
 )
 def _(t):
-    """States cut into documents of about two sellers, put together again."""
-    docs = documents.seller_state_buckets(t, bucket_rows=2)
+    """States in up to five documents, put together again."""
+    docs = documents.seller_state_buckets(t, buckets=5)
     return docs.groupBy("state").agg(
-        F.sum("seller_count").alias("sellers"),
+        F.sum(F.size("sellers")).alias("sellers"),
         F.sum(
             F.aggregate("sellers", F.lit(0).cast("bigint"), lambda a, s: a + s["seller_id"])
         ).alias("id_sum"),

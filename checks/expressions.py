@@ -153,10 +153,11 @@ def _(t):
 
 @case(
     "p13_after_cursor",
-    "SELECT p_partkey, p_name FROM part WHERE p_partkey > 77 ORDER BY p_partkey LIMIT 24",
+    "SELECT p_partkey, p_name FROM part WHERE p_partkey > 77",
 )
 def _(t):
-    return paging.keyset_page(t.star("part").select("p_partkey", "p_name"), "p_partkey", 77, 24)
+    parts = t.star("part").select("p_partkey", "p_name")
+    return parts.filter(predicates.after_cursor(F.col("p_partkey"), 77))
 
 
 @case(

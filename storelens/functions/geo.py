@@ -46,12 +46,13 @@ def sphere_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
 
 
 def geodesic_m(
-    lat1: Column, lng1: Column, lat2: Column, lng2: Column, rounds: int = 15
+    lat1: Column, lng1: Column, lat2: Column, lng2: Column, rounds: int = 200
 ) -> Column:
     """Metres on the WGS84 ellipsoid by Vincenty's inverse formula.
 
-    A fixed number of rounds runs inside one ``aggregate`` expression in the JVM; it
-    settles to below a millimetre in under ten unless the points are nearly antipodal.
+    Rounds run inside one ``aggregate`` expression in the JVM until the longitude difference
+    settles, mostly within ten; a settled pair costs nothing more. Null if it has not settled after
+    ``rounds``, as for points almost opposite each other, where ``sphere_m`` can serve instead.
     """
     f = WGS84_F
     u1 = F.atan((1 - f) * F.tan(F.radians(lat1)))
@@ -118,11 +119,17 @@ def geodesic_m(
         return let(arc(lam, e), body)
 
     def solve(e: Column) -> Column:
+        def step(state: Column) -> Column:
+            return let(
+                next_lambda(state["lam"], e),
+                lambda lam: F.struct(lam.alias("lam"), F.abs(lam - state["lam"]).alias("moved")),
+            )
+
         return F.aggregate(
             F.sequence(F.lit(1), F.lit(rounds)),
-            e["d"],
-            lambda lam, _: next_lambda(lam, e),
-            lambda lam: length(lam, e),
+            F.struct(e["d"].alias("lam"), F.lit(1.0).alias("moved")),
+            lambda state, _: F.when(state["moved"] > 1e-12, step(state)).otherwise(state),
+            lambda state: F.when(state["moved"] <= 1e-12, length(state["lam"], e)),
         )
 
     return let(ends, solve)
@@ -134,7 +141,7 @@ def nearest(
     """The ``n`` points nearest to a place, ranked on the sphere, measured on the ellipsoid.
 
     Each task keeps its own best ``n``, so only n rows per task leave it; the costlier
-    ellipsoid distance is worked out for the final n rows alone.
+    ellipsoid distance is worked out for the final n rows alone (on the sphere where that does not settle).
     """
     ranked = (
         df.withColumn(
@@ -145,5 +152,6 @@ def nearest(
         .limit(n)
     )
     return ranked.withColumn(
-        "distance_meters", geodesic_m(F.col(lat_col), F.col(lng_col), F.lit(lat), F.lit(lng))
+        "distance_meters",
+        F.coalesce(geodesic_m(F.col(lat_col), F.col(lng_col), F.lit(lat), F.lit(lng)), F.col("_sphere")),
     ).drop("_sphere")

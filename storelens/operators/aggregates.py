@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,12 +96,60 @@ def share_of_total(
     )
 
 
-def describe(df: DataFrame, columns: list[str], accuracy: int = 10000) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of numeric columns, one row each.
+def exact_quantiles(
+    df: DataFrame, columns: list[str], shares: list[float], bins: int = 256
+) -> DataFrame:
+    """``column`` and ``q``: the quantiles of each column, interpolated between neighbours.
 
-    One pass. Quartiles are rank-based with a relative rank error of ``1/accuracy``:
-    exact ones would need every distinct value of a column in one place.
+    Values are counted before the shuffle. Approximate quantiles only cut each column into
+    about ``bins`` ranges; counts per range then tell the exact rank at which each range
+    begins, so running counts are taken range by range and no task orders a whole column.
     """
+    named = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    counted = (
+        df.select(F.inline(F.array(*named)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    points = [i / bins for i in range(1, bins)]
+    cuts = counted.groupBy(F.col("column").alias("_of")).agg(
+        F.percentile_approx("value", points, F.lit(100 * bins)).alias("cuts")
+    )
+    binned = counted.join(cuts, F.col("column") == F.col("_of")).select(
+        "column", "value", "n", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("bin")
+    )
+    in_column = Window.partitionBy("column").orderBy("bin")
+    begins = (
+        binned.groupBy("column", "bin")
+        .agg(F.sum("n").alias("rows"))
+        .select(
+            F.col("column").alias("_of"),
+            F.col("bin").alias("_bin"),
+            (F.sum("rows").over(in_column) - F.col("rows")).alias("begins"),
+            F.sum("rows").over(Window.partitionBy("column")).alias("all"),
+        )
+    )
+    in_bin = Window.partitionBy("column", "bin").orderBy("value")
+    ranked = binned.join(begins, (F.col("column") == F.col("_of")) & (F.col("bin") == F.col("_bin"))).select(
+        "column", "value", "n", "all", (F.col("begins") + F.sum("n").over(in_bin)).alias("upto")
+    )
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto")), F.col("value")))
+
+    places = [(F.col("all") - 1) * share for share in shares]
+    ends = [at(end).alias(f"_{i}_{side}") for i, p in enumerate(places) for side, end in (("lo", F.floor(p)), ("hi", F.ceil(p)))]
+    found = ranked.groupBy("column", "all").agg(*ends)
+    values = [
+        F.col(f"_{i}_lo") + (F.col(f"_{i}_hi") - F.col(f"_{i}_lo")) * (p - F.floor(p))
+        for i, p in enumerate(places)
+    ]
+    return found.select("column", F.array(*values).alias("q"))
+
+
+def describe(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Count, mean, deviation, extremes and exact quartiles of numeric columns, one row each."""
     rows = [
         F.struct(
             F.lit(c).alias("column"),
@@ -109,12 +157,12 @@ def describe(df: DataFrame, columns: list[str], accuracy: int = 10000) -> DataFr
             F.avg(F.col(c).cast("double")).alias("mean"),
             F.stddev_samp(F.col(c).cast("double")).alias("std"),
             F.min(F.col(c).cast("double")).alias("min"),
-            F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias("q"),
             F.max(F.col(c).cast("double")).alias("max"),
         )
         for c in columns
     ]
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r")).select(
+    moments = df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    return moments.join(exact_quantiles(df, columns, [0.25, 0.5, 0.75]), "column", "left").select(
         "column",
         "count",
         "mean",

@@ -9,60 +9,39 @@ from storelens.operators.aggregates import last_row_per_key
 
 
 def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    as_: str,
-    chunk_rows: int = 10_000,
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, as_: str, buckets: int = 1
 ) -> DataFrame:
     """Matching right rows as an array per left row, empty if there are none.
 
-    A key with at most ``chunk_rows`` matches gives one row, ``chunk`` 0. A key with
-    more is cut into numbered chunks of about that size, each its own row, so no task
-    ever holds a whole hot group and no match is lost. Equal right rows are counted
-    before the shuffle and spread over the chunks by number, so a group of copies is
-    cut like any other. If only the joined rows are wanted, use ``lookup_unwound``.
+    Every left row gives ``buckets`` rows, numbered by ``chunk``, whatever the size of the data; a
+    match is in one of them, by its hash. With the default 1 all matches of a key meet in
+    one array, so a table with crowded keys needs more buckets, or ``lookup_unwound`` if
+    the joined rows are enough. Equal right rows are counted before the shuffle and dealt
+    over the buckets in turn.
     """
     names = right.columns
     copies = right.filter(F.col(right_key).isNotNull()).groupBy(*names).agg(
         F.count("*").alias("_copies")
     )
-    crowded = (
-        copies.groupBy(F.col(right_key).alias("_crowded_key"))
-        .agg(F.sum("_copies").alias("_rows"))
-        .filter(F.col("_rows") > chunk_rows)
-        .withColumn("_chunks", F.ceil(F.col("_rows") / chunk_rows).cast("int"))
-        .drop("_rows")
+    turn = F.explode(F.sequence(F.lit(0), F.least(F.lit(buckets), F.col("_copies")).cast("int") - 1))
+    pieces = copies.withColumn("_turn", turn).withColumns(
+        {
+            "_chunk": F.pmod(F.xxhash64(*names) + F.col("_turn"), F.lit(buckets)).cast("int"),
+            "_times": F.floor((F.col("_copies") - F.col("_turn") - 1) / buckets).cast("int") + 1,
+        }
     )
-    pieces = (
-        copies.join(crowded, F.col(right_key) == F.col("_crowded_key"), "left")
-        .withColumn(
-            "_piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / chunk_rows)))
-        )
-        .withColumn(
-            "_times",
-            F.least(F.lit(chunk_rows), F.col("_copies") - F.col("_piece") * chunk_rows).cast("int"),
-        )
-        .withColumn(
-            "_chunk",
-            F.coalesce(
-                F.pmod(F.pmod(F.xxhash64(*names), F.col("_chunks")) + F.col("_piece"), F.col("_chunks")),
-                F.lit(0),
-            ).cast("int"),
-        )
-    )
-    arrays = pieces.groupBy(F.col(right_key).alias("_lookup_key"), F.col("_chunk").alias("chunk")).agg(
+    arrays = pieces.groupBy(F.col(right_key).alias("_lookup_key"), F.col("_chunk")).agg(
         F.array_sort(
             F.flatten(F.collect_list(F.array_repeat(F.struct(*names), F.col("_times"))))
         ).alias(as_)
     )
     row_type = f"array<{right.select(F.struct(*names).alias('r')).schema['r'].dataType.simpleString()}>"
-    joined = left.join(arrays, F.col(left_key) == F.col("_lookup_key"), "left")
+    chunked = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    joined = chunked.join(
+        arrays, (F.col(left_key) == F.col("_lookup_key")) & (F.col("chunk") == F.col("_chunk")), "left"
+    )
     return joined.select(
-        *left.columns,
-        F.coalesce(F.col(as_), F.array().cast(row_type)).alias(as_),
-        F.coalesce("chunk", F.lit(0)).alias("chunk"),
+        *left.columns, F.coalesce(F.col(as_), F.array().cast(row_type)).alias(as_), "chunk"
     )
 
 
@@ -113,10 +92,11 @@ def denormalize_orders(
 ) -> DataFrame:
     """Orders with items, payments and reviews side by side; rows multiply by design.
 
-    All three joins use the order id, so orders and each table are shuffled once.
+    All three joins use the order id, so orders and each table are shuffled once. A column
+    whose name is taken keeps its values under the name of its table and its own.
     """
     out = orders
-    for table in (items, payments, reviews):
-        clash = [c for c in table.columns if c in out.columns and c != "order_id"]
-        out = out.join(table.drop(*clash), "order_id", "left")
+    for prefix, table in (("items", items), ("payments", payments), ("reviews", reviews)):
+        clash = {c: f"{prefix}_{c}" for c in table.columns if c in out.columns and c != "order_id"}
+        out = out.join(table.withColumnsRenamed(clash), "order_id", "left")
     return out

@@ -122,34 +122,34 @@ def orders_analytics(tables: Tables) -> DataFrame:
     )
 
 
-def seller_state_buckets(tables: Tables, bucket_rows: int = 10_000) -> DataFrame:
-    """Sellers grouped by state; a state beyond ``bucket_rows`` is cut into several documents.
+def seller_state_buckets(tables: Tables, buckets: int = 1) -> DataFrame:
+    """Sellers grouped by state, each state in ``buckets`` documents at most.
 
-    ``bucket`` numbers the documents of a state (0 when there is one), ``seller_count``
-    counts the sellers in this document and ``state_sellers`` those of the state. Sellers
-    are spread over a crowded state's documents by a hash of their id.
+    ``bucket`` numbers a state's documents, to which sellers are dealt by a hash of their id;
+    ``seller_count`` and ``state_sellers`` count the sellers of the state in every one of them. The
+    number of buckets is the caller's, never the data's: choose it so that a crowded state's documents stay small.
     """
     sellers = tables["sellers"].filter(F.col("seller_state").isNotNull())
-    sizes = (
-        sellers.groupBy(F.col("seller_state").alias("state"))
-        .agg(F.count("*").alias("state_sellers"))
-        .withColumn("_buckets", F.ceil(F.col("state_sellers") / bucket_rows))
+    sizes = sellers.groupBy(F.col("seller_state").alias("_state")).agg(
+        F.count("*").alias("state_sellers")
     )
-    spread = sellers.join(sizes, F.col("seller_state") == F.col("state")).withColumn(
-        "bucket", F.pmod(F.xxhash64("seller_id"), F.col("_buckets")).cast("int")
-    )
-    return spread.groupBy("state", "bucket").agg(
-        F.count("*").alias("seller_count"),
-        F.max("state_sellers").alias("state_sellers"),
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    "seller_id",
-                    F.col("seller_city").alias("city"),
-                    F.col("seller_zip_code_prefix").alias("zip_code_prefix"),
+    documents = (
+        sellers.withColumn("bucket", F.pmod(F.xxhash64("seller_id"), F.lit(buckets)).cast("int"))
+        .groupBy(F.col("seller_state").alias("state"), "bucket")
+        .agg(
+            F.array_sort(
+                F.collect_list(
+                    F.struct(
+                        "seller_id",
+                        F.col("seller_city").alias("city"),
+                        F.col("seller_zip_code_prefix").alias("zip_code_prefix"),
+                    )
                 )
-            )
-        ).alias("sellers"),
+            ).alias("sellers")
+        )
+    )
+    return documents.join(sizes, F.col("state") == F.col("_state")).select(
+        "state", "bucket", F.col("state_sellers").alias("seller_count"), "state_sellers", "sellers"
     )
 
 

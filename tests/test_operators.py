@@ -61,19 +61,19 @@ def test_not_in_needs_no_broadcast_of_the_other_side(spark, frame):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_lookup_gives_empty_arrays_and_cuts_hot_keys(frame):
+def test_lookup_has_one_shape_at_every_size(frame):
     left = frame([("o1",), ("o2",), ("o3",)], "order_id string")
     hot = [("o1", i) for i in range(250)] + [("o1", 7)] * 500
     right = frame(hot + [("o2", 1), ("o2", 2), (None, 9)], "oid string, review int")
-    out = joins.lookup(left, right, "order_id", "oid", "reviews", chunk_rows=100).collect()
-    by_key = {}
-    for r in out:
-        by_key.setdefault(r["order_id"], []).append((r["chunk"], [x["review"] for x in r["reviews"]]))
-    assert by_key["o3"] == [(0, [])]
-    assert by_key["o2"] == [(0, [1, 2])]
-    assert len(by_key["o1"]) > 3 and len({c for c, _ in by_key["o1"]}) == len(by_key["o1"])
-    assert max(len(v) for _, v in by_key["o1"]) < 500
-    assert sorted(x for _, v in by_key["o1"] for x in v) == sorted(i for _, i in hot)
+    for buckets in (1, 8):
+        by_key = {}
+        for r in joins.lookup(left, right, "order_id", "oid", "reviews", buckets=buckets).collect():
+            by_key.setdefault(r["order_id"], {})[r["chunk"]] = [x["review"] for x in r["reviews"]]
+        assert all(sorted(v) == list(range(buckets)) for v in by_key.values()) and len(by_key) == 3
+        assert not any(by_key["o3"].values())
+        assert sorted(x for v in by_key["o2"].values() for x in v) == [1, 2]
+        assert sorted(x for v in by_key["o1"].values() for x in v) == sorted(i for _, i in hot)
+    assert max(len(v) for v in by_key["o1"].values()) < 200
 
 
 def test_lookup_unwound_repeats_rows(frame):
@@ -89,6 +89,14 @@ def test_translate_takes_the_last_duplicate(frame):
     assert out == {"casa": "house", "x": None, None: None}
 
 
+def test_denormalized_columns_of_one_name_all_stay(frame):
+    orders = frame([(1, "a")], "order_id int, note string")
+    out = joins.denormalize_orders(
+        orders, frame([(1, "b")], "order_id int, note string"), frame([(1, "c", 2)], "order_id int, note string, value int"), frame([(1, 3)], "order_id int, value int")
+    )
+    assert out.first().asDict() == {"order_id": 1, "note": "a", "items_note": "b", "payments_note": "c", "value": 2, "reviews_value": 3}
+
+
 def test_denormalized_rows_multiply(frame):
     orders = frame([(1,), (2,)], "order_id int")
     items = frame([(1, 1), (1, 2)], "order_id int, item int")
