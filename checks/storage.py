@@ -424,16 +424,69 @@ def _event_files(t, broken: bool):
     return path
 
 
-def _applied(t, broken: bool = False):
+def _applied(t, broken: bool = False, feed: str | None = None, body: str = "k int"):
     """Run the job over all event files, in batches of one file, then once more."""
     root = fresh_path(t.spark, "documents")
-    feed = _event_files(t, broken)
+    feed = feed or _event_files(t, broken)
     for _ in range(2):
         stream = outbox.read_events(t.spark, feed, max_files=1)
-        outbox.apply_events(stream, root, "k int", f"{root}/checkpoint").awaitTermination()
+        outbox.apply_events(stream, root, body, f"{root}/checkpoint").awaitTermination()
     return root
 
 
+def _partial_event_files(t):
+    """Events of two types; clicks carry only ``k``, errors an explicit null, the others only their kind."""
+    path = fresh_path(t.spark, "feed")
+    events = t["outbox_events"].withColumn("k", F.get_json_object("payload", "$.k").cast("int"))
+    kind = F.col("event_type")
+    payload = (
+        F.when(kind == "click", F.to_json(F.struct("k")))
+        .when(kind == "error", F.lit('{"kind":null}'))
+        .otherwise(F.to_json(F.struct(kind.alias("kind"))))
+    )
+    events.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.when(F.col("event_id") % 2 == 0, "user").otherwise("product").alias("aggregate_type"),
+        F.col("aggregate_id").cast("string").alias("aggregate_id"),
+        "event_type",
+        payload.alias("payload"),
+        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
+        "retries",
+    ).repartition(3, "event_id").write.json(path)
+    return path
+
+
+_PARTIAL = """SELECT CASE WHEN event_id % 2 = 0 THEN 'user' ELSE 'product' END AS aggregate_type, aggregate_id,
+    arg_max(CAST(json_extract(payload, '$.k') AS INTEGER), (created_at, CAST(event_id AS VARCHAR)))
+      FILTER (event_type = 'click') AS k,
+    nullif(arg_max(CASE WHEN event_type = 'error' THEN 'null' ELSE event_type END, (created_at, CAST(event_id AS VARCHAR)))
+      FILTER (event_type <> 'click'), 'null') AS kind FROM c_outbox_events GROUP BY 1, 2"""
+
+
+@case("st2_partial_payloads", _PARTIAL)
+def _(t):
+    root = _applied(t, feed=_partial_event_files(t), body="k int, kind string")
+    docs = outbox.current_documents(t.spark, root)
+    return docs.select("aggregate_type", F.col("aggregate_id").cast("bigint").alias("aggregate_id"), "k", "kind")
+
+
+@case(
+    "st2_two_types",
+    f"""SELECT c_custkey AS id, c_mktsegment AS label, e.k, e.kind FROM customer FULL JOIN
+    (SELECT * FROM ({_PARTIAL}) WHERE aggregate_type = 'product') e ON e.aggregate_id = c_custkey""",
+)
+def _(t):
+    """Only the documents of one type reach its table, although ids are shared."""
+    root = _applied(t, feed=_partial_event_files(t), body="k int, kind string")
+    compacted = fresh_path(t.spark, "documents")
+    outbox.compact(t.spark, root, compacted)
+    base = t.star("customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("label")
+    )
+    folded = outbox.fold_into(base, outbox.current_documents(t.spark, compacted), "id", "product")
+    return folded.select(F.col("id").cast("bigint").alias("id"), "label", "k", "kind")
+
+
 @case(
     "st2_apply_events",
     """SELECT aggregate_id, CAST(json_extract(payload, '$.k') AS INTEGER) AS k, created_at AS updated_at FROM c_outbox_events
@@ -459,7 +512,7 @@ def _(t):
         F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("label")
     )
     changes = outbox.current_documents(t.spark, _applied(t))
-    folded = outbox.fold_into(base, changes, "id")
+    folded = outbox.fold_into(base, changes, "id", "user")
     return folded.select(F.col("id").cast("bigint").alias("id"), "label", "k")
 
 

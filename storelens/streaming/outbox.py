@@ -1,16 +1,18 @@
 """Outbox events, applied to a document table by a streaming job.
 
-Each micro-batch writes three small folders named after its number: the newest change per
-document, the ids it handled, and the events it could not read. A batch that runs again
-after a failure overwrites its own folders, and the current document is always the newest
-change by (event time, event id), so replays and repeats change nothing. Work per batch
-grows with the batch, not with the table.
+Each micro-batch writes three small folders named after its number: the newest value per
+document and field, the ids it handled, and the events it could not read. A batch that runs
+again after a failure overwrites its own folders, and a field's current value is always that of
+the newest event, by (event time, event id), that carries the field, so replays, repeats and late
+events change nothing that is newer. A field that an event leaves out keeps its value; an
+explicit null sets it to null. Work per batch grows with the batch; ``compact`` bounds what readers
+read by the documents there are.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -43,7 +45,9 @@ def split_events(events: DataFrame, body: str | T.StructType) -> tuple[DataFrame
             F.schema_of_variant(F.try_parse_json("payload")).startswith("OBJECT"), F.lit(False)
         )
     )
-    good = events.filter(readable).withColumn("body", F.from_json("payload", body))
+    good = events.filter(readable).withColumns(
+        {"body": F.from_json("payload", body), "carried": F.json_object_keys("payload")}
+    )
     bad = events.filter(~readable).withColumn(
         "retries", F.coalesce("retries", F.lit(0)) + F.lit(1)
     )
@@ -51,12 +55,38 @@ def split_events(events: DataFrame, body: str | T.StructType) -> tuple[DataFrame
 
 
 def newest_changes(good: DataFrame) -> DataFrame:
-    """One change per document: repeated events count once, the newest event wins."""
+    """One row per document: for each field the newest event that carries it, with its value.
+
+    ``aggregate_type, aggregate_id, created_at, event_id`` of the newest event, and one struct
+    ``created_at, event_id, value`` for each field of the body, null if no event carries it.
+    """
     once = first_row_per_key(good, ["event_id"], ["created_at"])
-    return last_row_per_key(
-        once.select("aggregate_type", "aggregate_id", "created_at", "event_id", "body"),
-        ["aggregate_type", "aggregate_id"],
-        ["created_at", "event_id"],
+    names = once.schema["body"].dataType.names
+    fields = [
+        F.when(
+            F.array_contains("carried", n),
+            F.struct("created_at", "event_id", F.col(f"body.`{n}`").alias("value")),
+        ).alias(n)
+        for n in names
+    ]
+    return _newest(once.select("aggregate_type", "aggregate_id", "created_at", "event_id", F.struct(*fields).alias("fields")))
+
+
+def _newest(changes: DataFrame) -> DataFrame:
+    """Changes of a document put together, field by field."""
+    names = changes.schema["fields"].dataType.names
+    event = F.struct("created_at", "event_id")
+
+    def newest(n: str) -> Column:
+        f = F.col(f"fields.`{n}`")
+        place = F.when(f.isNotNull(), F.struct(f["created_at"].alias("created_at"), f["event_id"].alias("event_id")))
+        return F.max_by(f, place).alias(n)
+
+    merged = changes.groupBy("aggregate_type", "aggregate_id").agg(
+        F.max(event).alias("event"), F.struct(*map(newest, names)).alias("fields")
+    )
+    return merged.select(
+        "aggregate_type", "aggregate_id", "event.created_at", "event.event_id", "fields"
     )
 
 
@@ -91,27 +121,68 @@ def apply_events(
 
 
 def current_documents(spark: SparkSession, root: str) -> DataFrame:
-    """The newest state of every document the events have touched."""
-    changes = spark.read.parquet(f"{root}/changes").drop("batch_id")
-    newest = last_row_per_key(
-        changes, ["aggregate_type", "aggregate_id"], ["created_at", "event_id"]
-    )
+    """The newest state of every document the events have touched.
+
+    ``set_fields`` names the fields that some event carried; the others are null because unknown.
+    """
+    newest = _newest(spark.read.parquet(f"{root}/changes").drop("batch_id"))
+    names = newest.schema["fields"].dataType.names
+    carried = F.array(*(F.when(F.col(f"fields.`{n}`").isNotNull(), F.lit(n)) for n in names))
     return newest.select(
-        "aggregate_type", "aggregate_id", "body.*", F.col("created_at").alias("updated_at")
+        "aggregate_type",
+        "aggregate_id",
+        *(F.col(f"fields.`{n}`.value").alias(n) for n in names),
+        F.col("created_at").alias("updated_at"),
+        F.array_compact(carried).alias("set_fields"),
     )
 
 
-def fold_into(base: DataFrame, documents: DataFrame, key: str) -> DataFrame:
-    """Merge the changes into a full document table; fields an event left out stay."""
-    changes = documents.drop("aggregate_type").withColumnRenamed("aggregate_id", key)
-    return upsert(base, changes, [key], ["updated_at"], keep_when_null=True)
+def fold_into(base: DataFrame, documents: DataFrame, key: str, aggregate_type: str) -> DataFrame:
+    """Merge the documents of one type into its full table.
+
+    Fields that no event carried keep the base's value, also in rows whose ``set_fields`` is missing only
+    where the change is null; documents of other types stay out.
+    """
+    changes = documents.filter(F.col("aggregate_type") == aggregate_type).drop("aggregate_type")
+    if "set_fields" not in changes.columns:
+        changes = changes.withColumnRenamed("aggregate_id", key)
+        return upsert(base, changes, [key], ["updated_at"], keep_when_null=True)
+    newest = last_row_per_key(changes, ["aggregate_id"], ["updated_at"])
+    b, c = base.alias("b"), newest.alias("c")
+    joined = b.join(c, F.col(f"b.{key}") == F.col("c.aggregate_id"), "full_outer")
+    out = [F.coalesce(F.col(f"b.{key}"), F.col("c.aggregate_id")).alias(key)]
+    fields = [n for n in newest.columns if n not in ("aggregate_id", "set_fields", key)]
+    for name in [*(n for n in base.columns if n != key), *(n for n in fields if n not in base.columns)]:
+        if name not in fields:
+            out.append(F.col(f"b.{name}").alias(name))
+            continue
+        old = F.col(f"b.{name}") if name in base.columns else F.lit(None)
+        hit = F.col("c.aggregate_id").isNotNull() if name == "updated_at" else F.array_contains("c.set_fields", name)
+        out.append(F.when(F.coalesce(hit, F.lit(False)), F.col(f"c.{name}")).otherwise(old).alias(name))
+    return joined.select(*out)
+
+
+def compact(spark: SparkSession, root: str, target: str) -> None:
+    """Write the newest state, the handled ids and the rejected events of ``root`` to a new root.
+
+    One row per document and per event, whatever the number of batches. Run it between runs of the
+    job, and use ``target`` as the root from then on, with the same checkpoint; the old root can go when nothing reads it.
+    """
+    folder = "batch_id=-1"
+    _newest(spark.read.parquet(f"{root}/changes").drop("batch_id")).write.parquet(f"{target}/changes/{folder}")
+    spark.read.parquet(f"{root}/processed").groupBy("event_id").agg(F.max("processed_at").alias("processed_at")).write.parquet(
+        f"{target}/processed/{folder}"
+    )
+    rejected(spark, root).distinct().write.parquet(f"{target}/rejected/{folder}")
 
 
 def processed_ids(spark: SparkSession, root: str) -> DataFrame:
     """Handled event ids; empty before the first batch."""
     try:
         return spark.read.parquet(f"{root}/processed").select("event_id").distinct()
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "event_id string")
 
 

@@ -318,11 +318,40 @@ def test_a_rerun_batch_changes_nothing(spark, frame, tmp_path):
     assert outbox.current_documents(spark, root).count() == 1
 
 
+def test_partial_events_lose_no_field(spark, frame, tmp_path):
+    """Each field has its newest value: events that leave it out, come late or repeat do not touch it."""
+    feed, root = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+
+    def run():
+        stream = outbox.read_events(spark, str(feed), max_files=1)
+        outbox.apply_events(stream, root, "status string, state string", f"{tmp_path}/ck").awaitTermination()
+        return {r["aggregate_id"]: (r["status"], r["state"]) for r in outbox.current_documents(spark, root).collect()}
+
+    _write(feed, "a.json", [_event(1, "o1", "2018-01-01T00:00:00Z", '{"status":"shipped"}'),
+                            _event(2, "o1", "2018-01-02T00:00:00Z", '{"state":"RJ"}')])
+    assert run() == {"o1": ("shipped", "RJ")}
+    _write(feed, "b.json", [_event(3, "o1", "2018-01-01T12:00:00Z", '{"status":"approved","state":"SP"}'),
+                            _event(2, "o1", "2018-01-02T00:00:00Z", '{"state":"RJ"}')])
+    assert run() == {"o1": ("approved", "RJ")}
+    _write(feed, "c.json", [_event(4, "o1", "2018-01-03T00:00:00Z", '{"state":null}')])
+    assert run() == {"o1": ("approved", None)}
+    base = frame([("o1", "created", "MG"), ("o2", "created", "RJ")], "order_id string, status string, state string")
+    docs = outbox.current_documents(spark, root)
+    folded = {r["order_id"]: (r["status"], r["state"]) for r in outbox.fold_into(base, docs, "order_id", "order").collect()}
+    assert folded == {"o1": ("approved", None), "o2": ("created", "RJ")}
+    assert outbox.fold_into(base, docs, "order_id", "product").drop("updated_at").collect() == base.collect()
+    smaller = str(tmp_path / "compacted")
+    outbox.compact(spark, root, smaller)
+    assert outbox.current_documents(spark, smaller).collect() == docs.collect()
+    assert outbox.processed_ids(spark, smaller).count() == 4 and spark.read.parquet(f"{smaller}/changes").count() == 1
+
+
 def test_documents_fold_into_a_base(frame, spark):
     base = frame([("o1", "created", "SP"), ("o2", "created", "RJ")], "order_id string, status string, state string")
     changes = frame([("order", "o1", "shipped", d("2018-01-01")), ("order", "o9", "created", d("2018-01-01"))],
                     "aggregate_type string, aggregate_id string, status string, updated_at timestamp")
-    out = {r["order_id"]: (r["status"], r["state"]) for r in outbox.fold_into(base, changes, "order_id").collect()}
+    out = {r["order_id"]: (r["status"], r["state"]) for r in outbox.fold_into(base, changes, "order_id", "order").collect()}
     assert out == {"o1": ("shipped", "SP"), "o2": ("created", "RJ"), "o9": ("created", None)}
 
 
