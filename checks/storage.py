@@ -107,21 +107,77 @@ def _(t):
 
 @case(
     "s03_range_text",
-    """SELECT promotion_id, seller_id, period_lo, period_hi FROM c_product_promotions""",
+    """SELECT promotion_id, seller_id, form, CASE WHEN form IN (0, 1, 2) THEN period_lo WHEN form = 3 THEN period_lo + INTERVAL 1 MICROSECOND
+      WHEN form = 4 THEN NULL ELSE TIMESTAMP '1970-01-01' END AS period_lo,
+    CASE WHEN form IN (0, 4) THEN period_hi WHEN form IN (1, 3) THEN period_hi + INTERVAL 1 MICROSECOND
+      WHEN form = 2 THEN NULL ELSE TIMESTAMP '1970-01-01' END AS period_hi, form <> 6 AS valid
+    FROM (SELECT *, CAST(promotion_id % 7 AS INTEGER) AS form FROM c_product_promotions)""",
 )
 def _(t):
-    side = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    text = F.concat(
-        F.lit('["'), side("period_lo"), F.lit('","'), side("period_hi"), F.lit('")')
+    """Closed, half-open and open-ended ranges, the empty one, and text that is none."""
+    side = lambda c: F.concat(F.lit('"'), F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), F.lit('"'))
+    lo, hi = side("period_lo"), side("period_hi")
+    form = (F.col("promotion_id") % 7).cast("int")
+    text = (
+        F.when(form == 0, F.concat(F.lit("["), lo, F.lit(","), hi, F.lit(")")))
+        .when(form == 1, F.concat(F.lit("["), lo, F.lit(","), hi, F.lit("]")))
+        .when(form == 2, F.concat(F.lit("["), lo, F.lit(",)")))
+        .when(form == 3, F.concat(F.lit("("), lo, F.lit(","), hi, F.lit("]")))
+        .when(form == 4, F.concat(F.lit("(,"), hi, F.lit(")")))
+        .when(form == 5, F.lit("empty"))
+        .otherwise(F.concat(F.lit("["), lo, F.lit(",soon)")))
     )
     parsed = t["product_promotions"].select(
-        "promotion_id", "seller_id", readers.parse_range_text(text).alias("p")
+        "promotion_id", "seller_id", form.alias("form"), readers.parse_range_text(text).alias("p")
     )
     return parsed.select(
         "promotion_id",
         "seller_id",
+        "form",
         F.col("p.lo").cast("timestamp_ntz").alias("period_lo"),
         F.col("p.hi").cast("timestamp_ntz").alias("period_hi"),
+        "p.valid",
+    )
+
+
+@case(
+    "s01_rejected_rows",
+    "SELECT order_id, order_item_id, product_id % 10 = 0 AS rejected FROM c_order_items",
+)
+def _(t):
+    """A price that is no number sends its row to the rejects, whole."""
+    path = fresh_path(t.spark, "s01c")
+    price = F.when(F.col("product_id") % 10 == 0, F.lit("free")).otherwise(F.col("price").cast("string"))
+    t["order_items"].select("order_id", "order_item_id", price.alias("price")).write.option(
+        "header", True
+    ).csv(path)
+    good, bad = readers.read_csv_with_rejects(
+        t.spark, path, "order_id bigint, order_item_id int, price decimal(12,2)"
+    )
+    cells = F.split("_corrupt_record", ",")
+    told = bad.select(
+        "price", cells[0].cast("bigint").alias("order_id"), cells[1].cast("int").alias("order_item_id"), F.lit(True).alias("rejected")
+    )
+    return good.select("order_id", "order_item_id", F.lit(False).alias("rejected")).unionByName(
+        told.select("order_id", "order_item_id", "rejected")
+    )
+
+
+@case(
+    "s04_rejected_documents",
+    "SELECT event_id, event_type = 'error' AS rejected FROM events",
+)
+def _(t):
+    """Lines that are no JSON go to the rejects as they are."""
+    path = fresh_path(t.spark, "s04b")
+    line = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), "event_id")).otherwise(
+        F.to_json(F.struct("event_id"))
+    )
+    t.star("events").select(line.alias("value")).write.text(path)
+    good, bad = readers.read_docs_with_rejects(t.spark, path, "event_id bigint")
+    told = bad.select("event_id", F.regexp_extract("_corrupt_record", r"(\d+)$", 1).cast("bigint").alias("id"))
+    return good.select("event_id", F.lit(False).alias("rejected")).unionByName(
+        told.select(F.col("id").alias("event_id"), F.lit(True).alias("rejected"))
     )
 
 

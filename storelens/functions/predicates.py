@@ -143,6 +143,10 @@ def _contains(doc: Column, wanted) -> Column:
         return F.coalesce(kind == "VOID", F.lit(False))
     if isinstance(wanted, bool):
         same = (kind == "BOOLEAN") & (F.try_variant_get(doc, "$", "boolean") == F.lit(wanted))
+    elif isinstance(wanted, int) and abs(wanted) >= 1 << 53:
+        # beyond what a double tells apart: whole numbers as decimals
+        exact = F.try_variant_get(doc, "$", "decimal(38,0)")
+        same = kind.rlike("^(BIGINT|DECIMAL)") & (exact == F.lit(str(wanted)).cast("decimal(38,0)"))
     elif isinstance(wanted, (int, float)):
         numeric = kind.rlike("^(BIGINT|DOUBLE|DECIMAL)")
         same = numeric & (F.try_variant_get(doc, "$", "double") == F.lit(float(wanted)))

@@ -9,14 +9,10 @@ from pyspark.sql import types as T
 from storelens.functions.scalars import let
 
 
-def read_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False
-) -> DataFrame:
-    """CSV with a header, typed by a declared schema.
+CORRUPT = "_corrupt_record"
 
-    ``multiline`` is for tables with line breaks inside quotes (reviews). It makes a
-    file one task, so such tables should come as many files; all others stay splittable.
-    """
+
+def _csv(spark: SparkSession, schema: T.StructType, multiline: bool):
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -24,13 +20,54 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(path)
     )
 
 
+def _struct(schema: str | T.StructType) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _sorted_out(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    # a row counts as read only if every column was parsed, so the test uses them all
+    plain = [f.name for f in rows.schema if f.name != CORRUPT and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    parsed = F.xxhash64(*(F.col(f"`{n}`") for n in plain)) >= F.lit(-(1 << 63))
+    told = rows.withColumn(CORRUPT, F.when(parsed, F.col(CORRUPT)))
+    return (
+        told.filter(F.col(CORRUPT).isNull()).drop(CORRUPT),
+        told.filter(F.col(CORRUPT).isNotNull()),
+    )
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False
+) -> DataFrame:
+    """CSV with a header, typed by a declared schema; a row that does not fit it fails the read.
+
+    ``multiline`` is for tables with line breaks inside quotes (reviews). It makes a
+    file one task, so such tables should come as many files; all others stay splittable.
+    """
+    return _csv(spark, _struct(schema), multiline).option("mode", "FAILFAST").csv(path)
+
+
+def read_csv_with_rejects(
+    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit the schema, and the others with their text in ``_corrupt_record``."""
+    wide = T.StructType([*_struct(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    return _sorted_out(_csv(spark, wide, multiline).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+
+
 def read_docs(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Newline-delimited JSON documents with a declared nested schema."""
-    return spark.read.schema(schema).json(path)
+    """Newline-delimited JSON documents of a declared nested schema; a line that does not fit fails the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def read_docs_with_rejects(
+    spark: SparkSession, path: str, schema: str | T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """The documents that fit the schema, and the other lines in ``_corrupt_record``."""
+    wide = T.StructType([*_struct(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    return _sorted_out(spark.read.schema(wide).option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def read_open_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -58,12 +95,16 @@ def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
 
 
 def parse_array_text(text: Column) -> Column:
-    """``{a,"b,c"}`` to an array; ``{}`` to an empty one. Unquoted NULL becomes null."""
+    """``{a,"b,c"}`` to an array; ``{}`` to an empty one. Unquoted NULL becomes null.
+
+    A backslash keeps the character after it, in quotes and outside.
+    """
     inner = F.regexp_replace(F.trim(text), r"^\{|\}$", "")
-    parts = F.split(inner, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    element = lambda p: F.when(F.upper(p) == "NULL", F.lit(None).cast("string")).otherwise(
-        F.regexp_replace(p, r'^"|"$', "")
+    parts = F.regexp_extract_all(
+        F.concat(inner, F.lit(",")), F.lit(r'("(?:[^"\\]|\\.)*"|(?:[^,\\]|\\.)*),'), F.lit(1)
     )
+    plain = lambda p: F.regexp_replace(F.regexp_replace(p, r'(?s)^"(.*)"$', "$1"), r"(?s)\\(.)", "$1")
+    element = lambda p: F.when(F.upper(p) == "NULL", F.lit(None).cast("string")).otherwise(plain(p))
     return F.when(text.isNull(), F.lit(None).cast("array<string>")).when(
         inner == "", F.array().cast("array<string>")
     ).otherwise(F.transform(parts, element))
@@ -74,15 +115,39 @@ def parse_json_text(text: Column) -> Column:
 
 
 def parse_range_text(text: Column) -> Column:
-    """``["lo","hi")`` to ``struct<lo, hi>``; a side left out is null, meaning open."""
-    sides = F.split(F.translate(text, '[]()"', ""), ",")
-    shaped = (F.left(text, F.lit(1)).isin("[", "(")) & (F.right(text, F.lit(1)).isin("]", ")"))
-    return let(
-        sides,
-        lambda s: F.when(
-            shaped & (F.size(s) == 2),
+    """``["lo","hi")`` to ``struct<lo, hi, valid>``, a half-open period.
+
+    A side left out is null, meaning open. ``(`` and ``]`` move their bound by a microsecond, the
+    step of a timestamp. ``empty`` is a period from one instant to the same, so it holds
+    none; so is, with ``valid`` false, a text that is no range or has a side that is no time, and
+    with ``valid`` null a null text.
+    """
+    shape = r'^\s*([\[(])\s*"?([^",]*)"?\s*,\s*"?([^",]*)"?\s*([\])])\s*$'
+    part = lambda i: F.regexp_extract(text, shape, i)
+    no_time = F.lit("1970-01-01").cast("timestamp")
+    nothing = lambda valid: F.struct(no_time.alias("lo"), no_time.alias("hi"), valid.alias("valid"))
+    step = F.expr("INTERVAL '0.000001' SECOND")
+    sides = F.struct(
+        part(1).alias("open"),
+        F.trim(part(2)).alias("from"),
+        F.trim(part(3)).alias("to"),
+        part(4).alias("close"),
+        F.trim(part(2)).try_cast("timestamp").alias("lo"),
+        F.trim(part(3)).try_cast("timestamp").alias("hi"),
+    )
+
+    def period(s: Column) -> Column:
+        broken = (s["open"] == "") | ((s["from"] != "") & s["lo"].isNull()) | ((s["to"] != "") & s["hi"].isNull())
+        return F.when(broken, nothing(F.lit(False))).otherwise(
             F.struct(
-                s[0].try_cast("timestamp").alias("lo"), s[1].try_cast("timestamp").alias("hi")
-            ),
-        ),
+                F.when(s["open"] == "(", s["lo"] + step).otherwise(s["lo"]).alias("lo"),
+                F.when(s["close"] == "]", s["hi"] + step).otherwise(s["hi"]).alias("hi"),
+                F.lit(True).alias("valid"),
+            )
+        )
+
+    return (
+        F.when(text.isNull(), nothing(F.lit(None).cast("boolean")))
+        .when(F.lower(F.trim(text)) == "empty", nothing(F.lit(True)))
+        .otherwise(let(sides, period))
     )

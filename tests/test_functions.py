@@ -2,6 +2,8 @@ import hashlib
 import math
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from storelens.functions import geo, predicates, scalars, text
@@ -210,7 +212,15 @@ def test_text_forms(value):
     got = rng('["2018-01-01T00:00:00+00:00","2018-02-01T00:00:00+00:00")')
     assert (str(got["lo"]), str(got["hi"])) == ("2018-01-01 00:00:00", "2018-02-01 00:00:00")
     assert rng('[,"2018-02-01T00:00:00+00:00")')["lo"] is None
-    assert rng("garbage") is None
+    assert got["valid"] and rng('[,"2018-02-01T00:00:00+00:00")')["valid"]
+    # no range: nothing is in it, and it says why
+    assert [(rng(x)["lo"] == rng(x)["hi"], rng(x)["valid"]) for x in ("empty", "garbage", "", '["x","2018-02-01")')] == [
+        (True, True), (True, False), (True, False), (True, False)
+    ]
+    both = rng("(2018-01-01,2018-02-01]")
+    assert (str(both["lo"]), str(both["hi"])) == ("2018-01-01 00:00:00.000001", "2018-02-01 00:00:00.000001")
+    assert arr(r'{"a\"b","c\\d",e\,f,"NULL"}') == ['a"b', "c\\d", "e,f", "NULL"]
+    assert arr("{a,}") == ["a", ""]
 
 
 def test_csv_with_line_breaks_and_typed_columns(spark, tmp_path):
@@ -227,6 +237,29 @@ def test_csv_with_line_breaks_and_typed_columns(spark, tmp_path):
     assert rows[0]["review_score"] == 4
 
 
+def test_rows_that_do_not_fit_are_told(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "r.csv").write_text("id,price,at\n1,2.50,2018-01-01 00:00:00\n2,x,2018-01-01 00:00:00\n3,1.00\n4,1.00,never\n")
+    schema = "id int, price decimal(12,2), at timestamp"
+    good, bad = readers.read_csv_with_rejects(spark, str(tmp_path / "c"), schema)
+    assert [r["id"] for r in good.collect()] == [1]
+    assert sorted(r["_corrupt_record"][0] for r in bad.collect()) == ["2", "3", "4"]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.read_csv(spark, str(tmp_path / "c"), schema).collect()
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "d.json").write_text('{"id":1}\nnot json\n{"id":"x"}\n')
+    good, bad = readers.read_docs_with_rejects(spark, str(tmp_path / "j"), "id int")
+    assert [r["id"] for r in good.collect()] == [1] and bad.count() == 2
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.read_docs(spark, str(tmp_path / "j"), "id int").collect()
+
+
+def test_large_integers_are_told_apart(value):
+    big = 9007199254740993
+    assert value(predicates.json_contains(F.lit(f'{{"a":{big}}}'), {"a": big}))
+    assert not value(predicates.json_contains(F.lit(f'{{"a":{big}}}'), {"a": big - 1}))
+
+
 def test_defaults(frame):
     df = frame([(1, None), (2, "x")], "id int, tag string")
     rows = readers.with_defaults(df, {"tag": F.lit("none"), "retries": F.lit(0)}).orderBy("id").collect()
