@@ -163,6 +163,22 @@ def _(t):
     )
 
 
+@case(
+    "k01_load_reviews",
+    """SELECT review_id, CASE WHEN review_id % 3 = 0 THEN review_score + 10 ELSE review_score END AS review_score, review_id % 3 = 0 AS loaded
+    FROM c_order_reviews""",
+)
+def _(t):
+    """A third of the reviews comes again, twice each: one document per review, the last version."""
+    base = documents.order_reviews(t).withColumn("version", F.lit(0))
+    again = base.filter(F.col("review_id") % 3 == 0)
+    versions = again.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "review_score", F.col("review_score") + 5 * F.col("version")
+    )
+    loaded = documents.load(base, versions, "review_id", ["version"])
+    return loaded.select("review_id", "review_score", (F.col("version") > 0).alias("loaded"))
+
+
 @case(
     "s04_rejected_documents",
     "SELECT event_id, event_type = 'error' AS rejected FROM events",

@@ -16,7 +16,7 @@ from storelens.functions.scalars import (
     whole_or_null,
     year_month,
 )
-from storelens.operators.aggregates import first_row_per_key, sorted_set
+from storelens.operators.aggregates import first_row_per_key, last_row_per_key, sorted_set
 from storelens.operators.joins import translate
 from storelens.operators.reshape import as_document, pairs, present_map
 
@@ -67,6 +67,14 @@ def _as_time(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+def load(base: DataFrame, documents: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The collection after loading documents: one per key, the last by ``order``, whole documents replaced."""
+    newest = last_row_per_key(documents, [key], order)
+    held = newest.select(F.col(key).alias("_loaded"))
+    kept = base.join(held, F.col(key).eqNullSafe(F.col("_loaded")), "left_anti")
+    return kept.unionByName(newest, allowMissingColumns=True)
+
+
 def order_reviews(tables: Tables) -> DataFrame:
     reviews = tables["order_reviews"]
     return reviews.select(
@@ -90,13 +98,18 @@ def payment_summaries(payments: DataFrame) -> DataFrame:
 
 
 def orders_analytics(tables: Tables) -> DataFrame:
-    """Orders with the customer and a payment summary embedded."""
+    """Orders with the customer and a payment summary embedded.
+
+    A repeated customer id counts once: the last row by person, zip prefix, city and state.
+    """
     orders = tables["orders"]
     purchase = _as_time(orders, "order_purchase_timestamp")
     base = orders.select(
         "order_id", "customer_id", F.col("order_status").alias("status"), purchase.alias("purchase_ts")
     )
-    customers = tables["customers"].select(
+    parts = ["customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
+    once = last_row_per_key(tables["customers"].select("customer_id", *parts), ["customer_id"], parts)
+    customers = once.select(
         "customer_id",
         "customer_unique_id",
         F.col("customer_state").alias("state"),

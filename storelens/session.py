@@ -8,10 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings every job here expects. None of them fixes a partition count:
-# adaptive execution sizes shuffles from the bytes it sees, splits hot partitions
-# of joins and of rebalanced writes, and picks a broadcast only for a side whose
-# measured size is below spark.sql.autoBroadcastJoinThreshold.
+# Runtime settings every job here expects. Adaptive execution merges small shuffle
+# partitions, splits hot ones of joins and of rebalanced writes, and picks a broadcast only
+# for a side below spark.sql.autoBroadcastJoinThreshold. It never makes more partitions than a
+# shuffle begins with: that number is the session's, see ``settings_for``.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -30,6 +30,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def settings_for(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for jobs over that much input: shuffles begin with enough partitions.
+
+    Spark's default of 200 is a ceiling for adaptive execution, so 100 TB would be 500 GB a task.
+    With these, partitions begin near ``partition_bytes`` and small ones are merged again.
+    """
+    tasks = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", app: str = "storelens", memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and timings; clusters bring their own."""
     builder = (

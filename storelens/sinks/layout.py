@@ -87,11 +87,33 @@ def drop_old_partitions(
     return table.filter((F.col(part) >= limit) | (F.col(part) == "default"))
 
 
+def delete_old_partitions(
+    spark: SparkSession, path: str, months: int, as_of: str, unit: str = "month", part: str = "part"
+) -> list[str]:
+    """Remove the bucket folders that ``drop_old_partitions`` leaves out; their names.
+
+    Only folders directly under ``path`` are looked at; the default bucket stays. Do it when
+    nothing reads the table, as readers that have listed its files would miss them.
+    """
+    limit = spark.range(1).select(
+        F.date_format(F.add_months(instant(as_of).cast("date"), -months), BUCKET_FORMATS[unit])
+    ).first()[0]
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for folder in files.listStatus(root):
+        name, _, value = folder.getPath().getName().partition("=")
+        if folder.isDirectory() and name == part and value != "default" and value < limit:
+            files.delete(folder.getPath(), True)
+            gone.append(value)
+    return sorted(gone)
+
+
 def fill_point(df: DataFrame, point: Column, name: str = "geo_point") -> DataFrame:
     """Add the derived point; rows without coordinates get null."""
     return df.withColumn(name, point)
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A finished, small report as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A finished report as CSV files, each with a header."""
+    df.write.mode("overwrite").option("header", True).csv(path)

@@ -5,6 +5,8 @@ Parquet has no row update: write the result to a new path, then point readers at
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +23,16 @@ def upsert(
 ) -> DataFrame:
     """Set the updates' columns on matching rows and add the other updates as new rows.
 
-    Of several updates to a key the last by ``order`` wins. Columns that only the base
+    Of several updates to a key the last by ``order`` wins; null keys are equal. Columns that only the base
     has keep their value; with ``keep_when_null`` a null in an update does so too.
     ``stamp`` names a time column set on rows that are new or really change.
     """
     newest = last_row_per_key(updates, keys, order)
     stamp_name = stamp[0] if stamp else None
     set_columns = [c for c in newest.columns if c not in keys and c != stamp_name]
-    b, u = base.alias("b"), newest.withColumn("_hit", F.lit(True)).alias("u")
-    on = [F.col(f"b.{k}") == F.col(f"u.{k}") for k in keys]
+    b = base.withColumn("_base", F.lit(True)).alias("b")
+    u = newest.withColumn("_hit", F.lit(True)).alias("u")
+    on = reduce(lambda x, y: x & y, [F.col(f"b.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys])
     joined = b.join(u, on, "full_outer")
     hit = F.col("u._hit").isNotNull()
     out: dict[str, Column] = {}
@@ -51,7 +54,7 @@ def upsert(
         out[name] = value
     columns = [value.alias(name) for name, value in out.items()]
     if stamp:
-        base_keys_missing = F.col(f"b.{keys[0]}").isNull()
+        base_keys_missing = F.col("b._base").isNull()
         differs = F.lit(False)
         for name in set_columns:
             old = F.col(f"b.{name}") if name in base.columns else F.lit(None)
@@ -69,5 +72,7 @@ def insert_ignore(
     base: DataFrame, new: DataFrame, keys: list[str], order: list[str]
 ) -> DataFrame:
     """Base plus the new rows whose key it lacks; the first by ``order`` of each key counts."""
-    missing = first_row_per_key(new, keys, order).join(base.select(*keys), keys, "left_anti")
+    held = base.select(*(F.col(k).alias(f"_held_{k}") for k in keys))
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    missing = first_row_per_key(new, keys, order).join(held, on, "left_anti")
     return base.unionByName(missing.select(*base.columns))

@@ -374,3 +374,47 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError):
         session.shared_folder(Cluster)
     assert session.shared_folder(spark) == session.shared_folder(spark)
+
+
+def test_null_keys_upsert_like_any_other(frame):
+    from storelens.sinks.upserts import insert_ignore, upsert
+
+    base = frame([(1, "a"), (None, "b")], "k int, v string")
+    new = frame([(None, "c", 1), (2, "d", 1)], "k int, v string, at int")
+    out = upsert(base, new, ["k"], ["at"])
+    assert sorted((r["k"] or 0, r["v"]) for r in out.collect()) == [(0, "c"), (1, "a"), (2, "d")]
+    again = upsert(out.drop("at"), new, ["k"], ["at"])
+    assert again.count() == 3
+    assert insert_ignore(base, frame([(None, "x"), (3, "y")], "k int, v string"), ["k"], ["v"]).count() == 3
+
+
+def test_loading_replaces_documents_by_key(frame):
+    base = frame([("r1", "old", 1), ("r2", "kept", 2)], "review_id string, note string, n int")
+    docs = frame([("r1", "first", 1), ("r1", "second", 2), ("r3", "new", 1)], "review_id string, note string, n int")
+    out = {r["review_id"]: r["note"] for r in documents.load(base, docs, "review_id", ["n"]).collect()}
+    assert out == {"r1": "second", "r2": "kept", "r3": "new"}
+
+
+def test_old_buckets_are_removed(spark, frame, tmp_path):
+    from storelens.sinks import layout
+
+    rows = frame([(1, d("2018-01-05")), (2, d("2018-03-05")), (3, d("2018-05-05"))], "k int, at timestamp_ntz")
+    path = str(tmp_path / "t")
+    layout.write_partitioned(rows, path, "at", "month", "2018-01-01", "2018-06-01")
+    before = {p.name for p in (tmp_path / "t").glob("part=*")}
+    gone = layout.delete_old_partitions(spark, path, 2, "2018-05-15")
+    after = {p.name for p in (tmp_path / "t").glob("part=*")}
+    assert len(gone) == 1 and before - after == {f"part={gone[0]}"}
+    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_repeated_customers_do_not_multiply_orders(tables, frame):
+    twice = {**tables, "customers": tables["customers"].union(tables["customers"])}
+    assert documents.orders_analytics(twice).count() == documents.orders_analytics(tables).count()
+
+
+def test_settings_grow_with_the_input():
+    from storelens.session import settings_for
+
+    assert settings_for(1)["spark.sql.shuffle.partitions"] == "200"
+    assert int(settings_for(100 << 40)["spark.sql.shuffle.partitions"]) == 819200
