@@ -654,6 +654,37 @@ def _(t):
     )
 
 
+@case(
+    "g03_nearest_each",
+    "WITH q AS (SELECT DISTINCT geolocation_lat AS qlat, geolocation_lng AS qlng FROM c_geolocations WHERE geolocation_zip_code_prefix % 10 = 0),"
+    " d AS (SELECT qlat, qlng, geolocation_zip_code_prefix AS zip, geolocation_city AS city, geolocation_state AS state, "
+    + _SPHERE.format(lat1="geolocation_lat", lng1="geolocation_lng", lat2="qlat", lng2="qlng")
+    + " AS m FROM c_geolocations, q) SELECT qlat, qlng, zip, city, state, round(m, 2) AS metres, row_number() OVER"
+    " (PARTITION BY qlat, qlng ORDER BY round(m, 3), zip, city, state) AS place FROM d QUALIFY place <= 3",
+)
+def _(t):
+    """Three nearest points of each of a tenth of the places, by grid cells that widen."""
+    points = t["geolocations"]
+    places = points.filter(F.col("geolocation_zip_code_prefix") % 10 == 0).select(
+        F.col("geolocation_lat").cast("double").alias("qlat"), F.col("geolocation_lng").cast("double").alias("qlng")
+    )
+    queries = places.distinct().withColumn("query", F.concat_ws(" ", "qlat", "qlng"))
+    found = geo.nearest_each(
+        points, queries, "geolocation_lat", "geolocation_lng", "qlat", "qlng", "query", 3,
+        ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"], degrees=0.25,
+    )
+    metres = geo.sphere_m(F.col("geolocation_lat"), F.col("geolocation_lng"), F.col("qlat"), F.col("qlng"))
+    return found.select(
+        "qlat",
+        "qlng",
+        F.col("geolocation_zip_code_prefix").alias("zip"),
+        F.col("geolocation_city").alias("city"),
+        F.col("geolocation_state").alias("state"),
+        F.round(metres, 2).alias("metres"),
+        F.col("place").cast("bigint").alias("place"),
+    )
+
+
 @case(
     "g03_nearest_many",
     "SELECT geolocation_zip_code_prefix AS zip, geolocation_city AS city, geolocation_state AS state, round("

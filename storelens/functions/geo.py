@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions.scalars import let
+from storelens.session import fresh_path
 
 # WGS84 semi-major axis and flattening; mean radius (2a + b) / 3.
 WGS84_A = 6378137.0
@@ -155,3 +158,71 @@ def nearest(
         "distance_meters",
         F.coalesce(geodesic_m(F.col(lat_col), F.col(lng_col), F.lit(lat), F.lit(lng)), F.col("_sphere")),
     ).drop("_sphere")
+
+
+def nearest_each(
+    points: DataFrame,
+    queries: DataFrame,
+    lat_col: str,
+    lng_col: str,
+    query_lat: str,
+    query_lng: str,
+    query_key: str,
+    n: int,
+    tie: list[str],
+    degrees: float = 1.0,
+) -> DataFrame:
+    """The ``n`` nearest points of every query point, with ``distance_meters`` and ``place`` 1 to n.
+
+    ``query_key`` names a query; columns of the two tables must differ. Points and queries meet by an equi join on grid cells, never all with
+    all: a query looks into the cells within ``degrees`` of it, where longitudes count more the nearer
+    the pole. It is settled if its n-th point is no farther than that; the others look four times as far, until the
+    whole earth is seen. Ranked on the sphere, measured on the ellipsoid. Points or queries without
+    coordinates are left out.
+    """
+    spark = points.sparkSession
+    held = points.filter(F.col(lat_col).isNotNull() & F.col(lng_col).isNotNull())
+    todo = queries.filter(F.col(query_lat).isNotNull() & F.col(query_lng).isNotNull())
+    found = None
+    while True:
+        columns = max(1, int(360 // degrees))
+        width = 360 / columns
+        lat, lng = F.col(query_lat), F.col(query_lng)
+        # how far the longitude can differ at that distance; all around if a pole is within it
+        away = F.try_divide(F.sin(F.radians(F.lit(min(degrees, 90.0)))), F.cos(F.radians(lat)))
+        span = F.when((degrees < 90) & (F.abs(lat) + degrees < 90), F.degrees(F.asin(F.least(away, F.lit(1.0))))).otherwise(180.0)
+        steps = F.least(F.ceil(span / width), F.lit(columns // 2)).cast("int")
+        column = lambda x: F.pmod(F.floor((x + 180) / width), F.lit(columns)).cast("int")
+        cells = (
+            todo.withColumn("_row", F.explode(F.sequence(F.floor((lat - degrees) / degrees), F.floor((lat + degrees) / degrees))))
+            .withColumn("_step", F.explode(F.sequence(-steps, steps)))
+            .withColumn("_column", F.pmod(column(lng) + F.col("_step"), F.lit(columns)).cast("int"))
+            .drop("_step")
+            .distinct()
+        )
+        placed = held.withColumns({"_row": F.floor(F.col(lat_col) / degrees), "_column": column(F.col(lng_col))})
+        sphere = sphere_m(F.col(lat_col), F.col(lng_col), lat, lng)
+        order = Window.partitionBy(query_key).orderBy(F.round("_sphere", 3), *tie)
+        near = (
+            placed.join(cells, ["_row", "_column"])
+            .withColumn("_sphere", sphere)
+            .withColumn("place", F.row_number().over(order))
+            .filter(F.col("place") <= n)
+            .drop("_row", "_column")
+        )
+        path = fresh_path(spark, "nearest")
+        near.write.parquet(path)
+        near = spark.read.schema(near.schema).parquet(path)
+        whole = degrees >= 180
+        reach = math.radians(degrees) * SPHERE_RADIUS
+        settled = near.filter((F.col("place") == n) & (F.col("_sphere") <= reach)).select(F.col(query_key).alias("_settled"))
+        done = near if whole else near.join(settled, F.col(query_key) == F.col("_settled"), "left_semi")
+        found = done if found is None else found.unionByName(done)
+        if whole:
+            break
+        todo = todo.join(settled, F.col(query_key) == F.col("_settled"), "left_anti")
+        if todo.isEmpty():
+            break
+        degrees *= 4
+    metres = geodesic_m(F.col(lat_col), F.col(lng_col), F.col(query_lat), F.col(query_lng))
+    return found.withColumn("distance_meters", F.coalesce(metres, F.col("_sphere"))).drop("_sphere")

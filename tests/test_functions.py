@@ -197,6 +197,30 @@ def test_distances(value):
     assert sphere == pytest.approx(m(0, 0, 0, 1), rel=0.005)
 
 
+def test_nearest_each_agrees_with_all_pairs(frame):
+    import random
+
+    draw = random.Random(3)
+    spots = [(i, draw.uniform(-89.9, 89.9), draw.uniform(-180, 180)) for i in range(150)]
+    spots += [(150 + i, draw.uniform(-1, 1), draw.uniform(179, 181) - (360 if i % 2 else 0)) for i in range(20)]
+    spots = [(i, lat, (lng + 180) % 360 - 180) for i, lat, lng in spots] + [(900, None, 1.0)]
+    asked = [(i, lat, lng) for i, lat, lng in spots[:170:6]] + [(500, 89.99, 0.0), (501, -90.0, 10.0), (502, 0.0, 180.0), (503, None, 0.0)]
+
+    def away(a, b):
+        p, q = math.radians(a[1]), math.radians(b[1])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+        return round(2 * geo.SPHERE_RADIUS * math.asin(math.sqrt(min(h, 1))), 3)
+
+    out = geo.nearest_each(
+        frame(spots, "k int, lat double, lng double"), frame(asked, "q int, qlat double, qlng double"), "lat", "lng", "qlat", "qlng", "q", 4, ["k"]
+    ).collect()
+    got = {q: [r["k"] for r in sorted(out, key=lambda r: r["place"]) if r["q"] == q] for q, _, _ in asked}
+    real = [s for s in spots if s[1] is not None]
+    for q in asked:
+        want = [] if q[1] is None else [s[0] for s in sorted(real, key=lambda s: (away(s, q), s[0]))[:4]]
+        assert got[q[0]] == want
+
+
 def test_nearest_breaks_ties_by_key(frame):
     df = frame([(2, 0.0, 1.0), (1, 0.0, -1.0), (3, 0.0, 5.0), (4, None, 1.0)], "k int, lat double, lng double")
     rows = geo.nearest(df, "lat", "lng", 0.0, 0.0, 2, ["k"]).collect()
