@@ -125,7 +125,9 @@ def repeated_spans(docs: DataFrame, window: int = 50, anchor: int = 10) -> DataF
     shared = found.groupBy("m").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("m")
     found = stored(found.join(shared, "m", "left_semi"), "paths")
     here = F.struct("id", "key", "at", "n")
-    each = found.groupBy("m", "path").agg(F.min(here).alias("source"), F.max("id").alias("last"))
+    # written, so that the joins below are between plain shuffles, which adaptive execution splits where one
+    # path or minimizer has very many rows
+    each = stored(found.groupBy("m", "path").agg(F.min(here).alias("source"), F.max("id").alias("last")), "path-groups")
     # the same path again: gone in every document but the smallest
     again = each.where(F.col("last") > F.col("source.id")).select("m", "path", F.col("source.id").alias("first"))
     same = found.join(again, ["m", "path"]).where(F.col("id") > F.col("first")).select("id", "key", "at", "n")
