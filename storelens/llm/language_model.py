@@ -291,11 +291,15 @@ def _count_rows(kind: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return kernels.rows(_COUNTS_ARROW, np.full(len(h), kind, np.int32), h.view(np.int64), n)
 
 
-def sample(docs: DataFrame, learnable: Column, model: bytes, texts: int, ids: int) -> list[np.ndarray]:
-    """The id sequences of the ``texts`` learnable documents with the smallest hashes, at most ``ids`` of each."""
+def sample(docs: DataFrame, learnable: Column, model: bytes, texts: int, ids: int, of: int) -> list[np.ndarray]:
+    """The id sequences of the ``texts`` learnable documents with the smallest hashes, at most ``ids`` of each.
+
+    ``of`` is the number of learnable documents: hashes far too large for the sample are left out before any are ordered.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    order = F.xxhash64("doc_id", text_or_empty()).alias("o")
-    chosen = docs.where(learnable).select(order, text_or_empty().alias("text"))
+    order = F.shiftrightunsigned(F.xxhash64("doc_id", text_or_empty()), 1).alias("o")
+    least = int(min(1.0, 2 * (texts + 100) / max(of, 1)) * ((1 << 63) - 1))
+    chosen = docs.where(learnable).select(order, text_or_empty().alias("text")).where(F.col("o") <= F.lit(least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = Subwords(shared.value)
@@ -343,7 +347,7 @@ def score(
     id_counts = np.zeros(len(_model(raw)) + 1)
     id_counts[id_rows.column("h").to_numpy()] = id_rows.column("n").to_numpy()
     id_counts[-1] = n_texts
-    fitted = train(sample(docs, learnable, raw, fit_texts, fit_ids), id_counts)
+    fitted = train(sample(docs, learnable, raw, fit_texts, fit_ids, n_texts), id_counts)
     shared = spark.sparkContext.broadcast((raw, h, np.log10(n + add) - below, fitted))
     end_log = float(np.log10(n_texts + add) - below)
     schema = pa.schema(
