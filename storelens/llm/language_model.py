@@ -297,8 +297,8 @@ def sample(docs: DataFrame, learnable: Column, model: bytes, texts: int, ids: in
     ``of`` is the number of learnable documents: hashes far too large for the sample are left out before any are ordered.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    order = F.shiftrightunsigned(F.xxhash64("doc_id", text_or_empty()), 1).alias("o")
-    least = int(min(1.0, 2 * (texts + 100) / max(of, 1)) * ((1 << 63) - 1))
+    order = F.shiftrightunsigned(F.xxhash64("doc_id", text_or_empty()), 11).alias("o")
+    least = int(min(1.0, 2 * (texts + 100) / max(of, 1)) * (1 << 53))
     chosen = docs.where(learnable).select(order, text_or_empty().alias("text")).where(F.col("o") <= F.lit(least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

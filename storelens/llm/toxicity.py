@@ -102,9 +102,9 @@ def learn(
     smallest. Without both labels in the sample the model is the smoothed rate.
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(learnable)
-    order = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    order = F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
     # hashes far too large for the sample are left out before any are ordered
-    least = int(min(1.0, 2 * (max_rows + 100) / max(marked.count(), 1)) * ((1 << 63) - 1))
+    least = int(min(1.0, 2 * (max_rows + 100) / max(marked.count(), 1)) * (1 << 53))
     few = marked.where(order <= F.lit(least)).groupBy("doc_id").agg(F.max("toxic").cast("double").alias("label"))
     chosen = few.orderBy(order, "doc_id").limit(max_rows)
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
