@@ -112,10 +112,12 @@ def common_shingles(named: DataFrame, common: int = COMMON) -> tuple[np.ndarray,
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
         held, docs, size = [], 0, 0
+        # the last full block waits for the rest, which alone could be too small to tell frequent from rare
+        before: tuple[list[np.ndarray], int] = [], 0
 
-        def flush() -> pa.RecordBatch:
-            value, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= docs / (4 * common)
+        def flush(block: list[np.ndarray], texts_in: int) -> pa.RecordBatch:
+            value, n = np.unique(np.concatenate(block), return_counts=True)
+            often = n >= texts_in / (4 * common)
             return kernels.rows(schema, value[often].view(np.int64), n[often])
 
         for batch in batches:
@@ -123,10 +125,11 @@ def common_shingles(named: DataFrame, common: int = COMMON) -> tuple[np.ndarray,
                 held.append(shingles(texts)[1])
                 docs, size = docs + len(texts), size + len(held[-1])
                 if size > 2_000_000:
-                    yield flush()
-                    held, docs, size = [], 0, 0
-        if held:
-            yield flush()
+                    if before[0]:
+                        yield flush(*before)
+                    before, held, docs, size = (held, docs), [], 0, 0
+        if before[0] or held:
+            yield flush(before[0] + held, before[1] + docs)
 
     n = named.count()
     least = max(2, -(-n // common))
