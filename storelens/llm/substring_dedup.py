@@ -6,7 +6,8 @@ window alone. Consecutive edges with one minimizer form a path. A path that is t
 its minimizer does not branch: it travels as one row with a hash of all its words, however many
 edges it has, and occurrences are matched by joins on (minimizer, path). Only where several
 different paths share a minimizer, the graph branches, and one occurrence of each is opened into
-its edges. Matching paths and edges are traced to the smallest document that holds them.
+its edges; what is found there holds for the path's other occurrences under that id, too.
+Matching paths and edges are traced to the smallest document that holds them.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from storelens.llm.common import LAST_ID, id_or_last, stored, text_key, text_or_
 
 _PATHS = "m bigint, path bigint, id bigint, key bigint, at int, n int"
 _PATHS_ARROW = pa.schema([("m", pa.int64()), ("path", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
-_EDGES = "edge bigint, check bigint, id bigint, key bigint, at int"
-_EDGES_ARROW = pa.schema([("edge", pa.int64()), ("check", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
+_EDGES = "edge bigint, check bigint, id bigint, key bigint, begin int, at int"
+_EDGES_ARROW = pa.schema([("edge", pa.int64()), ("check", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("begin", pa.int32()), ("at", pa.int32())])
 _CUT = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
 _CUT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
@@ -62,7 +63,10 @@ def paths(named: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def edges(opened: DataFrame, window: int) -> DataFrame:
-    """The edges of chosen paths (column ``chosen``: list of start and number) as 128 bits of their words."""
+    """The edges of chosen paths (column ``chosen``: list of start and number) as 128 bits of their words.
+
+    ``begin`` is the start of the edge's path.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,7 +83,7 @@ def edges(opened: DataFrame, window: int) -> DataFrame:
                 begin = words.first[who] + at
                 ids, keys = (kernels.column(part, c).to_numpy()[who] for c in ("id", "key"))
                 yield kernels.rows(
-                    _EDGES_ARROW, _signed(one.of(begin, begin + window)), _signed(two.of(begin, begin + window)), ids, keys, at
+                    _EDGES_ARROW, _signed(one.of(begin, begin + window)), _signed(two.of(begin, begin + window)), ids, keys, np.repeat(start, n), at
                 )
 
     return opened.mapInArrow(run, _EDGES)
@@ -127,7 +131,10 @@ def repeated_spans(docs: DataFrame, window: int = 50, anchor: int = 10) -> DataF
     here = F.struct("id", "key", "at", "n")
     # written, so that the joins below are between plain shuffles, which adaptive execution splits where one
     # path or minimizer has very many rows
-    each = stored(found.groupBy("m", "path").agg(F.min(here).alias("source"), F.max("id").alias("last")), "path-groups")
+    latest = F.max(F.struct(F.bitwise_not("id").alias("id"), "key", "at"))  # of those with the smallest id
+    groups = found.groupBy("m", "path").agg(F.min(here).alias("source"), F.max("id").alias("last"), latest.alias("latest"))
+    several = (F.col("latest.key") != F.col("source.key")) | (F.col("latest.at") != F.col("source.at"))
+    each = stored(groups.select("m", "path", "source", "last", several.alias("several")), "path-groups")
     # the same path again: gone in every document but the smallest
     again = each.where(F.col("last") > F.col("source.id")).select("m", "path", F.col("source.id").alias("first"))
     same = found.join(again, ["m", "path"]).where(F.col("id") > F.col("first")).select("id", "key", "at", "n")
@@ -138,15 +145,23 @@ def repeated_spans(docs: DataFrame, window: int = 50, anchor: int = 10) -> DataF
         .where((F.col("paths") > 1) & (F.col("hi") > F.col("lo")))
         .select("m")
     )
-    open_ = each.join(forks, "m").select("source.*").groupBy("id", "key").agg(F.collect_list(F.struct("at", "n")).alias("chosen"))
+    forked = each.join(forks, "m")
+    open_ = forked.select("source.*").groupBy("id", "key").agg(F.collect_list(F.struct("at", "n")).alias("chosen"))
     single = edges(named.join(open_, ["id", "key"]), window)
     first = single.groupBy("edge", "check").agg(F.min("id").alias("first"), F.max("id").alias("last")).where(F.col("last") > F.col("first"))
-    some = (
-        single.join(first, ["edge", "check"])
-        .where(F.col("id") > F.col("first"))
-        .select("id", "key", "at", F.lit(1).alias("n"))
+    some = stored(
+        single.join(first, ["edge", "check"]).where(F.col("id") > F.col("first")).select("id", "key", "begin", "at"), "edges"
+    )
+    # the opened path again under its own id: its edges go from there as well
+    opened = forked.where("several").select("m", "path", "source.id", F.col("source.key").alias("from"), F.col("source.at").alias("begin"))
+    others = (
+        found.join(opened, ["m", "path", "id"])
+        .where((F.col("key") != F.col("from")) | (F.col("at") != F.col("begin")))
+        .select("id", F.col("from").alias("key"), "begin", F.col("key").alias("to"), (F.col("at") - F.col("begin")).alias("by"))
+        .distinct()
     )
-    return same.unionByName(some)
+    more = some.join(others, ["id", "key", "begin"]).select("id", F.col("to").alias("key"), (F.col("at") + F.col("by")).alias("at"))
+    return same.unionByName(some.drop("begin").unionByName(more).withColumn("n", F.lit(1)))
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 10) -> DataFrame:

@@ -121,6 +121,20 @@ def test_substring_dedup(spark, messy, empty, documents, split):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_substring_dedup_of_a_passage_twice_in_one_document(spark, split):
+    passage = [f"p{i}" for i in range(200)]
+    twice = " ".join(passage + passage)
+    for shared in (60, 75, 112, 150, 199):
+        cases = [
+            (1, " ".join(passage[:shared])), (5, twice), (5, twice), (5, "under the same id " + " ".join(passage)), (8, "own " + twice),
+            (None, " ".join(passage[20:] + passage)), (None, twice), (2, "q " * 70), (6, " ".join(("r " * 60 + "q " * 55).split() * 2)),
+        ]
+        docs = spark.createDataFrame(cases, "doc_id long, text string")
+        for window, anchor in ((50, 10), (12, 4)):
+            got = as_rows(substring_dedup.remove_repeats(docs, window, anchor), "doc_id", "n_words", "n_removed", "kept")
+            assert got == brute_cut(cases, split, window), (shared, window)
+
+
 # near duplicates
 
 
