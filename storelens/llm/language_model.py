@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,9 @@ from storelens.llm.common import stored, text_or_empty
 from storelens.llm.token_counts import _model
 
 _COUNTS_ARROW = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
+_CELLS_ARROW = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+_FITTED_ARROW = pa.schema([("part", pa.int64()), ("pieces", pa.int64()), ("weights", pa.binary())])
+_BUCKETS, _DIMS = 512, 32
 _SCORED = "ref bigint, doc_id bigint, n_tokens bigint, known bigint, base double, score double, rest array<bigint>"
 
 
@@ -74,7 +78,7 @@ class Attention:
     """P(id | before) = P(class of the id | before) P(id | its class, class of the id before).
 
     The class is predicted from the id before (``direct``) and by one causal attention head over the window. Within
-    a class ids have their share of the corpus, moved towards their share after the class before in the sample.
+    a class ids have their share of the corpus, moved towards their share after the class before.
     """
 
     class_of: np.ndarray
@@ -136,31 +140,49 @@ class Attention:
         return np.add.reduceat(logs.astype(np.float64), bounds[:-1]) if len(length) else np.zeros(0)
 
 
-def _classes(ids: np.ndarray, n: int, count: int, rng: np.random.Generator) -> np.ndarray:
+def _buckets(id_counts: np.ndarray) -> np.ndarray:
+    """The bucket of each id as a neighbour: frequent ids have their own, the others share the last."""
+    rank = np.empty(len(id_counts), np.int64)
+    rank[np.argsort(-id_counts, kind="stable")] = np.arange(len(id_counts))
+    return np.minimum(rank, _BUCKETS - 1)
+
+
+def _before(flat: np.ndarray, bounds: np.ndarray, begin: int) -> np.ndarray:
+    out = np.empty_like(flat)
+    out[1:] = flat[:-1]
+    out[bounds[:-1]] = begin
+    return out
+
+
+def _neighbours(flat: np.ndarray, bounds: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """A cell for each id with the bucket before it and with the bucket after it; the beginning counts as an end."""
+    before = _before(flat, bounds, len(bucket) - 1)
+    return np.concatenate([flat * 2 * _BUCKETS + bucket[before], before * 2 * _BUCKETS + _BUCKETS + bucket[flat]])
+
+
+def _points(cells: np.ndarray, n: np.ndarray, id_counts: np.ndarray, bucket: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """What cells of neighbour counts add to the places of their ids: positive pointwise information, projected."""
+    who, column = cells // (2 * _BUCKETS), cells % (2 * _BUCKETS)
+    # each id has as many neighbours on either side as it has occurrences
+    beside = np.bincount(bucket, id_counts, _BUCKETS)[column % _BUCKETS]
+    value = np.maximum(np.log((n + 1e-6) / (id_counts[who] * beside / id_counts.sum() + 1e-6)), 0)
+    return np.stack([np.bincount(who, value * d[column], len(id_counts)) for d in space.T], 1)
+
+
+def _classes(points: np.ndarray, id_counts: np.ndarray, count: int, rng: np.random.Generator) -> np.ndarray:
     """Ids that stand beside alike ids share a class: k-means over weighted neighbour counts.
 
     Ids seen less than five times go with the nearest rank of frequency; the last id, the end, is alone.
     """
-    often = np.bincount(ids, minlength=n)
-    seen = np.flatnonzero(often[: n - 1] >= 5)
+    n = len(id_counts)
+    seen = np.flatnonzero(id_counts[: n - 1] >= 5)
     out = np.arange(n, dtype=np.int64) % max(1, count - 1)
     out[n - 1] = count - 1
     if len(seen) <= count:
         return out.astype(np.int32)
-    buckets = 512
-    rank = np.empty(n, np.int64)
-    rank[np.argsort(-often, kind="stable")] = np.arange(n)
-    bucket = np.where(rank < buckets - 1, rank, buckets - 1)
-    space = rng.normal(0, 1, (2 * buckets, 32)).astype(np.float32)
-    table = np.zeros((n, 2 * buckets), np.float32)
-    np.add.at(table, (ids[1:], bucket[ids[:-1]]), 1)
-    np.add.at(table, (ids[:-1], buckets + bucket[ids[1:]]), 1)
-    table = table[seen]
-    expected = table.sum(1, keepdims=True) * table.sum(0, keepdims=True) / max(table.sum(), 1)
-    table = np.maximum(np.log((table + 1e-6) / (expected + 1e-6)), 0) * (table > 0)
-    points = table @ space
+    points = points[seen].astype(np.float32)
     points /= np.linalg.norm(points, axis=1, keepdims=True) + 1e-9
-    weight = np.sqrt(often[seen]).astype(np.float32)
+    weight = np.sqrt(id_counts[seen]).astype(np.float32)
     centres = points[rng.choice(len(points), count - 1, replace=False, p=weight / weight.sum())]
     for _ in range(25):
         near = (points @ centres.T).argmax(1)
@@ -171,82 +193,266 @@ def _classes(ids: np.ndarray, n: int, count: int, rng: np.random.Generator) -> n
     return out.astype(np.int32)
 
 
-def train(
-    texts: list[np.ndarray], id_counts: np.ndarray, classes: int = 64, width: int = 8, window: int = 16, steps: int = 300, pull: float = 20.0, seed: int = 7
-) -> Attention:
-    """Fit on the id sequences of a sample; ``id_counts`` are those of all learnable texts, the end id last.
+def _follows(flat: np.ndarray, bounds: np.ndarray, class_of: np.ndarray, classes: int) -> np.ndarray:
+    """A cell for each id's class after the id before, and one for each id after the class before."""
+    n = len(class_of) - 1
+    before = _before(flat, bounds, n)
+    return np.concatenate([before * classes + class_of[flat], (n + 1) * classes + class_of[before].astype(np.int64) * n + flat])
 
-    Adam on the cross-entropy of the classes over batches of windows.
-    """
-    rng = np.random.default_rng(seed)
-    n = len(id_counts)
-    ids = np.concatenate([*texts, np.zeros(0, np.int32)]).astype(np.int64)
-    class_of = _classes(ids, n, classes, rng)
-    before = np.concatenate([np.append(n, t[:-1]) for t in texts] or [np.zeros(0, np.int64)]).astype(np.int64)
+
+def _counted(follows: np.ndarray, id_counts: np.ndarray, class_of: np.ndarray, width: int, window: int, pull: float, rng: np.random.Generator) -> Attention:
+    """The model with all that is counted; the weights as they are before fitting."""
+    n, classes = len(id_counts), len(follows) // (2 * len(id_counts) + 1)
+    after, pairs = follows[: (n + 1) * classes].reshape(n + 1, classes), follows[(n + 1) * classes :].reshape(classes, n)
     share = id_counts + 0.1
-    share /= np.bincount(class_of, share, classes)[class_of]
-    # the beginning counts as an end
-    class_of = np.append(class_of, class_of[-1])
-    pairs = np.zeros((classes, n), np.float32)
-    np.add.at(pairs, (class_of[before], ids), 1)
+    share /= np.bincount(class_of[:n], share, classes)[class_of[:n]]
     within = np.stack([np.bincount(class_of[:n], row, classes) for row in pairs])
     log_share = np.log((pairs + pull * share) / (within[:, class_of[:n]] + pull)).astype(np.float32)
-    prior = (np.bincount(class_of[ids], minlength=classes) + 1.0) / (len(ids) + classes)
-    after = np.zeros((n + 1, classes))
-    np.add.at(after, (before, class_of[ids]), 1)
+    prior = (after.sum(0) + 1.0) / (after.sum() + classes)
     direct = np.log((after + 5 * prior) / (after.sum(1, keepdims=True) + 5)).astype(np.float32)
-    far = np.triu(np.full((window, window), -1e9), 1)
     w = {
         "embed": rng.normal(0, 0.3, (n + 1, width)),
         **{k: rng.normal(0, 0.3, (width, width)) for k in ("q", "k", "v", "skip")},
-        "near": far.copy(),
+        "near": np.triu(np.full((window, window), -1e9), 1),
         "shift": np.zeros(width),
         "out": np.zeros((width, classes)),
     }
     w = {k: v.astype(np.float32) for k, v in w.items()}
-    model = Attention(class_of, log_share, w["embed"], direct, w, window)
-    long = [i for i, t in enumerate(texts) if len(t) > 1]
-    if not long:
-        return model
-    pieces, wanted, real = [], [], []
-    for i in long:
-        x = np.append(n, texts[i][:-1])
-        for a in range(0, len(x), window):
-            pad = window - len(x[a : a + window])
-            pieces.append(np.pad(x[a : a + window], (0, pad)))
-            wanted.append(np.pad(class_of[texts[i][a : a + window]], (0, pad)))
-            real.append(np.arange(window) < window - pad)
-    pieces, wanted, real = np.array(pieces, np.int64), np.array(wanted), np.array(real)
-    first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    inside = Attention(class_of, log_share, np.zeros((1, width), np.float32), direct, {}, window)
-    for step in range(1, steps + 1):
-        rows = rng.integers(0, len(pieces), 128)
-        x, y, ok = pieces[rows], wanted[rows], real[rows]
-        e, q, k, v, a, m, h = inside.hidden(x, w)
-        z = h @ w["out"] + direct[x]
-        z -= z.max(2, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(2, keepdims=True)
-        np.put_along_axis(p, y[..., None], np.take_along_axis(p, y[..., None], 2) - 1, 2)
-        p *= ok[..., None] / ok.sum()
-        g = {"out": np.einsum("bth,btc->hc", h, p)}
-        dm = (p @ w["out"].T) * (1 - h**2)
-        g["shift"], g["skip"] = dm.sum((0, 1)), np.einsum("bti,btj->ij", e, dm)
+    return Attention(class_of, log_share, w["embed"], direct, w, window)
+
+
+class Fit:
+    """Adam on the cross-entropy of the classes over batches of windows, from the weights of ``model``."""
+
+    def __init__(self, model: Attention, seed: int):
+        self.w = {k: v.copy() for k, v in model.weights.items()}
+        self.inside = Attention(model.class_of, model.log_share, np.zeros((1, model.embed.shape[1]), np.float32), model.direct, {}, model.window)
+        self.begin, self.rng, self.step, self.pieces = model.begin, np.random.default_rng(seed), 0, 0
+        self.first, self.second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
+
+    def windows(self, flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids before, classes wanted, and which places are in the text, of windows that have every id once."""
+        size, length = self.inside.window, np.diff(bounds)
+        n = -(-length // size)
+        who = np.repeat(np.arange(len(length)), n)
+        place = (kernels.ragged(np.zeros(len(n), np.int64), n) * size)[:, None] + np.arange(size)
+        real = place < length[who][:, None]
+        at = bounds[who][:, None] + np.minimum(place, length[who][:, None] - 1)
+        return _before(flat, bounds, self.begin)[at], self.inside.class_of[flat][at], real
+
+    def once(self, x: np.ndarray, y: np.ndarray, ok: np.ndarray, batch: int) -> None:
+        """Every window once, in random order."""
+        order = self.rng.permutation(len(x))
+        for k in range(0, len(x), batch):
+            rows = order[k : k + batch]
+            self.learn(x[rows], y[rows], ok[rows])
+        self.pieces += len(x)
+
+    def learn(self, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> None:
+        w, flat = self.w, lambda a: a.reshape(-1, a.shape[-1])
+        e, q, k, v, a, m, h = self.inside.hidden(x, w)
+        p = flat(h) @ w["out"]
+        p += self.inside.direct[x.ravel()]
+        p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(p)), y.ravel()] -= 1
+        p *= (ok.reshape(-1, 1) / ok.sum()).astype(np.float32)
+        g = {"out": flat(h).T @ p}
+        dm = (p @ w["out"].T).reshape(h.shape) * (1 - h**2)
+        g["shift"], g["skip"] = dm.sum((0, 1)), flat(e).T @ flat(dm)
         da, dv = dm @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dm
         ds = a * (da - (da * a).sum(2, keepdims=True))
-        g["near"] = np.where(far < 0, 0, ds.sum(0))
+        g["near"] = np.tril(ds.sum(0))
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
         for name, d in (("q", dq), ("k", dk), ("v", dv)):
-            g[name] = np.einsum("bti,btj->ij", e, d)
-        de = dm @ w["skip"].T + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-        g["embed"] = np.zeros_like(w["embed"])
-        np.add.at(g["embed"], x, de)
+            g[name] = flat(e).T @ flat(d)
+        de = flat(dm @ w["skip"].T + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T)
+        g["embed"] = np.stack([np.bincount(x.ravel(), d, len(w["embed"])) for d in de.T], 1).astype(np.float32)
+        self.step += 1
+        rate = 0.01 * min(1, self.step / 50) / (1 - 0.9**self.step) * np.sqrt(1 - 0.99**self.step)
         for name, d in g.items():
-            first[name] += 0.1 * (d - first[name])
-            second[name] += 0.01 * (d * d - second[name])
-            rate = 0.01 * min(1, step / 50) / (1 - 0.9**step) * np.sqrt(1 - 0.99**step)
-            w[name] -= rate * first[name] / (np.sqrt(second[name]) + 1e-7)
-    return Attention(class_of, log_share, w["embed"], direct, w, window)
+            first, second = self.first[name], self.second[name]
+            first += 0.1 * (d - first)
+            second += 0.01 * (d * d - second)
+            w[name] -= (rate * first / (np.sqrt(second) + 1e-7)).astype(np.float32)
+
+    def all(self, sequences: Iterator[tuple[np.ndarray, np.ndarray]], steps: int, small: int = 128, large: int = 1024) -> None:
+        """Every window of the sequences once; where that makes fewer than ``steps`` steps, in small batches and again."""
+        held, have = [], 0
+        for flat, bounds in sequences:
+            held.append(self.windows(flat, bounds))
+            have += len(held[-1][0])
+            if have >= steps * small:
+                self.once(*(np.concatenate(c) for c in zip(*held, strict=True)), large)
+                held, have = [], 0
+        if held:
+            held = [np.concatenate(c) for c in zip(*held, strict=True)]
+            self.once(*held, large if self.step >= steps else small)
+            while self.step < steps:
+                self.once(*held, small)
+
+
+def train(
+    texts: list[np.ndarray], id_counts: np.ndarray, classes: int = 64, width: int = 8, window: int = 16, steps: int = 300, pull: float = 20.0, seed: int = 7
+) -> Attention:
+    """Fit on id sequences that are at hand, as ``learn`` does on those of a frame; ``id_counts`` has the end id last."""
+    rng = np.random.default_rng(seed)
+    n, flat = len(id_counts), np.concatenate([*texts, np.zeros(0, np.int32)]).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    bucket, space = _buckets(id_counts), rng.normal(0, 1, (2 * _BUCKETS, _DIMS))
+    cells, times = np.unique(_neighbours(flat, bounds, bucket), return_counts=True)
+    class_of = _classes(_points(cells, times, id_counts, bucket, space), id_counts, classes, rng)
+    class_of = np.append(class_of, class_of[-1])
+    follows = np.bincount(_follows(flat, bounds, class_of, classes), minlength=(2 * n + 1) * classes)
+    model = _counted(follows, id_counts, class_of, width, window, pull, rng)
+    fit = Fit(model, seed)
+    fit.all(iter([(flat, bounds)] if len(flat) else []), steps)
+    return Attention(class_of, model.log_share, fit.w["embed"], model.direct, fit.w, window)
+
+
+def encoded(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame:
+    """``o, ids``: the ids of every learnable text, closed by the end id, as bytes; ``o`` is a hash of the row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = pa.schema([("o", pa.int64()), ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords = Subwords(shared.value)
+        kind = _kind(subwords.end + 1)
+        for batch in batches:
+            for part, texts in kernels.slices(batch):
+                words = kernels.Words(texts.lowered())
+                flat, bounds = subwords.sequences(words, words.hashes())
+                flat = flat.astype(kind)
+                lists = [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield kernels.rows(schema, kernels.column(part, "o"), lists)
+
+    o = F.xxhash64("doc_id", text_or_empty()).alias("o")
+    return docs.where(learnable).select(o, text_or_empty().alias("text")).mapInArrow(run, "o bigint, ids binary")
+
+
+def _kind(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.int32
+
+
+def _sequences(batches: Iterator[pa.RecordBatch], n: int, most: int | None = None, block: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Whole sequences of about ``block`` ids together, and where each begins; ``most`` ids of each, if that is given."""
+    held, size = [], 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(held).astype(np.int64), np.concatenate([[0], np.cumsum([len(x) for x in held], dtype=np.int64)])
+
+    for batch in batches:
+        for one in kernels.column(batch, "ids"):
+            held.append(np.frombuffer(one.as_buffer(), _kind(n))[:most])
+            size += len(held[-1])
+            if size >= block:
+                yield joined()
+                held, size = [], 0
+    if held:
+        yield joined()
+
+
+def _tallied(ids: DataFrame, n: int, size: int, cells, *given) -> DataFrame:
+    """``cell, n`` over all sequences, counted in each task first; ``cells`` gives a cell below ``size`` for each thing to count."""
+    shared = ids.sparkSession.sparkContext.broadcast(given)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = np.zeros(size, np.uint32), 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            some = np.flatnonzero(table)
+            for k in range(0, len(some), 1 << 20):
+                yield kernels.rows(_CELLS_ARROW, some[k : k + (1 << 20)], table[some[k : k + (1 << 20)]].astype(np.int64))
+
+        for flat, bounds in _sequences(batches, n):
+            np.add.at(table, cells(flat, bounds, *shared.value), np.uint32(1))
+            seen += len(flat)
+            if seen > 1 << 30:
+                yield from rows()
+                table[:], seen = 0, 0
+        yield from rows()
+
+    return ids.select("ids").mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+
+
+def _placed(cells: DataFrame, id_counts: np.ndarray, bucket: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """The place of each id by all its neighbour counts."""
+    names = [f"p{k}" for k in range(_DIMS)]
+    shared = cells.sparkSession.sparkContext.broadcast((id_counts, bucket, space))
+    schema = pa.schema([("id", pa.int64()), *((c, pa.float64()) for c in names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((len(id_counts), _DIMS))
+        for batch in batches:
+            out += _points(*(kernels.column(batch, c).to_numpy() for c in ("cell", "n")), *shared.value)
+        some = np.flatnonzero(out.any(1))
+        yield kernels.rows(schema, some, *out[some].T.copy())
+
+    parts = cells.mapInArrow(run, ", ".join(["id bigint", *(f"{c} double" for c in names)]))
+    got = parts.groupBy("id").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
+    out = np.zeros((len(id_counts), _DIMS))
+    out[got.column("id").to_numpy()] = np.stack([got.column(c).to_numpy() for c in names], 1)
+    return out
+
+
+def _mean(weights: Iterator[pa.RecordBatch]) -> tuple[int, np.ndarray | None]:
+    total, mean = 0, None
+    for batch in weights:
+        for n, raw in zip(kernels.column(batch, "pieces").to_pylist(), kernels.column(batch, "weights"), strict=True):
+            one = np.frombuffer(raw.as_buffer(), np.float32).astype(np.float64)
+            total += n
+            mean = one if mean is None else mean + (one - mean) * (n / total)
+    return total, mean
+
+
+def _fitted(ids: DataFrame, model: Attention, most: int | None, steps: int, seed: int) -> dict[str, np.ndarray]:
+    """Weights fitted by every task on all its windows, and their mean by the number of windows."""
+    spark = ids.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    ddl = "part bigint, pieces bigint, weights binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        fit = Fit(shared.value, seed + part)
+        fit.all(_sequences(batches, fit.begin, most), steps)
+        if fit.pieces:
+            yield kernels.rows(_FITTED_ARROW, [part], [fit.pieces], [np.concatenate([v.ravel() for v in fit.w.values()]).tobytes()])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, mean = _mean(batches)
+        if total:
+            yield kernels.rows(_FITTED_ARROW, [0], [total], [mean.astype(np.float32).tobytes()])
+
+    parts = stored(ids.select("ids").mapInArrow(run, ddl), "lm-fitted")
+    groups = isqrt(max(parts.count() - 1, 0)) + 1
+    merged = parts.repartition(groups, "part").mapInArrow(merge, ddl).toArrow()
+    total, mean = _mean(merged.sort_by("pieces").to_batches())
+    if not total:
+        return model.weights
+    sizes = np.cumsum([v.size for v in model.weights.values()])[:-1]
+    return {k: x.reshape(v.shape).astype(np.float32) for (k, v), x in zip(model.weights.items(), np.split(mean, sizes), strict=True)}
+
+
+def learn(
+    ids: DataFrame, id_counts: np.ndarray, fit_texts: int | None, fit_ids: int | None, classes: int = 64, width: int = 8, window: int = 16, steps: int = 300, pull: float = 20.0, seed: int = 7
+) -> Attention:
+    """Classes, counts and weights from all sequences of ``ids``; a task makes ``steps`` steps at least, more with its windows."""
+    rng = np.random.default_rng(seed)
+    n = len(id_counts)
+    bucket, space = _buckets(id_counts), rng.normal(0, 1, (2 * _BUCKETS, _DIMS))
+    beside = _tallied(ids, n, n * 2 * _BUCKETS, _neighbours, bucket)
+    class_of = _classes(_placed(beside, id_counts, bucket, space), id_counts, classes, rng)
+    # the beginning counts as an end
+    class_of = np.append(class_of, class_of[-1])
+    got = _tallied(ids, n, (2 * n + 1) * classes, _follows, class_of, classes).toArrow()
+    follows = np.zeros((2 * n + 1) * classes)
+    follows[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    model = _counted(follows, id_counts, class_of, width, window, pull, rng)
+    if fit_texts is not None:
+        ids = ids.orderBy("o", "ids").limit(fit_texts)
+    w = _fitted(ids, model, fit_ids, steps, seed)
+    return Attention(class_of, model.log_share, w["embed"], model.direct, w, window)
 
 
 def corpus_counts(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame:
@@ -291,41 +497,17 @@ def _count_rows(kind: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return kernels.rows(_COUNTS_ARROW, np.full(len(h), kind, np.int32), h.view(np.int64), n)
 
 
-def sample(docs: DataFrame, learnable: Column, model: bytes, texts: int, ids: int, of: int) -> list[np.ndarray]:
-    """The id sequences of the ``texts`` learnable documents with the smallest hashes, at most ``ids`` of each.
-
-    ``of`` is the number of learnable documents: hashes far too large for the sample are left out before any are ordered.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    order = F.shiftrightunsigned(F.xxhash64("doc_id", text_or_empty()), 11).alias("o")
-    least = int(min(1.0, 2 * (texts + 100) / max(of, 1)) * (1 << 53))
-    chosen = docs.where(learnable).select(order, text_or_empty().alias("text")).where(F.col("o") <= F.lit(least))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords = Subwords(shared.value)
-        schema = pa.schema([("o", pa.int64()), ("ids", pa.list_(pa.int32()))])
-        for batch in batches:
-            for part, t in kernels.slices(batch):
-                words = kernels.Words(t.lowered())
-                flat, bounds = subwords.sequences(words, words.hashes())
-                lists = [flat[a : min(b, a + ids)] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield kernels.rows(schema, kernels.column(part, "o"), lists)
-
-    # pick by hash first, so that only the chosen texts are encoded
-    got = chosen.orderBy("o", "text").limit(texts).mapInArrow(run, "o bigint, ids array<int>").toArrow()
-    return [np.array(x, np.int32) for x in got.combine_chunks().sort_by("o").column("ids").to_pylist()]
-
-
 def score(
-    docs: DataFrame, learnable: Column, model_file: str, fit_texts: int = 3000, fit_ids: int = 1000, frequent: int = 2_000_000, add: float = 0.1
+    docs: DataFrame, learnable: Column, model_file: str, fit_texts: int | None = None, fit_ids: int | None = None, frequent: int = 2_000_000, add: float = 0.1
 ) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every text.
 
     Tokens are the words, A-Z in lower case, and one end. The base score is the sum of log10((c + add) / (N + add (V + 1)))
     over them; c, N, V are counts over all learnable texts. Words in at least one of ``frequent`` of all learnable tokens, so that
     many at most, are looked up in a table that every task has; the others are joined by their 64-bit hash. ``score`` is
-    the attention model's log10 probability of the text's subword ids and end. Its shares within classes are
-    counts over all learnable texts; its parameters are fitted on ``fit_texts`` of them, ``fit_ids`` ids of each at most. A
+    the attention model's log10 probability of the text's subword ids and end. Its classes, what
+    follows an id and the shares within classes are counts over all learnable texts, and its weights are fitted on all of their ids;
+    only if ``fit_texts`` or ``fit_ids`` is given are the weights (not the counts) from that many texts or ids of each. A
     null or empty text is just the end; repeated rows stay; rows whose ``learnable`` is null are not learnt from; without learnable rows
     the counts are zero. Other columns are not read.
     """
@@ -347,7 +529,7 @@ def score(
     id_counts = np.zeros(len(_model(raw)) + 1)
     id_counts[id_rows.column("h").to_numpy()] = id_rows.column("n").to_numpy()
     id_counts[-1] = n_texts
-    fitted = train(sample(docs, learnable, raw, fit_texts, fit_ids, n_texts), id_counts)
+    fitted = learn(stored(encoded(docs, learnable, raw), "lm-ids"), id_counts, fit_texts, fit_ids)
     shared = spark.sparkContext.broadcast((raw, h, np.log10(n + add) - below, fitted))
     end_log = float(np.log10(n_texts + add) - below)
     schema = pa.schema(

@@ -280,6 +280,26 @@ def test_each_id_is_scored_once_and_shares_sum_to_one():
     assert np.exp(every).sum() == pytest.approx(1, rel=1e-3)
 
 
+def test_language_model_learns_from_every_id(spark):
+    # only what lies past the first thousand ids, and in more than 3,000 texts, tells what follows "alpha"
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    late = " ".join(["zero"] * 1200 + ["alpha beta"] * 400)
+    rows = [(i, late if i < 5 else "zero zero") for i in range(3600)]
+    rows += [(5000, "alpha beta " * 20), (5001, "alpha zero " * 20), (5002, "beta alpha " * 20), (5003, "zero alpha " * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    got = {r.doc_id: r.score for r in language_model.score(docs, F.col("doc_id") < 5000, path).where("doc_id >= 5000").collect()}
+    assert got[5000] > got[5001] + 5 and got[5002] > got[5003] + 5
+    # counts hold all texts, also those that the weights are not fitted on
+    raw = open(path, "rb").read()
+    ids = language_model.encoded(docs, F.col("doc_id") < 5000, raw)
+    texts = [np.frombuffer(r.ids, np.uint16).astype(np.int32) for r in ids.collect()]
+    counts = np.bincount(np.concatenate(texts), minlength=int(texts[0][-1]) + 1).astype(float)
+    whole = language_model.learn(ids, counts, 10, 50, steps=5)
+    alone = language_model.train(texts, counts, steps=5)
+    assert (whole.class_of == alone.class_of).all()
+    assert np.allclose(whole.direct, alone.direct, atol=1e-5) and np.allclose(whole.log_share, alone.log_share, atol=1e-5)
+
+
 # pipeline
 
 
