@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, language_model, mixing, near_dedup, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
+from storelens.llm import byte_bpe, language_model, mixing, near_dedup, prefix_trie, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
 from storelens.llm.common import documents
 from storelens.llm.registry import query
+from storelens.session import configure
 
 
 @query("op1_mixing")
@@ -88,3 +89,28 @@ def _(spark, sf_dir):
     model = toxicity.learn(docs, labels, ~held_out)
     # a row without an id is never learnt from
     return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", "predicted")
+
+
+# crc32 bit by bit: the low two bits of the complement are crc32 % 4
+_OP13_SQL = r"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+  own AS (SELECT conv_id, list({'v': sha256(concat(len(role), ':', role, text)), 'w': len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))}
+      ORDER BY turn NULLS FIRST, role, sha256(text)) AS t FROM turns GROUP BY conv_id),
+  headed AS (SELECT conv_id, t, 3 - list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(CAST(conv_id AS VARCHAR)) + 1),
+      lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT))),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) % 4 AS h FROM own),
+  rebuilt AS (SELECT o.conv_id, list_concat(coalesce(b.t[1:o.h], []), o.t[o.h + 1:]) AS t FROM headed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+  paths AS (SELECT conv_id, t[1:d] AS p, d, len(t) AS n FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)),
+  nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+      sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256 FROM paths GROUP BY p, d),
+  kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+  full_ AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (p)),
+  below AS (SELECT p[1:k] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * coalesce(p[d].w, 0)) AS saved
+      FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM full_) GROUP BY 1)
+  SELECT f.conv_id, f.d AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+    CAST(b.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+  FROM full_ f JOIN below b USING (p) LEFT JOIN nodes u ON f.d > 0 AND u.p = f.p[1:f.d - 1]"""
+
+
+@query("op13_prefix_trie", _OP13_SQL)
+def _(spark, sf_dir):
+    return prefix_trie.trie(configure(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
