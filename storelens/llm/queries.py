@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, language_model, mixing, near_dedup, prefix_trie, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
+from storelens.llm import byte_bpe, collocations, language_model, mixing, near_dedup, prefix_trie, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 from storelens.session import configure
@@ -91,6 +91,28 @@ def _(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", "predicted")
 
 
+_OP11_SQL = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+  totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang),
+  runs AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT lang, w, unnest(range(1, 6)) AS k FROM words) WHERE len(w) >= k),
+  f AS (SELECT lang, k, w[i:i + k - 1] AS p, CAST(count(*) AS HUGEINT) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100),
+  cuts AS (SELECT lang, k, p, f, unnest(range(1, k)) AS cut FROM f WHERE k >= 2),
+  valued AS (SELECT c.lang, c.p, c.cut, c.f AS a, l.f AS l, r.f AS r, t.n, (1000 * c.f * t.n) // (l.f * r.f) AS score FROM cuts c JOIN totals t USING (lang)
+    JOIN f l ON l.lang = c.lang AND l.p = c.p[1:c.cut] JOIN f r ON r.lang = c.lang AND r.p = c.p[c.cut + 1:]),
+  lowest AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+  inner_ AS (SELECT lang, p[s:s + m - 1] AS p, max(f) AS longer FROM (SELECT lang, p, f, k, m, unnest(range(1, k - m + 2)) AS s
+    FROM (SELECT lang, p, f, k, unnest(range(2, k)) AS m FROM f WHERE k >= 3)) GROUP BY ALL),
+  free AS (SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM lowest b LEFT JOIN inner_ i ON i.lang = b.lang AND i.p = b.p WHERE i.longer IS NULL OR i.longer < b.a)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+    CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM free QUALIFY rank <= 2000"""
+
+
+@query("op11_collocations", _OP11_SQL)
+def _(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 # crc32 bit by bit: the low two bits of the complement are crc32 % 4
 _OP13_SQL = r"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
   own AS (SELECT conv_id, list({'v': sha256(concat(len(role), ':', role, text)), 'w': len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))}
