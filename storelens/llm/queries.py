@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from storelens.llm import byte_bpe, collocations, language_model, mixing, near_dedup, prefix_trie, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
+from storelens.llm import byte_bpe, collocations, language_model, mixing, near_dedup, prefix_trie, quality_classifier, repeats, secrets, spotsigs, substring_dedup, token_counts, toxicity
 from storelens.llm.common import documents
 from storelens.llm.registry import query
 from storelens.session import configure
@@ -113,6 +113,14 @@ def _(spark, sf_dir):
     return collocations.collocations(documents(spark, sf_dir))
 
 
+@query("op12_quality_classifier")
+def _(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = toxicity.id_fold(5) == 0
+    model = quality_classifier.learn(docs, labels, ~held_out)
+    return quality_classifier.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", "predicted")
+
+
 # crc32 bit by bit: the low two bits of the complement are crc32 % 4
 _OP13_SQL = r"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
   own AS (SELECT conv_id, list({'v': sha256(concat(len(role), ':', role, text)), 'w': len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))}
