@@ -45,13 +45,12 @@ def means(vectors: np.ndarray, owner: np.ndarray, terms: np.ndarray, times: np.n
 def terms_of(texts: kernels.Texts, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct hashed terms of every text and how often each occurs: owner (ascending), term, times.
 
-    Terms are words as they are, pairs of neighbours, and character n-grams of words with a blank around them. A word that
-    follows itself makes the same pair whatever the word, so that repetition is a term of its own.
+    Terms are words as they are, pairs of neighbours, and character n-grams of words with a blank around them; the n-grams of one
+    word together count as one. A word that follows itself makes the same pair whatever the word, so that repetition is a term of its own.
     """
     words = kernels.Words(texts)
-    none = np.zeros(0, np.int64)
     if not len(words):
-        return none, none, none
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     owner, hashes = words.owner(), words.hashes()
     pair = np.flatnonzero(owner[1:] == owner[:-1])
     pairs = np.where(hashes[pair] == hashes[pair + 1], _AGAIN, kernels.mix(hashes[pair] * _U(31) + hashes[pair + 1]))
@@ -66,7 +65,8 @@ def terms_of(texts: kernels.Texts, bits: int) -> tuple[np.ndarray, np.ndarray, n
     grams = kernels.mix(four[at].astype(_U) + _U(1 << 40))
     every = np.concatenate([kernels.mix(hashes), kernels.mix(pairs + _U(1)), grams]) >> _U(64 - bits)
     who = np.concatenate([owner, owner[pair], np.repeat(owner, n)]).astype(_U)
-    keys, times = np.unique(who << _U(32) | every, return_counts=True)
+    keys, back = np.unique(who << _U(32) | every, return_inverse=True)
+    times = np.bincount(back, np.concatenate([np.ones(len(words) + len(pair)), np.repeat(1 / n, n)]), len(keys))
     return (keys >> _U(32)).astype(np.int64), (keys & _U(0xFFFFFFFF)).astype(np.int64), times
 
 
@@ -87,7 +87,7 @@ def fit(
         return Model(vectors.astype(np.float32), output, bias)
     shared = np.bincount(terms, minlength=size) > 1
     some = shared[terms]
-    total = np.maximum(np.bincount(owner, times, n), 1.0)
+    total = np.maximum(np.bincount(owner, times, n), 1e-9)
     vectors[shared] = rng.uniform(-1 / width, 1 / width, (int(shared.sum()), width))
     weight = times[some] / total[owner[some]]
     owner, terms = owner[some], terms[some]
@@ -136,22 +136,22 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, max_rows: int =
     Their texts are turned into counted buckets by the executors, so what reaches the driver is bounded by ``max_rows`` and
     ``2 ** bits``. Without both labels in the sample the model is the smoothed rate.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.float64()), ("terms", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.float64()), ("terms", pa.list_(pa.int32())), ("times", pa.list_(pa.float32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in kernels.slices(batch):
                 owner, terms, times = terms_of(texts, bits)
                 ends = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (terms, times)]
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x, kind)) for x, kind in ((terms, pa.int32()), (times, pa.float32()))]
                 yield kernels.rows(schema, kernels.column(part, "doc_id"), kernels.column(part, "label"), *lists)
 
     single = labelled(docs, labels, "quality", learnable, max_rows)
-    got = single.mapInArrow(run, "doc_id bigint, label double, terms array<int>, times array<int>").toArrow().combine_chunks().sort_by("doc_id")
+    got = single.mapInArrow(run, "doc_id bigint, label double, terms array<int>, times array<float>").toArrow().combine_chunks().sort_by("doc_id")
     flat = []
-    for name in ("terms", "times"):
+    for name, kind in (("terms", np.int64), ("times", np.float64)):
         lists = got.column(name).combine_chunks()
-        flat.append(lists.flatten().to_numpy().astype(np.int64) if len(lists) else np.zeros(0, np.int64))
+        flat.append(lists.flatten().to_numpy().astype(kind) if len(lists) else np.zeros(0, kind))
     n = lists.value_lengths().to_numpy(zero_copy_only=False) if len(lists) else np.zeros(0, np.int64)
     return fit(np.repeat(np.arange(len(n)), n), *flat, got.column("label").to_numpy(), bits, **settings)
 
@@ -172,7 +172,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
         for batch in batches:
             for part, texts in kernels.slices(batch):
                 owner, terms, times = terms_of(texts, bits)
-                total = np.maximum(np.bincount(owner, times, len(texts)), 1)
+                total = np.maximum(np.bincount(owner, times, len(texts)), 1e-9)
                 z = np.bincount(owner, odds[terms] * times, len(texts)) / total + bias
                 p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
                 yield kernels.rows(schema, kernels.column(part, "doc_id"), p, (p >= threshold).astype(np.int32))
