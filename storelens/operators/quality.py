@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.scalars import hash_bucket
 from storelens.operators.aggregates import share_of_total
+from storelens.operators.runs import RUN, sorted_runs
 
 
 @dataclass(frozen=True)
@@ -128,9 +129,10 @@ def overlapping_periods(df: DataFrame, key: str, lo: str, hi: str) -> DataFrame:
     periods begin on it. Periods are half-open: touching is allowed, empty ones never
     overlap, a null bound is unbounded.
 
-    The running maximum of the ends is taken in two steps. Starts are first made distinct,
-    then each day of a key has its own window, and the days of a key are joined by a
-    second window over one row per day. No window ever holds all rows of a busy key.
+    The running maximum of the ends is a prefix scan: starts are made distinct and dealt to
+    ranges by key and start, so that the periods of one busy key or day lie in as many ranges as their
+    number asks for; each range has its own maxima, and per key and range one row carries the maximum over the
+    range's edge.
     """
     kind = df.schema[lo].dataType
     low = F.lit("0001-01-01").cast(kind)
@@ -144,29 +146,19 @@ def overlapping_periods(df: DataFrame, key: str, lo: str, hi: str) -> DataFrame:
         .filter(F.col("key").isNotNull() & (F.col("lo") < F.col("hi")))
         .groupBy("key", "lo")
         .agg(F.max("hi").alias("hi"), F.count("*").alias("periods"))
-        .withColumn("day", F.col("lo").cast("date"))
-        .filter(F.col("day").isNotNull())
-        .repartition("key", "day")
     )
+    runs = sorted_runs(starts, ["key", "lo"], "periods")
     earlier = (Window.unboundedPreceding, -1)
-    days = starts.groupBy("key", "day").agg(
-        F.max("hi").alias("day_hi"), F.sum("periods").alias("day_periods")
-    )
-    # A key with one period cannot overlap. Needing the counts here as well, both uses of
-    # ``starts`` read the same columns and so share the scan and the first shuffle.
-    carried = (
-        days.withColumn("key_periods", F.sum("day_periods").over(Window.partitionBy("key")))
-        .withColumn(
-            "carried",
-            F.max("day_hi").over(Window.partitionBy("key").orderBy("day").rowsBetween(*earlier)),
-        )
-        .filter(F.col("key_periods") > 1)
-        .select(F.col("key").alias("day_key"), F.col("day").alias("day_day"), "carried")
-    )
-    within = F.max("hi").over(Window.partitionBy("key", "day").orderBy("lo").rowsBetween(*earlier))
+    edges = runs.groupBy("key", RUN).agg(F.max("hi").alias("run_hi"))
+    carried = edges.select(
+        F.col("key").alias("edge_key"),
+        F.col(RUN).alias("edge_run"),
+        F.max("run_hi").over(Window.partitionBy("key").orderBy(RUN).rowsBetween(*earlier)).alias("carried"),
+    ).filter(F.col("carried").isNotNull())
+    within = F.max("hi").over(Window.partitionBy("key", RUN).orderBy("lo").rowsBetween(*earlier))
     return (
-        starts.withColumn("within", within)
-        .join(carried, (F.col("key") == F.col("day_key")) & (F.col("day") == F.col("day_day")))
+        runs.withColumn("within", within)
+        .join(carried, (F.col("key") == F.col("edge_key")) & (F.col(RUN) == F.col("edge_run")), "left")
         .withColumn("open_until", F.greatest("within", "carried"))
         .filter((F.col("open_until") > F.col("lo")) | (F.col("periods") > 1))
         .select(F.col("key").alias(key), F.col("lo").alias(lo), "periods", "open_until")

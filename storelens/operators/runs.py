@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.session import fresh_path
@@ -18,8 +18,9 @@ def sorted_runs(df: DataFrame, order: list[str], label: str = "runs") -> DataFra
     to the rows of each range.
     """
     path = fresh_path(df.sparkSession, label)
-    df.repartitionByRange(*order).withColumn(RUN, F.spark_partition_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    dealt = df.repartitionByRange(*order).withColumn(RUN, F.spark_partition_id())
+    dealt.write.parquet(path)
+    return df.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
 def spread_join(many: DataFrame, one: DataFrame, on: list[str], salt: str, how: str = "left") -> DataFrame:
@@ -33,3 +34,14 @@ def spread_join(many: DataFrame, one: DataFrame, on: list[str], salt: str, how:
     right = keys.select(*(F.col(c).alias(f"_k_{c}") for c in [*on, salt]), *extra)
     match = [many[c] == right[f"_k_{c}"] for c in [*on, salt]]
     return many.join(right, match, how).select(*many.columns, *extra)
+
+
+def numbered(df: DataFrame, order: list[str], name: str, label: str = "numbered") -> DataFrame:
+    """Rows numbered 1 to N by ``order``: each range numbers its own and begins where those before it end."""
+    runs = sorted_runs(df, order, label)
+    sizes = runs.groupBy(RUN).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    starts = sizes.select(F.col(RUN).alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(RUN).orderBy(*order))
+    placed = runs.withColumn("_place", place).join(starts, F.col(RUN) == F.col("_of"))
+    return placed.withColumn(name, (F.col("_start") + F.col("_place")).cast("bigint")).drop(RUN, "_of", "_start", "_place")

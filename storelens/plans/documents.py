@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.geo import geojson_point
@@ -19,6 +19,7 @@ from storelens.functions.scalars import (
 from storelens.operators.aggregates import first_row_per_key, last_row_per_key, sorted_set
 from storelens.operators.joins import translate
 from storelens.operators.reshape import as_document, pairs, present_map
+from storelens.operators.runs import numbered
 
 Tables = dict[str, DataFrame]
 
@@ -330,31 +331,11 @@ def zip_dimension(geolocations: DataFrame, order: list[str]) -> DataFrame:
 def category_dimension(categories: DataFrame, name: str, english: str) -> DataFrame:
     """Distinct categories with ids 1..N in name order.
 
-    Names are numbered within their first two letters, and each group starts where the
-    groups before it end: no task numbers the whole dictionary, and the one ordered pass
-    over all groups sees a single row per pair of letters.
+    Names are dealt to ranges, and each range begins its numbers where the ranges before it end.
     """
     names = first_row_per_key(
         categories.filter(F.col(name).isNotNull()).select(name, english), [name], [english]
-    ).withColumn("head", F.substring(name, 1, 2))
-    starts = (
-        names.groupBy("head")
-        .agg(F.count("*").alias("n"))
-        .select(
-            F.col("head").alias("start_head"),
-            F.coalesce(
-                F.sum("n").over(
-                    Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("start"),
-        )
-    )
-    numbered = names.withColumn(
-        "place", F.row_number().over(Window.partitionBy("head").orderBy(name))
     )
-    return numbered.join(starts, F.col("head") == F.col("start_head")).select(
-        (F.col("start") + F.col("place")).cast("bigint").alias("category_id"),
-        F.col(name).alias("name_pt"),
-        F.col(english).alias("name_en"),
+    return numbered(names, [name], "category_id", "categories").select(
+        "category_id", F.col(name).alias("name_pt"), F.col(english).alias("name_en")
     )
