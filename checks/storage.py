@@ -9,7 +9,7 @@ from storelens.functions import geo
 from storelens.operators import quality
 from storelens.plans import documents, lookups, reports
 from storelens.session import fresh_path
-from storelens.sinks import layout, upserts
+from storelens.sinks import layout, merging, summaries, upserts
 from storelens.sources import readers, scans
 from storelens.streaming import outbox
 
@@ -293,6 +293,33 @@ def _(t):
     )
 
 
+_TOUCHED_SQL = f"""WITH u AS (SELECT o_orderkey AS order_id, 'X' AS order_status, CAST(NULL AS TIMESTAMP) AS moved FROM orders
+      WHERE strftime(o_orderdate, '%Y-%m') = '1997-03'
+    UNION ALL SELECT o_orderkey, 'M', o_orderdate + INTERVAL 31 DAY FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-05'
+    UNION ALL SELECT -c_custkey, 'N', TIMESTAMP '1998-07-01' FROM customer),
+    o AS (SELECT coalesce(o.o_orderkey, u.order_id) AS order_id, coalesce(u.order_status, o.o_orderstatus) AS order_status,
+      coalesce(u.moved, o.o_orderdate) AS ts FROM orders o FULL JOIN u ON u.order_id = o.o_orderkey)
+    SELECT order_id, order_status, ts, CASE WHEN ts >= TIMESTAMP '{LO}' AND ts < TIMESTAMP '{HI}' THEN strftime(ts, '%Y_%m') ELSE 'default' END AS part FROM o"""
+
+
+@case("k01_touched_buckets", _TOUCHED_SQL)
+def _(t):
+    """Orders in monthly buckets: one month gets a status, one moves on by 31 days, and one gets new rows."""
+    orders = t["orders"].select("order_id", "order_status", F.col(TS).alias("ts"))
+    table = merging.BucketTable(fresh_path(t.spark, "k01-touched"), "order_id bigint, order_status string, ts timestamp_ntz", ("order_id",), "ts", LO, HI)
+    merging.create(orders, table)
+    month = F.date_format("ts", "yyyy-MM")
+    none = F.lit(None).cast("timestamp_ntz")
+    new = t["customers"].select((-F.col("customer_id")).alias("order_id"), F.lit("N").alias("order_status"), F.lit("1998-07-01").cast("timestamp_ntz").alias("ts"))
+    updates = (
+        orders.filter(month == "1997-03").select("order_id", F.lit("X").alias("order_status"), none.alias("ts"))
+        .unionByName(orders.filter(month == "1996-05").select("order_id", F.lit("M").alias("order_status"), (F.col("ts") + F.expr("INTERVAL 31 DAY")).alias("ts")))
+        .unionByName(new)
+    )
+    merging.merge(t.spark, table, updates, ["order_status"], keep_when_null=True)
+    return table.rows(t.spark)
+
+
 @case(
     "k02_full_reload",
     "SELECT event_id, event_type FROM events",
@@ -402,6 +429,32 @@ def _(t):
     return scans.read_partitioned(t.spark, path, "month_key")
 
 
+@case(
+    "k10_incremental_summary",
+    """WITH i AS (SELECT l_partkey % 50 AS grp, l_returnflag AS kind, CAST(CASE WHEN l_linenumber = 3 THEN l_extendedprice * 2
+      ELSE l_extendedprice END AS DECIMAL(12,2)) AS price FROM lineitem WHERE l_linenumber <> 1
+    UNION ALL SELECT p_size % 50, NULL, CAST(p_retailprice AS DECIMAL(12,2)) FROM part)
+    SELECT grp, kind, count(*) AS n, count(price) AS price_known, CAST(sum(price) AS DOUBLE) AS price_sum, CAST(min(price) AS DOUBLE) AS price_min,
+    CAST(max(price) AS DOUBLE) AS price_max FROM i GROUP BY ALL""",
+)
+def _(t):
+    """Item prices per group: first lines are deleted, third lines cost twice as much, products come in; the saved summary follows."""
+    price = F.col("l_extendedprice")
+    shape = lambda df, price: df.select((F.col("l_partkey") % 50).alias("grp"), F.col("l_returnflag").alias("kind"), price.cast("decimal(12,2)").alias("price"))
+    items = t.star("lineitem")
+    first, third = F.col("l_linenumber") == 1, F.col("l_linenumber") == 3
+    path = fresh_path(t.spark, "k10-summary")
+    summaries.build(shape(items, price), ["grp", "kind"], ["price"]).write.parquet(path)
+    products = t.star("part").select(
+        (F.col("p_size") % 50).cast("bigint").alias("grp"), F.lit(None).cast("string").alias("kind"), F.col("p_retailprice").cast("decimal(12,2)").alias("price")
+    )
+    gone = shape(items.filter(first | third), price)
+    came = shape(items.filter(third), price * 2).unionByName(products)
+    after = shape(items.filter(~first), F.when(third, price * 2).otherwise(price)).unionByName(products)
+    fresh = summaries.refresh(t.spark.read.parquet(path), summaries.changes(gone, came), ["grp", "kind"], ["price"], after)
+    return fresh.select("grp", "kind", "n", "price_known", *(F.col(f"price_{x}").cast("double").alias(f"price_{x}") for x in ("sum", "min", "max")))
+
+
 @case(
     "k11_retention",
     f"SELECT order_id FROM c_orders WHERE {TS} >= TIMESTAMP '1999-08-01'",
