@@ -526,6 +526,22 @@ def _(t):
     return outbox.pending(events, handled).select("event_id", "payload", "created_at")
 
 
+@case(
+    "st1_pending_since_mark",
+    "SELECT event_id, payload, created_at FROM c_outbox_events WHERE processed_at IS NULL AND created_at >= (SELECT min(created_at)::DATE + CAST(date_diff('day', min(created_at)::DATE, max(created_at)::DATE) // 2 AS INTEGER) FROM c_outbox_events)",
+)
+def _(t):
+    """Pending events from a low-water mark on, from laid-out events and ids: the first half is not read."""
+    events = t["outbox_events"]
+    days = (F.to_date(f("created_at")) for f in (F.min, F.max))
+    first, last = events.agg(*days).first()
+    mark = (first + (last - first) // 2).strftime("%Y-%m-%d")
+    path = fresh_path(t.spark, "st1-events")
+    layout.write_sorted(events, path, ["created_at", "event_id"])
+    handled = events.filter(F.col("processed_at").isNotNull()).select("event_id")
+    return outbox.pending(t.spark.read.parquet(path), handled, mark).select("event_id", "payload", "created_at")
+
+
 @case("st1_pending_count", "SELECT count(*) AS pending FROM c_outbox_events WHERE processed_at IS NULL")
 def _(t):
     return outbox.pending_count(t["outbox_events"])

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions.scalars import let
+from storelens.operators.runs import spread_join
 from storelens.session import fresh_path
 
 # WGS84 semi-major axis and flattening; mean radius (2a + b) / 3.
@@ -51,13 +54,14 @@ def sphere_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
 def geodesic_m(
     lat1: Column, lng1: Column, lat2: Column, lng2: Column, rounds: int = 200
 ) -> Column:
-    """Metres on the WGS84 ellipsoid by Vincenty's inverse formula.
+    """Metres on the WGS84 ellipsoid by Vincenty's inverse formula, null only where a coordinate is.
 
     Rounds run inside one ``aggregate`` expression in the JVM until the longitude difference
-    settles, mostly within ten; a settled pair costs nothing more. Null if it has not settled after
-    ``rounds``, as for points almost opposite each other, where ``sphere_m`` can serve instead.
+    settles, mostly within ten; a settled pair costs nothing more. Points so nearly opposite that it
+    has not settled after ``rounds`` are solved by their azimuth, see ``_by_azimuth``.
     """
     f = WGS84_F
+    far = _by_azimuth(lat1, lng1, lat2, lng2)
     u1 = F.atan((1 - f) * F.tan(F.radians(lat1)))
     u2 = F.atan((1 - f) * F.tan(F.radians(lat2)))
     ends = F.struct(
@@ -132,7 +136,72 @@ def geodesic_m(
             F.sequence(F.lit(1), F.lit(rounds)),
             F.struct(e["d"].alias("lam"), F.lit(1.0).alias("moved")),
             lambda state, _: F.when(state["moved"] > 1e-12, step(state)).otherwise(state),
-            lambda state: F.when(state["moved"] <= 1e-12, length(state["lam"], e)),
+            lambda state: F.when(state["moved"] <= 1e-12, length(state["lam"], e)).when(e["d"].isNotNull(), far),
+        )
+
+    return let(ends, solve)
+
+
+# Nodes and weights of the 16-point Gauss-Legendre rule on [-1, 1], worked out from its polynomial.
+_NODES = tuple(zip(*(x.tolist() for x in np.polynomial.legendre.leggauss(16)), strict=True))
+
+
+def _by_azimuth(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
+    """Metres on the ellipsoid between any two points, by bisection for the azimuth at the first.
+
+    After C. Karney, Algorithms for geodesics (2013): with the first point south and the farther of the two
+    from the equator, the longitude difference that a geodesic makes until it reaches the second latitude grows
+    with its azimuth from 0 to pi, so halving always settles. The two integrals, for longitude and
+    length, are taken by Gauss-Legendre quadrature; their integrands hardly vary.
+    """
+    f = WGS84_F
+    ep2 = (WGS84_A**2 - WGS84_B**2) / WGS84_B**2
+    b1, b2 = (F.atan((1 - f) * F.tan(F.radians(x))) for x in (lat1, lat2))
+    turn = F.abs(F.radians(lng2 - lng1)) % (2 * math.pi)
+    first = F.abs(b1) >= F.abs(b2)
+    near, other = F.when(first, b1).otherwise(b2), F.when(first, b2).otherwise(b1)
+    south = F.when(near > 0, -1.0).otherwise(1.0)
+    ends = F.struct(
+        # never quite on the equator, where an azimuth past east or west would have no meaning
+        F.least(south * near, F.lit(-1e-150)).alias("b1"),
+        (south * other).alias("b2"),
+        F.least(turn, 2 * math.pi - turn).alias("d"),
+    )
+
+    def arc(a: Column, e: Column) -> Column:
+        """The geodesic from b1 with azimuth a to where it first reaches b2 going north."""
+        s1, c1, c2 = F.sin(e["b1"]), F.cos(e["b1"]), F.cos(e["b2"])
+        sin0 = F.sin(a) * c1
+        north2 = F.sqrt(F.greatest(F.pow(F.cos(a) * c1, F.lit(2.0)) + (c2 - c1) * (c2 + c1), F.lit(0.0)))
+        start, end = F.atan2(s1, F.cos(a) * c1), F.atan2(F.sin(e["b2"]), north2)
+        return F.struct(
+            sin0.alias("sin0"),
+            start.alias("from"),
+            end.alias("to"),
+            (F.atan2(sin0 * F.sin(end), F.cos(end)) - F.atan2(sin0 * F.sin(start), F.cos(start))).alias("w"),
+            (ep2 * (1 - sin0 * sin0)).alias("k2"),
+        )
+
+    def integral(g: Column, of) -> Column:
+        half, mid = (g["to"] - g["from"]) / 2, (g["to"] + g["from"]) / 2
+        nodes = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(w).alias("w")) for x, w in _NODES))
+        root = lambda x: F.sqrt(1 + g["k2"] * F.pow(F.sin(mid + half * x), F.lit(2.0)))
+        return half * F.aggregate(nodes, F.lit(0.0), lambda total, n: total + n["w"] * of(root(n["x"])))
+
+    def longitude(g: Column) -> Column:
+        return g["w"] - f * g["sin0"] * integral(g, lambda r: (2 - f) / (1 + (1 - f) * r))
+
+    def solve(e: Column) -> Column:
+        def step(s: Column) -> Column:
+            middle = (s["lo"] + s["hi"]) / 2
+            less = let(arc(middle, e), longitude) < e["d"]
+            return F.struct(F.when(less, middle).otherwise(s["lo"]).alias("lo"), F.when(less, s["hi"]).otherwise(middle).alias("hi"))
+
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(54)),
+            F.struct(F.lit(0.0).alias("lo"), F.lit(math.pi).alias("hi")),
+            lambda s, _: step(s),
+            lambda s: let(arc((s["lo"] + s["hi"]) / 2, e), lambda g: F.lit(WGS84_B) * integral(g, lambda r: r)),
         )
 
     return let(ends, solve)
@@ -144,7 +213,7 @@ def nearest(
     """The ``n`` points nearest to a place, ranked on the sphere, measured on the ellipsoid.
 
     Each task keeps its own best ``n``, so only n rows per task leave it; the costlier
-    ellipsoid distance is worked out for the final n rows alone (on the sphere where that does not settle).
+    ellipsoid distance is worked out for the final n rows alone.
     """
     ranked = (
         df.withColumn(
@@ -154,10 +223,8 @@ def nearest(
         .orderBy(F.round("_sphere", 3), *[F.col(c) for c in tie])
         .limit(n)
     )
-    return ranked.withColumn(
-        "distance_meters",
-        F.coalesce(geodesic_m(F.col(lat_col), F.col(lng_col), F.lit(lat), F.lit(lng)), F.col("_sphere")),
-    ).drop("_sphere")
+    metres = geodesic_m(F.col(lat_col), F.col(lng_col), F.lit(lat), F.lit(lng))
+    return ranked.withColumn("distance_meters", metres).drop("_sphere")
 
 
 def nearest_each(
@@ -170,59 +237,86 @@ def nearest_each(
     query_key: str,
     n: int,
     tie: list[str],
-    degrees: float = 1.0,
+    leaf: int = 64,
 ) -> DataFrame:
     """The ``n`` nearest points of every query point, with ``distance_meters`` and ``place`` 1 to n.
 
-    ``query_key`` names a query; columns of the two tables must differ. Points and queries meet by an equi join on grid cells, never all with
-    all: a query looks into the cells within ``degrees`` of it, where longitudes count more the nearer
-    the pole. It is settled if its n-th point is no farther than that; the others look four times as far, until the
-    whole earth is seen. Ranked on the sphere, measured on the ellipsoid. Points or queries without
-    coordinates are left out.
+    ``query_key`` names a query; columns of the two tables must differ. Ranked on the sphere, measured on the
+    ellipsoid. Points or queries without valid coordinates are left out.
+
+    Points lie in a quadtree of cells that follows their density: each level cuts cells of more than ``leaf`` points into
+    sixteen. All queries go down it together, one level a round, and each keeps a few cells: those whose least possible
+    distance is not beyond the distance within which the cells seen so far surely hold ``n`` points. So what a
+    query compares does not depend on how many points crowd around it; only the points of leaves kept in the end are
+    measured. Of points at one place the first ``n`` are enough. Cells and points that no query keeps are left behind.
     """
     spark = points.sparkSession
-    held = points.filter(F.col(lat_col).isNotNull() & F.col(lng_col).isNotNull())
-    todo = queries.filter(F.col(query_lat).isNotNull() & F.col(query_lng).isNotNull())
-    found = None
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(spark, f"nearest-{label}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    at_place = Window.partitionBy(lat_col, lng_col).orderBy(*tie)
+    rest = kept(
+        points.filter(valid_coordinates(F.col(lng_col), F.col(lat_col)))
+        .withColumn("_rank", F.row_number().over(at_place))
+        .filter(F.col("_rank") <= n)
+        .select(F.struct(*points.columns).alias("_point"), F.col(lat_col).cast("double").alias("_lat"), F.col(lng_col).cast("double").alias("_lng")),
+        "points",
+    )
+    asked = queries.filter(valid_coordinates(F.col(query_lng), F.col(query_lat)))
+    front = asked.select(
+        F.col(query_key).alias("_key"),
+        F.struct(*queries.columns).alias("_query"),
+        F.pmod(F.xxhash64(query_key), F.lit(64)).alias("_salt"),
+        *(F.lit(0).cast("bigint").alias(c) for c in ("_level", "_row", "_col")),
+        F.lit(1 << 62).alias("_n"),
+        F.lit(False).alias("_leaf"),
+        F.lit(0.0).alias("_least"),
+        F.lit(0.0).alias("_most"),
+    )
+    cell, found, level = ["_row", "_col"], [], 0
     while True:
-        columns = max(1, int(360 // degrees))
-        width = 360 / columns
-        lat, lng = F.col(query_lat), F.col(query_lng)
-        # how far the longitude can differ at that distance; all around if a pole is within it
-        away = F.try_divide(F.sin(F.radians(F.lit(min(degrees, 90.0)))), F.cos(F.radians(lat)))
-        span = F.when((degrees < 90) & (F.abs(lat) + degrees < 90), F.degrees(F.asin(F.least(away, F.lit(1.0))))).otherwise(180.0)
-        steps = F.least(F.ceil(span / width), F.lit(columns // 2)).cast("int")
-        column = lambda x: F.pmod(F.floor((x + 180) / width), F.lit(columns)).cast("int")
-        cells = (
-            todo.withColumn("_row", F.explode(F.sequence(F.floor((lat - degrees) / degrees), F.floor((lat + degrees) / degrees))))
-            .withColumn("_step", F.explode(F.sequence(-steps, steps)))
-            .withColumn("_column", F.pmod(column(lng) + F.col("_step"), F.lit(columns)).cast("int"))
-            .drop("_step")
-            .distinct()
-        )
-        placed = held.withColumns({"_row": F.floor(F.col(lat_col) / degrees), "_column": column(F.col(lng_col))})
-        sphere = sphere_m(F.col(lat_col), F.col(lng_col), lat, lng)
-        order = Window.partitionBy(query_key).orderBy(F.round("_sphere", 3), *tie)
-        near = (
-            placed.join(cells, ["_row", "_column"])
-            .withColumn("_sphere", sphere)
-            .withColumn("place", F.row_number().over(order))
-            .filter(F.col("place") <= n)
-            .drop("_row", "_column")
+        level += 1
+        side = 4**level
+        index = lambda x, size: F.least(F.floor(x / size * side), F.lit(side - 1)).cast("bigint")  # noqa: B023, E731
+        placed = rest.withColumns({"_row": index(F.col("_lat") + 90, 180), "_col": index(F.pmod(F.col("_lng") + 180, F.lit(360.0)), 360)})
+        counts = kept(placed.groupBy(*cell).agg(F.count("*").alias("_n")).withColumn("_leaf", (F.col("_n") <= leaf) | (level >= 20)), "cells")
+        children = counts.groupBy(F.expr("_row div 4").alias("_row"), F.expr("_col div 4").alias("_col")).agg(
+            F.collect_list(F.struct(*cell, "_n", "_leaf")).alias("_parts")
         )
-        path = fresh_path(spark, "nearest")
-        near.write.parquet(path)
-        near = spark.read.schema(near.schema).parquet(path)
-        whole = degrees >= 180
-        reach = math.radians(degrees) * SPHERE_RADIUS
-        settled = near.filter((F.col("place") == n) & (F.col("_sphere") <= reach)).select(F.col(query_key).alias("_settled"))
-        done = near if whole else near.join(settled, F.col(query_key) == F.col("_settled"), "left_semi")
-        found = done if found is None else found.unionByName(done)
-        if whole:
+        opened = spread_join(front.filter(~F.col("_leaf")).drop("_n", "_leaf", "_least", "_most"), children, cell, "_salt", "inner")
+        below = opened.select("_key", "_query", "_salt", F.lit(level).cast("bigint").alias("_level"), F.explode("_parts").alias("_part")).select("_key", "_query", "_salt", "_level", "_part.*")
+        spread = _cell_bounds(below, F.col(f"_query.{query_lat}"), F.col(f"_query.{query_lng}"), side)
+        seen = front.filter("_leaf").unionByName(spread)
+        by_reach = Window.partitionBy("_key").orderBy("_most", "_level", "_row", "_col").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        surely = F.min(F.when(F.col("_sum") >= n, F.col("_most"))).over(Window.partitionBy("_key"))
+        # ranking rounds to millimetres
+        near = seen.withColumn("_sum", F.sum("_n").over(by_reach)).withColumn("_bound", surely)
+        front = kept(near.filter(F.col("_bound").isNull() | (F.col("_least") <= F.col("_bound") + 0.01)).drop("_sum", "_bound"), "front")
+        wanted = front.filter(F.col("_level") == level).select(*cell, "_leaf").distinct()
+        held = spread_join(placed.withColumn("_salt", F.pmod(F.xxhash64("_lat", "_lng"), F.lit(64))), wanted, cell, "_salt", "inner")
+        held = kept(held, "held")
+        found.append(held.filter("_leaf").groupBy(*cell).agg(F.collect_list("_point").alias("_points")).withColumn("_level", F.lit(level).cast("bigint")))
+        if front.filter(~F.col("_leaf")).isEmpty():
             break
-        todo = todo.join(settled, F.col(query_key) == F.col("_settled"), "left_anti")
-        if todo.isEmpty():
-            break
-        degrees *= 4
+        rest = held.filter(~F.col("_leaf")).select("_point", "_lat", "_lng")
+    leaves = reduce(DataFrame.unionByName, found)
+    met = spread_join(front.select("_key", "_query", "_salt", "_level", *cell), leaves, ["_level", *cell], "_salt", "inner")
+    compared = met.select("_query", F.explode("_points").alias("_point")).select("_query.*", "_point.*")
+    sphere = sphere_m(F.col(lat_col), F.col(lng_col), F.col(query_lat), F.col(query_lng))
+    order = Window.partitionBy(query_key).orderBy(F.round("_sphere", 3), *tie)
+    best = compared.withColumn("_sphere", sphere).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n)
     metres = geodesic_m(F.col(lat_col), F.col(lng_col), F.col(query_lat), F.col(query_lng))
-    return found.withColumn("distance_meters", F.coalesce(metres, F.col("_sphere"))).drop("_sphere")
+    return best.withColumn("distance_meters", metres).drop("_sphere")
+
+
+def _cell_bounds(cells: DataFrame, lat: Column, lng: Column, side: int) -> DataFrame:
+    """The least and most that a point of the cell can be away, by the triangle inequality at the cell's middle."""
+    high, wide = 180 / side, 360 / side
+    low = F.col("_row") * high - 90
+    nearest_equator = F.when((low < 0) & (low + high > 0), 0.0).otherwise(F.least(F.abs(low), F.abs(low + high)))
+    around = (F.lit(math.radians(high) / 2) + F.lit(math.radians(wide) / 2) * F.cos(F.radians(nearest_equator))) * SPHERE_RADIUS
+    middle = sphere_m(lat, lng, low + high / 2, F.col("_col") * wide - 180 + wide / 2)
+    return cells.withColumns({"_least": F.greatest(middle - around, F.lit(0.0)), "_most": middle + around})

@@ -6,11 +6,17 @@ again after a failure overwrites its own folders, and a field's current value is
 the newest event, by (event time, event id), that carries the field, so replays, repeats and late
 events change nothing that is newer. A field that an event leaves out keeps its value; an
 explicit null sets it to null. Work per batch grows with the batch; ``compact`` bounds what readers
-read by the documents there are.
+read by the documents there are and by the events since the low-water mark.
+
+Handled ids lie in folders by the day of their event. Below the mark everything is settled: ids are
+given up there, and looking for pending events reads neither events nor ids from before it. An event that comes
+late or again from below the mark is still applied, which changes nothing newer.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,14 +96,25 @@ def _newest(changes: DataFrame) -> DataFrame:
     )
 
 
+def without_repeats(events: DataFrame, within: str) -> DataFrame:
+    """The stream without events that were seen ``within`` that time; the ids in between are all its state.
+
+    Events that are further behind the newest than that are left out by Spark, so it is for feeds that are never so late.
+    """
+    return events.withWatermark("created_at", within).dropDuplicatesWithinWatermark(["event_id"])
+
+
 def apply_events(
-    events: DataFrame, root: str, body: str | T.StructType, checkpoint: str
+    events: DataFrame, root: str, body: str | T.StructType, checkpoint: str, repeats_within: str | None = None
 ) -> StreamingQuery:
     """Start the job: handle everything there is, then stop. Run it again for later events.
 
     The checkpoint remembers which events were handled; ``root`` and ``checkpoint`` must be
-    in shared storage.
+    in shared storage. Repeats never change a document; with ``repeats_within`` they are not even
+    handled again, see ``without_repeats``.
     """
+    if repeats_within is not None:
+        events = without_repeats(events, repeats_within)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
@@ -105,9 +122,8 @@ def apply_events(
             good, bad = split_events(held, body)
             folder = f"batch_id={batch_id}"
             newest_changes(good).write.mode("overwrite").parquet(f"{root}/changes/{folder}")
-            good.groupBy("event_id").agg(
-                F.current_timestamp().alias("processed_at")
-            ).write.mode("overwrite").parquet(f"{root}/processed/{folder}")
+            ids = good.groupBy("event_id").agg(F.current_timestamp().alias("processed_at"), F.min("created_at").alias("created_at"))
+            _by_day(ids).write.mode("overwrite").partitionBy("day").parquet(f"{root}/processed/{folder}")
             bad.write.mode("overwrite").parquet(f"{root}/rejected/{folder}")
         finally:
             held.unpersist()
@@ -162,24 +178,51 @@ def fold_into(base: DataFrame, documents: DataFrame, key: str, aggregate_type: s
     return joined.select(*out)
 
 
-def compact(spark: SparkSession, root: str, target: str) -> None:
+def _by_day(ids: DataFrame) -> DataFrame:
+    return ids.withColumn("day", F.coalesce(F.date_format("created_at", "yyyy-MM-dd"), F.lit("unknown")))
+
+
+def _handled(spark: SparkSession, root: str) -> DataFrame:
+    schema = "event_id string, processed_at timestamp, created_at timestamp, batch_id bigint, day string"
+    return spark.read.schema(schema).parquet(f"{root}/processed")
+
+
+def compact(spark: SparkSession, root: str, target: str, settled: dt.datetime | None = None) -> None:
     """Write the newest state, the handled ids and the rejected events of ``root`` to a new root.
 
-    One row per document and per event, whatever the number of batches. Run it between runs of the
+    One row per document, and per event since the low-water mark, whatever the number of batches. ``settled``, from
+    ``settled_until``, moves the mark up to that day; it never goes back. Run it between runs of the
     job, and use ``target`` as the root from then on, with the same checkpoint; the old root can go when nothing reads it.
     """
     folder = "batch_id=-1"
     _newest(spark.read.parquet(f"{root}/changes").drop("batch_id")).write.parquet(f"{target}/changes/{folder}")
-    spark.read.parquet(f"{root}/processed").groupBy("event_id").agg(F.max("processed_at").alias("processed_at")).write.parquet(
-        f"{target}/processed/{folder}"
-    )
+    mark = max(filter(None, (low_water_mark(spark, root), settled and settled.strftime("%Y-%m-%d"))), default=None)
+    if mark is not None:
+        spark.createDataFrame([(mark,)], "day string").write.parquet(f"{target}/mark")
+    ids = _since(_handled(spark, root), mark).groupBy("event_id").agg(F.max("processed_at").alias("processed_at"), F.min("created_at").alias("created_at"))
+    _by_day(ids).write.partitionBy("day").parquet(f"{target}/processed/{folder}")
     rejected(spark, root).distinct().write.parquet(f"{target}/rejected/{folder}")
 
 
+def low_water_mark(spark: SparkSession, root: str) -> str | None:
+    """The day, as ``yyyy-MM-dd``, before which all events are settled; none before the first compaction with one."""
+    try:
+        return spark.read.schema("day string").parquet(f"{root}/mark").agg(F.max("day")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _since(handled: DataFrame, mark: str | None) -> DataFrame:
+    """Ids of events from the mark on; whole folders are left out. Undated events are never below it."""
+    return handled if mark is None else handled.filter(F.col("day") >= mark)
+
+
 def processed_ids(spark: SparkSession, root: str) -> DataFrame:
-    """Handled event ids; empty before the first batch."""
+    """Ids of handled events from the low-water mark on; empty before the first batch."""
     try:
-        return spark.read.parquet(f"{root}/processed").select("event_id").distinct()
+        return _since(_handled(spark, root), low_water_mark(spark, root)).select("event_id").distinct()
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -190,10 +233,22 @@ def rejected(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/rejected").drop("batch_id")
 
 
-def pending(events: DataFrame, handled: DataFrame) -> DataFrame:
-    """Events no batch has handled yet, oldest first."""
+def pending(events: DataFrame, handled: DataFrame, mark: str | None = None) -> DataFrame:
+    """Events no batch has handled yet, oldest first; with the low-water mark, those from it on.
+
+    The mark goes to the scan of the events, as ``processed_ids`` left it out of the ids: what is read grows with
+    the events since then, not with all there ever were.
+    """
+    if mark is not None:
+        events = events.filter(F.col("created_at").isNull() | (F.col("created_at") >= F.lit(mark).cast(events.schema["created_at"].dataType)))
     return events.join(handled, "event_id", "left_anti").orderBy("created_at", "event_id")
 
 
+def settled_until(events: DataFrame, handled: DataFrame, mark: str | None = None) -> dt.datetime | None:
+    """The time before which every event is handled: that of the oldest pending one, else of the newest event."""
+    waiting = pending(events, handled, mark).agg(F.min("created_at")).first()[0]
+    return waiting if waiting is not None else events.agg(F.max("created_at")).first()[0]
+
+
 def pending_count(events: DataFrame) -> DataFrame:
     return events.filter(F.col("processed_at").isNull()).agg(F.count("*").alias("pending"))

@@ -190,9 +190,13 @@ def test_distances(value):
     assert m(-23.55, -46.63, -23.55, -46.63) == 0
     # Flinders Peak - Buninyong on WGS84
     assert m(-37.95103341666667, 144.42486788888888, -37.65282113888889, 143.92649552777777) == pytest.approx(54972.271, abs=0.01)
-    # far points settle late; opposite ones never do
+    # far points settle late; opposite ones are solved by their azimuth
     assert m(0, 0, 0.5, 179.5) == pytest.approx(19936288.579, abs=0.01)
-    assert m(0, 0, 0.1, 179.9) is None
+    assert m(0, 0, 0.5, 179.5) == pytest.approx(19936288.578965, abs=0.001)
+    assert m(0, 0, 0.5, 179.7) == pytest.approx(19944127.4208, abs=0.001)
+    # a quarter turn to the pole and on: half a meridian, whichever way it is named
+    assert m(0, 0, 0, 180) == pytest.approx(20003931.4586, abs=0.001) and m(90, 7, -90, 7) == pytest.approx(20003931.4586, abs=0.001)
+    assert m(0, 0, 0.1, 179.9) < m(0, 0, 0, 180) and m(10, 20, -10, 200) == pytest.approx(20003931.4586, abs=0.001)
     sphere = value(geo.sphere_m(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)))
     assert sphere == pytest.approx(m(0, 0, 0, 1), rel=0.005)
 
