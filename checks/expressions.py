@@ -571,21 +571,30 @@ def _(t):
     )
 
 
-@case(
-    "x03_fuzzy_join",
-    f"""SELECT a.v AS left_value, b.v AS right_value, round({_similar('a.g', 'b.g')}, 6) AS score
+_FUZZY_SQL = f"""SELECT a.v AS left_value, b.v AS right_value, round({_similar('a.g', 'b.g')}, 6) AS score
     FROM (SELECT v, {_grams('v')} AS g FROM (SELECT DISTINCT url AS v FROM pages)) a
     JOIN (SELECT v, {_grams('v')} AS g FROM (SELECT DISTINCT p_name || ' ' || p_type || ' page' AS v FROM part
     UNION SELECT DISTINCT url AS v FROM pages)) b
-    ON {_similar('a.g', 'b.g')} >= 0.7""",
-)
-def _(t):
+    ON {_similar('a.g', 'b.g')} >= """
+
+
+def _fuzzy(t, threshold):
     names = t.star("part").select(F.concat_ws(" ", "p_name", "p_type", F.lit("page")).alias("v"))
     urls = t.star("pages").select(F.col("url").alias("v"))
-    found = text.fuzzy_join(urls, names.union(urls), "v", "v", 0.7)
+    found = text.fuzzy_join(urls, names.union(urls), "v", "v", threshold)
     return found.withColumn("score", F.round("score", 6))
 
 
+@case("x03_fuzzy_join", _FUZZY_SQL + "0.7")
+def _(t):
+    return _fuzzy(t, 0.7)
+
+
+@case("x03_fuzzy_join_loose", _FUZZY_SQL + "0.3")
+def _(t):
+    return _fuzzy(t, 0.3)
+
+
 @case(
     "x04_keyword_search",
     """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(source || ' ' || text), '[^\\p{L}\\p{N}]+'),
@@ -663,7 +672,7 @@ def _(t):
     " (PARTITION BY qlat, qlng ORDER BY round(m, 3), zip, city, state) AS place FROM d QUALIFY place <= 3",
 )
 def _(t):
-    """Three nearest points of each of a tenth of the places, by grid cells that widen."""
+    """Three nearest points of each of a tenth of the places, down a quadtree."""
     points = t["geolocations"]
     places = points.filter(F.col("geolocation_zip_code_prefix") % 10 == 0).select(
         F.col("geolocation_lat").cast("double").alias("qlat"), F.col("geolocation_lng").cast("double").alias("qlng")
@@ -671,7 +680,7 @@ def _(t):
     queries = places.distinct().withColumn("query", F.concat_ws(" ", "qlat", "qlng"))
     found = geo.nearest_each(
         points, queries, "geolocation_lat", "geolocation_lng", "qlat", "qlng", "query", 3,
-        ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"], degrees=0.25,
+        ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"],
     )
     metres = geo.sphere_m(F.col("geolocation_lat"), F.col("geolocation_lng"), F.col("qlat"), F.col("qlng"))
     return found.select(
@@ -685,6 +694,34 @@ def _(t):
     )
 
 
+@case(
+    "g03_nearest_dense",
+    """WITH p AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN -34 + (c_custkey % 390) / 10.0::DOUBLE
+      ELSE -23.55 + (c_custkey % 997) / 1000000.0::DOUBLE END AS lat,
+      CASE WHEN c_custkey % 5 = 0 THEN -74 + (c_custkey % 400) / 10.0::DOUBLE ELSE -46.63 + (c_custkey % 991) / 1000000.0::DOUBLE END AS lng FROM customer),
+    q AS (SELECT s_suppkey AS query, -23.55 + (s_suppkey % 1009) / 1000000.0::DOUBLE AS qlat, -46.63 + (s_suppkey % 1013) / 1000000.0::DOUBLE AS qlng FROM supplier)
+    SELECT query, id, row_number() OVER (PARTITION BY query ORDER BY round(m, 3), id) AS place, round(m, 2) AS metres FROM (SELECT query, id, """
+    + _SPHERE.format(lat1="lat", lng1="lng", lat2="qlat", lng2="qlng")
+    + " AS m FROM p, q) QUALIFY place <= 5",
+)
+def _(t):
+    """Five nearest of all customers for every supplier; four of five customers and all suppliers within a hundred metres."""
+    k = F.col("c_custkey")
+    far = k % 5 == 0
+    points = t.star("customer").select(
+        k.alias("id"),
+        F.when(far, -34 + (k % 390) / F.lit(10.0)).otherwise(-23.55 + (k % 997) / F.lit(1000000.0)).alias("lat"),
+        F.when(far, -74 + (k % 400) / F.lit(10.0)).otherwise(-46.63 + (k % 991) / F.lit(1000000.0)).alias("lng"),
+    )
+    k = F.col("s_suppkey")
+    queries = t.star("supplier").select(
+        k.alias("query"), (-23.55 + (k % 1009) / F.lit(1000000.0)).alias("qlat"), (-46.63 + (k % 1013) / F.lit(1000000.0)).alias("qlng")
+    )
+    found = geo.nearest_each(points, queries, "lat", "lng", "qlat", "qlng", "query", 5, ["id"])
+    metres = geo.sphere_m(F.col("lat"), F.col("lng"), F.col("qlat"), F.col("qlng"))
+    return found.select("query", "id", F.col("place").cast("bigint").alias("place"), F.round(metres, 2).alias("metres"))
+
+
 @case(
     "g03_nearest_many",
     "SELECT geolocation_zip_code_prefix AS zip, geolocation_city AS city, geolocation_state AS state, round("

@@ -245,7 +245,7 @@ def nearest_each(
     ellipsoid. Points or queries without valid coordinates are left out.
 
     Points lie in a quadtree of cells that follows their density: each level cuts cells of more than ``leaf`` points into
-    sixteen. All queries go down it together, one level a round, and each keeps a few cells: those whose least possible
+    sixty-four. All queries go down it together, one level a round, and each keeps a few cells: those whose least possible
     distance is not beyond the distance within which the cells seen so far surely hold ``n`` points. So what a
     query compares does not depend on how many points crowd around it; only the points of leaves kept in the end are
     measured. Of points at one place the first ``n`` are enough. Cells and points that no query keeps are left behind.
@@ -279,11 +279,11 @@ def nearest_each(
     cell, found, level = ["_row", "_col"], [], 0
     while True:
         level += 1
-        side = 4**level
+        side = 8**level
         index = lambda x, size: F.least(F.floor(x / size * side), F.lit(side - 1)).cast("bigint")  # noqa: B023, E731
         placed = rest.withColumns({"_row": index(F.col("_lat") + 90, 180), "_col": index(F.pmod(F.col("_lng") + 180, F.lit(360.0)), 360)})
-        counts = kept(placed.groupBy(*cell).agg(F.count("*").alias("_n")).withColumn("_leaf", (F.col("_n") <= leaf) | (level >= 20)), "cells")
-        children = counts.groupBy(F.expr("_row div 4").alias("_row"), F.expr("_col div 4").alias("_col")).agg(
+        counts = kept(placed.groupBy(*cell).agg(F.count("*").alias("_n")).withColumn("_leaf", (F.col("_n") <= leaf) | (level >= 13)), "cells")
+        children = counts.groupBy(F.expr("_row div 8").alias("_row"), F.expr("_col div 8").alias("_col")).agg(
             F.collect_list(F.struct(*cell, "_n", "_leaf")).alias("_parts")
         )
         opened = spread_join(front.filter(~F.col("_leaf")).drop("_n", "_leaf", "_least", "_most"), children, cell, "_salt", "inner")
