@@ -86,11 +86,11 @@ def fit(
     if not rate.all():
         return Model(vectors.astype(np.float32), output, bias)
     shared = np.bincount(terms, minlength=size) > 1
-    some = shared[terms]
-    total = np.maximum(np.bincount(owner, times, n), 1e-9)
+    total = np.maximum(np.bincount(owner, times, n), 1e-9).astype(np.float32)
     vectors[shared] = rng.uniform(-1 / width, 1 / width, (int(shared.sum()), width))
-    weight = times[some] / total[owner[some]]
-    owner, terms = owner[some], terms[some]
+    some = shared[terms]
+    owner, terms, weight = owner[some], terms[some], times[some]
+    weight = weight / total[owner]
     cuts = np.searchsorted(owner, np.arange(n + 1))
     seen, seen_out, seen_bias = np.full(size, 1e-8), np.full((2, width), 1e-8), np.full(2, 1e-8)
     truth = np.stack([labels == 0, labels == 1], 1).astype(float)
@@ -149,11 +149,12 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, max_rows: int =
     single = labelled(docs, labels, "quality", learnable, max_rows)
     got = single.mapInArrow(run, "doc_id bigint, label double, terms array<int>, times array<float>").toArrow().combine_chunks().sort_by("doc_id")
     flat = []
-    for name, kind in (("terms", np.int64), ("times", np.float64)):
+    # four bytes each: this is the most that the driver holds
+    for name, kind in (("terms", np.int32), ("times", np.float32)):
         lists = got.column(name).combine_chunks()
-        flat.append(lists.flatten().to_numpy().astype(kind) if len(lists) else np.zeros(0, kind))
+        flat.append(lists.flatten().to_numpy() if len(lists) else np.zeros(0, kind))
     n = lists.value_lengths().to_numpy(zero_copy_only=False) if len(lists) else np.zeros(0, np.int64)
-    return fit(np.repeat(np.arange(len(n)), n), *flat, got.column("label").to_numpy(), bits, **settings)
+    return fit(np.repeat(np.arange(len(n), dtype=np.int32), n), *flat, got.column("label").to_numpy(), bits, **settings)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
