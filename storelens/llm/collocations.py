@@ -16,7 +16,7 @@ from storelens.operators.runs import spread_join
 
 #: words of the longest window
 LONGEST = 5
-#: cells that tell rare words and pairs: 2 MB at the executors, 16 MB in each counting task
+#: cells that tell rare windows: 2 MB at the executors for each of two passes, 16 MB in each counting task
 CELL_BITS = 24
 _U = np.uint64
 _BREAK = np.zeros(256, bool)
@@ -32,12 +32,11 @@ class _Pieces:
     def __init__(self, part: pa.RecordBatch, texts: kernels.Texts):
         self.words = kernels.Words(texts.lowered(), _APART)
         langs = kernels.column(part, "lang").dictionary_encode()
-        names = langs.dictionary.to_pylist()
-        salt = np.array([_name_hash(x) for x in names], _U) if names else np.zeros(0, _U)
+        self.names = langs.dictionary.to_pylist()
+        self.salt = np.array([_name_hash(x) for x in self.names], _U)
         owner = self.words.owner()
         self.lang = langs.indices.to_numpy(zero_copy_only=False)[owner]
-        self.langs = langs.dictionary
-        self.hashes = kernels.mix(self.words.hashes() ^ salt[self.lang]) if len(owner) else np.zeros(0, _U)
+        self.hashes = kernels.mix(self.words.hashes() ^ self.salt[self.lang]) if len(owner) else np.zeros(0, _U)
         breaks = np.cumsum(_BREAK[texts.data])
         w = self.words
         self.joined = np.zeros(len(w), bool)
@@ -54,66 +53,117 @@ def _name_hash(name: str) -> int:
     return int(kernels.hash_spans(raw, np.array([0]), np.array([len(raw)]))[0])
 
 
+def _often(packed: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    cell = (hashes >> _U(64 - bits)).astype(np.int64)
+    return packed[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1 == 1
+
+
+def _windows(p: _Pieces, marks: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each window's words, -1 from its end on, and the hashes of its beginnings, by length.
+
+    A window ends with its piece, and where the first ``marks`` say that a word or pair, the second that a longer beginning, is rare.
+    """
+    n = len(p.words)
+    at, begun = np.full((LONGEST, n), -1, np.int64), np.zeros((LONGEST, n), _U)
+    if not n:
+        return at, begun
+    fine, on = _often(marks[0], p.hashes, bits), p.joined & _often(marks[0], p.pairs(), bits)
+    at[0], begun[0] = np.where(fine, np.arange(n), -1), p.hashes
+    for k in range(1, LONGEST):
+        goes = np.flatnonzero(at[k - 1] >= 0)
+        goes = goes[on[at[k - 1, goes]]]
+        goes = goes[fine[at[k - 1, goes] + 1]]
+        hashes = kernels.mix(begun[k - 1, goes] * _U(0x9E3779B97F4A7C15) + p.hashes[at[k - 1, goes] + 1])
+        if k >= 2 and len(marks) > 1:
+            stays = _often(marks[1], hashes, bits)
+            goes, hashes = goes[stays], hashes[stays]
+        at[k, goes], begun[k, goes] = at[k - 1, goes] + 1, hashes
+    return at, begun
+
+
+#: distinct windows that a task holds before it gives them out
+_HELD = 1 << 20
+
+
+class _Tally:
+    """Windows of the slices of a task: their words' hashes, language, count, and how the words are spelled."""
+
+    def __init__(self):
+        self.key, self.n, self.lang = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words, self.known, self.spelled = np.zeros((LONGEST, 0), _U), np.zeros(0, _U), np.zeros(0, object)
+        self.names: dict[str, int] = {}
+
+    def add(self, p: _Pieces, at: np.ndarray, begun: np.ndarray) -> None:
+        size = (at >= 0).sum(0)
+        whole = np.where(size > 0, begun[size - 1, np.arange(len(size))], p.salt[p.lang])
+        key, one, n = np.unique(kernels.mix(whole + size.astype(_U)), return_index=True, return_counts=True)
+        at, place = at[:, one], [self.names.setdefault(x, len(self.names)) for x in p.names]
+        words = np.where(at >= 0, p.hashes[at], _U(0))
+        key = np.concatenate([self.key, key])
+        self.key, first, back = np.unique(key, return_index=True, return_inverse=True)
+        self.n = np.bincount(back, np.concatenate([self.n, n]), len(self.key)).astype(np.int64)
+        self.lang = np.concatenate([self.lang, np.array(place, np.int64)[p.lang[one]]])[first]
+        self.words = np.concatenate([self.words, words], 1)[:, first]
+        used = np.unique(at[at >= 0])
+        ids, where = np.unique(p.hashes[used], return_index=True)
+        new = ~np.isin(ids, self.known, assume_unique=True)
+        w = p.words
+        spelled = np.array([w.texts.data[w.starts[i] : w.ends[i]].tobytes().decode("utf-8", "replace") for i in used[where[new]]], object)
+        known = np.concatenate([self.known, ids[new]])
+        order = np.argsort(known)
+        self.known, self.spelled = known[order], np.concatenate([self.spelled, spelled])[order]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in _W), ("n", pa.int64())])
+        langs, spelled = pa.array(list(self.names), pa.string()), pa.array(self.spelled, pa.string())
+        for i in range(0, len(self.n), 1 << 16):
+            part = slice(i, i + (1 << 16))
+            columns = []
+            for k in range(LONGEST):
+                h = self.words[k, part]
+                where = np.minimum(np.searchsorted(self.known, h), max(len(self.known) - 1, 0))
+                columns.append(spelled.take(pa.array(where, pa.int64(), mask=h == 0)))
+            yield kernels.rows(schema, langs.take(pa.array(self.lang[part])), *columns, self.n[part])
+
+
 def longest_windows(docs: DataFrame, least: int, bits: int = CELL_BITS) -> DataFrame:
     """``lang``, ``w1`` to ``w5`` and ``n``: how often each window of words in a row within a piece occurs.
 
-    A window begins at every word and leads to the four after it; it is padded with nulls where the piece ends, and from
-    a word or pair of neighbours that surely occurs fewer than ``least`` times in the language, as no phrase that counts goes on there.
-    A word that is itself so rare gives a window of nulls, so the windows of a language are as many as its words.
+    A window begins at every word and leads to the four after it; it is padded with nulls where the piece ends, and from where
+    it surely occurs fewer than ``least`` times in the language, as no phrase that counts goes on there. Two passes find out where: one counts words
+    and pairs of neighbours in cells, the next the longer beginnings of windows that those leave. A word that
+    is itself so rare gives a window of nulls, so the windows of a language are as many as its words.
     """
     frame = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().alias("text"))
+    share = lambda marks: docs.sparkSession.sparkContext.broadcast(np.packbits(marks))
 
-    def both(part: pa.RecordBatch, texts: kernels.Texts) -> np.ndarray:
+    def short(part: pa.RecordBatch, texts: kernels.Texts) -> np.ndarray:
         p = _Pieces(part, texts)
         return np.concatenate([p.hashes, p.pairs()[p.joined]])
 
-    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent_cells(frame, both, bits, least)))
-    schema = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in _W), ("n", pa.int64())])
+    first = share(frequent_cells(frame, short, bits, least))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = marks.value
+    def long(part: pa.RecordBatch, texts: kernels.Texts) -> np.ndarray:
+        at, begun = _windows(_Pieces(part, texts), [first.value], bits)
+        return begun[2:][at[2:] >= 0]
 
-        def often(hashes: np.ndarray) -> np.ndarray:
-            cell = (hashes >> _U(64 - bits)).astype(np.int64)
-            return packed[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1 == 1
+    second = share(frequent_cells(frame, long, bits, least))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = _Tally()
         for batch in batches:
-            for part, texts in kernels.slices(batch, limit=2 * kernels.SLICE):
+            for part, texts in kernels.slices(batch):
                 p = _Pieces(part, texts)
-                if not len(p.words):
-                    continue
-                fine, on = often(p.hashes), p.joined & often(p.pairs())
-                # places of each window's words, -1 from its end on
-                at = np.full((LONGEST, len(p.words)), -1, np.int64)
-                at[0] = np.where(fine, np.arange(len(p.words)), -1)
-                for k in range(1, LONGEST):
-                    before = at[k - 1]
-                    has = np.flatnonzero(before >= 0)
-                    goes = has[on[before[has]]]
-                    goes = goes[fine[before[goes] + 1]]
-                    at[k, goes] = before[goes] + 1
-                key = _name_mix(p.lang)
-                for k in range(LONGEST):
-                    key = kernels.mix(key * _U(31) + np.where(at[k] >= 0, p.hashes[at[k]], _U(0)))
-                _, first, n = np.unique(key, return_index=True, return_counts=True)
-                used = np.unique(at[:, first][at[:, first] >= 0])
-                ids, place = np.unique(p.hashes[used], return_index=True)
-                spelled = pa.array([p.words.texts.data[p.words.starts[i] : p.words.ends[i]].tobytes().decode("utf-8", "replace") for i in used[place]], pa.string())
-                columns = []
-                for k in range(LONGEST):
-                    i = at[k, first]
-                    none = i < 0
-                    where = np.minimum(np.searchsorted(ids, p.hashes[i]), max(len(ids) - 1, 0))
-                    columns.append(spelled.take(pa.array(where, pa.int64(), mask=none)))
-                yield kernels.rows(schema, p.langs.take(pa.array(p.lang[first])), *columns, n)
+                if len(p.words):
+                    tally.add(p, *_windows(p, [first.value, second.value], bits))
+                if len(tally.n) > _HELD:
+                    yield from tally.rows()
+                    tally = _Tally()
+        yield from tally.rows()
 
     return frame.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in _W) + ", n bigint")
 
 
-def _name_mix(lang: np.ndarray) -> np.ndarray:
-    return kernels.mix(lang.astype(_U) + _U(1))
-
-
 def phrase_counts(windows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang``, ``n`` of all words; and ``lang``, ``p`` (its words), ``k``, ``f`` of every phrase of up to five words that occurs ``least`` times.
 
@@ -142,7 +192,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, bits: int =
     ones at the first place. It is left out if a longer phrase that holds it occurs as often.
 
     Null texts are empty, a null language is ``und``, repeated rows count again, other columns are not read, an empty table gives no
-    rows; ties go by score, count and the phrase's bytes. Counts are exact but for words and windows that share a 64-bit hash in one slice of 4 MB.
+    rows; ties go by score, count and the phrase's bytes. Counts are exact but for words and windows of one task that share a 64-bit hash.
     """
     totals, counts = phrase_counts(longest_windows(docs, least, bits), least)
     wanted = counts.where("k >= 2").withColumn("part", F.pmod(F.xxhash64("p"), F.lit(64)))
