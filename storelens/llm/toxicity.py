@@ -19,25 +19,34 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Model:
-    """log-odds = bias + sum of weight * x + products of factors * x of every two terms; x is a term's scale."""
+    """log-odds = bias + sum of weight * scale over terms + products of factors * share of every two terms.
+
+    The scale tells how much a term says alone; it counts in the sum only, so that two terms which say nothing alone can say
+    something together. ``paired`` marks terms that have factors; the share is the same for all of a text's and falls
+    with their number. A constant term, with share 1, takes part in the products.
+    """
 
     bias: float
     weight: np.ndarray
-    factors: np.ndarray
     scale: np.ndarray
+    factors: np.ndarray
+    paired: np.ndarray
+    constant: np.ndarray
 
     def log_odds(self, owner: np.ndarray, terms: np.ndarray, texts: int) -> np.ndarray:
         """``owner`` (ascending) and ``terms``: the distinct terms of each text."""
-        out = np.full(texts, self.bias)
-        if not len(owner):
-            return out
-        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        x = self.scale[terms]
-        v = self.factors[terms] * x[:, None]
-        sums = np.add.reduceat(v, starts)
-        both = (sums**2 - np.add.reduceat(v**2, starts)).sum(1) / 2
-        out[owner[starts]] += np.add.reduceat(self.weight[terms] * x, starts) + both
-        return out
+        out = self.bias + np.bincount(owner, self.weight[terms] * self.scale[terms], texts)
+        some = self.paired[terms]
+        return out + products(owner[some], self.factors[terms[some]], self.constant, texts)[0]
+
+
+def products(owner: np.ndarray, factors: np.ndarray, constant: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sum over every two terms of each text, the constant included; the sums of factors * share; and each term's share."""
+    share = np.maximum(np.bincount(owner, minlength=texts), 1)[owner] ** -0.25
+    v = factors * share[:, None]
+    sums = np.stack([np.bincount(owner, v[:, f], texts) for f in range(v.shape[1])], 1) + constant
+    squares = np.bincount(owner, (v * v).sum(1), texts) + (constant**2).sum()
+    return ((sums**2).sum(1) - squares) / 2, sums, share
 
 
 def terms_of(texts: kernels.Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,40 +64,69 @@ def terms_of(texts: kernels.Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(
-    owner: np.ndarray, terms: np.ndarray, labels: np.ndarray, bits: int, rank: int, steps: int, prior: float = 10.0, seed: int = 7
-) -> Model:
-    """Stochastic gradient descent on the logistic loss, ``steps`` batches of 32 texts, 40 rounds at most.
+    owner: np.ndarray, terms: np.ndarray, labels: np.ndarray, bits: int, rank: int, steps: int, pair_steps: int = 1200,
+    support: int = 30, prior: float = 10.0, step: float = 0.2, decay: float = 4e-3, seed: int = 7,
+) -> Model:
+    """Stochastic gradient descent on the logistic loss in batches of 32 texts: ``steps`` for the sum, then ``pair_steps`` for the products.
 
     A term's scale is its log-odds over the base rate, shrunk by ``prior`` texts of that rate, so that terms that say
-    little start near zero and rare ones are not learnt by heart; terms of a single text have scale 0.
+    little alone add little and rare ones are not learnt by heart. Then the products learn what the sum leaves. Factors know no scale: they
+    start at random, move by ``step`` over the root of their summed squared gradients, and fade by ``decay``; terms of
+    fewer than ``support`` texts have none.
     """
     rng = np.random.default_rng(seed)
     n, size = len(labels), 1 << bits
     rate = (labels.sum() + 0.1) / (n + 1)
     bias = float(np.log(rate / (1 - rate)))
-    weight, factors = np.zeros(size), rng.normal(0, 0.01, (size, rank))
-    all_ = np.bincount(terms, minlength=size).astype(float)
+    all_ = np.bincount(terms, minlength=size)
     toxic = np.bincount(terms, labels[owner], size)
     scale = np.where(all_ >= 2, np.log((toxic + prior * rate) / (all_ - toxic + prior * (1 - rate))) - bias, 0.0)
+    learns, paired = 0 < labels.sum() < n, all_ >= support
+    weight, factors, constant = np.zeros(size), np.zeros((size, rank)), np.zeros(rank)
     cuts = np.searchsorted(owner, np.arange(n + 1))
-    for _ in range(min(40, -(-steps * 32 // n)) if 0 < labels.sum() < n else 0):
-        for rows in np.array_split(rng.permutation(n), max(1, n // 32)):
-            k = cuts[rows + 1] - cuts[rows]
-            t, who = terms[kernels.ragged(cuts[rows], k)], np.repeat(np.arange(len(rows)), k)
-            x = scale[t]
-            v = factors[t] * x[:, None]
-            sums, squares = np.zeros((len(rows), rank)), np.zeros((len(rows), rank))
-            np.add.at(sums, who, v)
-            np.add.at(squares, who, v * v)
-            z = bias + np.bincount(who, weight[t] * x, len(rows)) + (sums**2 - squares).sum(1) / 2
-            miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) / len(rows)
-            some, back = np.unique(t, return_inverse=True)
-            pull = miss[who] * x
-            slope = np.stack([np.bincount(back, pull * (sums[who, f] - v[:, f]), len(some)) for f in range(rank)], 1)
-            weight[some] -= 0.1 * (np.bincount(back, pull, len(some)) + 1e-3 * weight[some])
-            factors[some] -= 0.02 * (slope + 1e-2 * factors[some])
-            bias -= 0.1 * miss.sum()
-    return Model(bias, *(x.astype(np.float32) for x in (weight, factors, scale)))
+
+    def batches(count: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for _ in range(min(40, -(-count * 32 // n)) if learns else 0):
+            for rows in np.array_split(rng.permutation(n), max(1, n // 32)):
+                k = cuts[rows + 1] - cuts[rows]
+                yield rows, np.repeat(np.arange(len(rows)), k), terms[kernels.ragged(cuts[rows], k)]
+
+    def missed(z: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) / len(rows)
+
+    for rows, who, t in batches(steps):
+        x = scale[t]
+        miss = missed(bias + np.bincount(who, weight[t] * x, len(rows)), rows)
+        some, back = np.unique(t, return_inverse=True)
+        weight[some] -= 0.1 * (np.bincount(back, miss[who] * x, len(some)) + 1e-3 * weight[some])
+        bias -= 0.1 * miss.sum()
+    if learns:
+        factors[paired] = rng.normal(0, 0.1 / np.sqrt(rank), (int(paired.sum()), rank))
+        constant = rng.normal(0, 0.1 / np.sqrt(rank), rank)
+    moved, moved_constant = np.full(size, 1e-8), np.full(rank, 1e-8)
+    for rows, who, t in batches(pair_steps):
+        alone = bias + np.bincount(who, weight[t] * scale[t], len(rows))
+        who, t = who[paired[t]], t[paired[t]]
+        both, sums, share = products(who, factors[t], constant, len(rows))
+        miss = missed(alone + both, rows)
+        slope, slope_constant, some = pair_slopes(who, t, factors, constant, sums, share, miss)
+        slope, slope_constant = slope + decay * factors[some], slope_constant + decay * constant
+        moved[some] += (slope**2).mean(1)
+        factors[some] -= step * slope / np.sqrt(moved[some])[:, None]
+        moved_constant += slope_constant**2
+        constant = constant - step * slope_constant / np.sqrt(moved_constant)
+    return Model(bias, *(x.astype(np.float32) for x in (weight, scale, factors)), paired, constant)
+
+
+def pair_slopes(
+    who: np.ndarray, terms: np.ndarray, factors: np.ndarray, constant: np.ndarray, sums: np.ndarray, share: np.ndarray, miss: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of the loss by the factors of the distinct terms and of the constant, and those terms; ``miss`` is that by the log-odds."""
+    some, back = np.unique(terms, return_inverse=True)
+    pull = miss[who] * share
+    own = factors[terms] * share[:, None]
+    slope = np.stack([np.bincount(back, pull * (sums[who, f] - own[:, f]), len(some)) for f in range(factors.shape[1])], 1)
+    return slope, (miss[:, None] * (sums - constant)).sum(0), some
 
 
 def learn(
