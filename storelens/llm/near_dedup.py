@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm import kernels
+from storelens.llm.cells import frequent_cells
 from storelens.llm.common import LAST_ID, id_or_last, stored, text_key, text_or_empty
 from storelens.llm.components import components
+from storelens.operators.runs import spread_join
 
 WIDTH = 5
 #: bands of samples; texts of similarity 0.8 share one with probability 1 - (1 - 0.8 ** 3) ** 16 = 0.99999
 BANDS, ROWS = 16, 3
 #: shingles in at least one of so many documents weigh less; there are at most that many times a mean text's shingles
 COMMON = 200
+#: 2 ** CELL_BITS cells tell which shingles can be common: a mean cell holds a quarter of the bound even at 1,300 shingles a text
+CELL_BITS = 20
 #: how much more a rare shingle weighs than one that every document has
 RARE = 0.25
 #: cells of a text's outline
@@ -103,56 +107,32 @@ def samples(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: in
 def common_shingles(named: DataFrame, common: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in at least one of ``common`` documents (two at least), with their weights, by hash.
 
-    Two passes over all texts. Any such shingle is in at least one of ``4 * common`` of the documents of some of the blocks in which a
-    task reads them, and what other blocks hide of it is a quarter of the bound at most; so the
-    sums of what blocks report, cut at three quarters, hold all of them and are few. The second pass counts those exactly.
+    Two passes over all texts. The first counts in cells, whose number does not depend on the corpus: a shingle that is frequent
+    is in a cell that is, so none is lost. The second counts the shingles of frequent cells; those by chance in such a cell fall away by their own count.
     """
     spark = named.sparkSession
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
-        held, docs, size = [], 0, 0
-        # the last full block waits for the rest, which alone could be too small to tell frequent from rare
-        before: tuple[list[np.ndarray], int] = [], 0
-
-        def flush(block: list[np.ndarray], texts_in: int) -> pa.RecordBatch:
-            value, n = np.unique(np.concatenate(block), return_counts=True)
-            often = n >= texts_in / (4 * common)
-            return kernels.rows(schema, value[often].view(np.int64), n[often])
-
-        for batch in batches:
-            for _, texts in kernels.slices(batch):
-                held.append(shingles(texts)[1])
-                docs, size = docs + len(texts), size + len(held[-1])
-                if size > 2_000_000:
-                    if before[0]:
-                        yield flush(*before)
-                    before, held, docs, size = (held, docs), [], 0, 0
-        if before[0] or held:
-            yield flush(before[0] + held, before[1] + docs)
-
     n = named.count()
     least = max(2, -(-n // common))
-    likely = named.select("text").mapInArrow(report, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= 0.75 * least)
-    found = np.sort(np.array([r[0] for r in likely.select("h").collect()], np.int64).view(_U))
-    shared = spark.sparkContext.broadcast(found)
+    marks = spark.sparkContext.broadcast(np.packbits(frequent_cells(named.select("text"), lambda part, texts: shingles(texts)[1] << _U(16), CELL_BITS, least)))
+    schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(shared.value), np.int64)
+        value, times = np.zeros(0, _U), np.zeros(0, np.int64)
         for batch in batches:
             for _, texts in kernels.slices(batch):
                 h = shingles(texts)[1]
-                at = np.minimum(np.searchsorted(shared.value, h), len(total) - 1)
-                total += np.bincount(at[shared.value[at] == h], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield kernels.rows(pa.schema([("h", pa.int64()), ("n", pa.int64())]), shared.value[some].view(np.int64), total[some])
-
-    if not len(found):
-        return found, np.zeros(0)
-    exact = named.select("text").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    rows = exact.collect()
-    value = np.array([r[0] for r in rows], np.int64).view(_U)
-    rarity = np.log(n / np.array([r[1] for r in rows], float)) / np.log(common)
+                cell = (h >> _U(48 - CELL_BITS)).astype(np.int64)
+                h = h[marks.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1 == 1]
+                value, back = np.unique(np.concatenate([value, h]), return_inverse=True)
+                times = np.bincount(back, np.concatenate([times, np.ones(len(h), np.int64)]), len(value)).astype(np.int64)
+                if len(value) > 1 << 20:
+                    yield kernels.rows(schema, value.view(np.int64), times)
+                    value, times = np.zeros(0, _U), np.zeros(0, np.int64)
+        yield kernels.rows(schema, value.view(np.int64), times)
+
+    found = named.select("text").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+    value = found.column("h").to_numpy().view(_U)
+    rarity = np.log(n / np.maximum(found.column("n").to_numpy(), 1)) / np.log(common)
     order = np.argsort(value)
     return value[order], (1 + RARE * np.clip(rarity, 0, 1))[order]
 
@@ -295,7 +275,9 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     roots = components(links)
     placed = drawn.select("id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("id").alias("class_id"))
-    return placed.join(least, "root").select("id", "node", "root", "class_id")
+    # a class with a third of all rows meets its smallest id in 64 parts
+    dealt = placed.withColumn("part", F.pmod(F.xxhash64("id", "node"), F.lit(64)))
+    return spread_join(dealt, least, ["root"], "part", "inner").select("id", "node", "root", "class_id")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
