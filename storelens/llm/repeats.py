@@ -12,7 +12,7 @@ from storelens.llm import kernels
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_COLUMNS = (
+COLUMNS = (
     ("n_words", "bigint"),
     ("word_chars", "bigint"),
     ("n_symbols", "bigint"),
@@ -188,8 +188,8 @@ def quality(
     """
     from storelens.llm.byte_bpe import _arrow, _ddl
 
-    docs = docs.drop(*(n for n, _ in _COLUMNS))
-    schema = _arrow(docs, *((n, pa.bool_() if t == "boolean" else pa.int64()) for n, t in _COLUMNS))
+    docs = docs.drop(*(n for n, _ in COLUMNS))
+    schema = _arrow(docs, *((n, pa.bool_() if t == "boolean" else pa.int64()) for n, t in COLUMNS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,4 +201,4 @@ def quality(
                 long = (m["longest_repeat"] > longest_floor) & (100 * m["longest_repeat"] > max_longest_percent * n)
                 yield kernels.rows(schema, *part.columns, *m.values(), failed, ~(failed | covered | long))
 
-    return docs.mapInArrow(run, _ddl(docs, *(f"{n} {t}" for n, t in _COLUMNS)))
+    return docs.mapInArrow(run, _ddl(docs, *(f"{n} {t}" for n, t in COLUMNS)))
