@@ -8,8 +8,10 @@ from checks.bindings import half_even
 from checks.catalog import case
 from checks.reporting import _SPHERE, _grams, _similar
 from storelens.functions import geo, predicates, scalars, text
-from storelens.operators import paging, reshape
+from storelens.operators import paging, reshape, search
 from storelens.plans import documents, reports
+from storelens.session import fresh_path
+from storelens.sources import json_paths
 
 # -- predicates ------------------------------------------------------------------------
 
@@ -117,6 +119,26 @@ def _(t):
     return rows.filter(predicates.json_contains(F.col("props"), {"k": 42})).select("event_id")
 
 
+@case(
+    "p09_json_paths",
+    """SELECT event_id FROM events WHERE CAST(json_extract(props, '$.k') AS INTEGER) BETWEEN 40 AND 42
+    UNION ALL SELECT -p_partkey FROM part WHERE p_size > 25 AND p_size % 10 = 0 AND p_size % 25 = 5""",
+)
+def _(t):
+    """Containment over tables whose declared paths are columns; one path of the second is left to the text."""
+    events, products = json_paths.JsonPaths("props", {"k": "double"}), json_paths.JsonPaths(
+        "product_specifications", {"logistics.weight_class": "string", "warranty_months": "double"}
+    )
+    paths = [fresh_path(t.spark, "p09") for _ in range(2)]
+    json_paths.with_paths(t.star("events").select("event_id", "props"), events).write.parquet(paths[0])
+    json_paths.with_paths(t["products"].select("product_id", "product_specifications"), products).write.parquet(paths[1])
+    held = t.spark.read.parquet(paths[0])
+    ks = held.filter(json_paths.holds(events, {"k": 40}) | json_paths.holds(events, {"k": 41.0}) | json_paths.holds(events, {"k": 42}))
+    heavy = {"logistics": {"weight_class": "heavy", "fragile": True}, "warranty_months": 5}
+    found = t.spark.read.parquet(paths[1]).filter(json_paths.holds(products, heavy))
+    return ks.select("event_id").union(found.select(-F.col("product_id")))
+
+
 @case(
     "p10_array_contains",
     "SELECT product_id FROM c_products WHERE list_has_all(search_tokens, ['ring', 'small'])",
@@ -595,17 +617,17 @@ def _(t):
     return _fuzzy(t, 0.3)
 
 
-@case(
-    "x04_keyword_search",
-    """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(source || ' ' || text), '[^\\p{L}\\p{N}]+'),
+_KEYWORD_SQL = """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(source || ' ' || text), '[^\\p{L}\\p{N}]+'),
     lambda x: x <> '') AS ws FROM documents),
     c AS (SELECT doc_id, len(list_filter(ws, lambda x: x = 'hat')) AS a, len(list_filter(ws, lambda x: x = 'und')) AS b,
     len(list_filter(ws, lambda x: x = 'src3')) AS d FROM w),
     n AS (SELECT count(*) AS n, count(*) FILTER (a > 0) AS na, count(*) FILTER (b > 0) AS nb,
     count(*) FILTER (d > 0) AS nd FROM c)
     SELECT doc_id, round(a * (ln((n + 1) / (na + 1)) + 1) + b * (ln((n + 1) / (nb + 1)) + 1)
-    + d * (ln((n + 1) / (nd + 1)) + 1), 6) AS score FROM c, n WHERE a > 0 OR b > 0 OR d > 0""",
-)
+    + d * (ln((n + 1) / (nd + 1)) + 1), 6) AS score FROM c, n WHERE a > 0 OR b > 0 OR d > 0"""
+
+
+@case("x04_keyword_search", _KEYWORD_SQL)
 def _(t):
     docs = t.star("documents").select("doc_id", "text", "source")
     found = text.keyword_search(docs, ["source", "text"], "hat und SRC3 para")
@@ -615,6 +637,15 @@ def _(t):
 # -- distance --------------------------------------------------------------------------
 
 
+@case("x04_keyword_index", _KEYWORD_SQL)
+def _(t):
+    """The same scores from a written index, of which the query's words alone are read."""
+    path = fresh_path(t.spark, "x04-index")
+    search.build_index(t.star("documents").select("doc_id", "text", "source"), "doc_id", ["source", "text"], path)
+    found = search.search(t.spark, path, "hat und SRC3 para")
+    return found.select(F.col("key").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
 @case(
     "g01_points",
     """SELECT geolocation_zip_code_prefix AS zip, geolocation_lng AS lng, geolocation_lat AS lat,

@@ -513,6 +513,14 @@ def _(t):
     return lookups.order_status(scans.read_partitioned(t.spark, _partitioned(t)), 777)
 
 
+@case("b7_status_by_id", "SELECT order_status FROM c_orders WHERE order_id IN (777, 4)")
+def _(t):
+    path = fresh_path(t.spark, "b7-ids")
+    layout.write_by_id(t["orders"].select("order_id", "order_status"), path, "order_id", 32)
+    read = lambda i: scans.read_by_id(t.spark, path, "order_id bigint, order_status string", "order_id", i, 32)
+    return lookups.order_status(read(777), 777).unionAll(lookups.order_status(read(4), 4))
+
+
 # -- change events ---------------------------------------------------------------------
 
 

@@ -48,6 +48,21 @@ def write_sorted(df: DataFrame, path: str, columns: list[str]) -> None:
     )
 
 
+def id_bucket(value: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+
+
+def write_by_id(df: DataFrame, path: str, column: str, buckets: int) -> None:
+    """A copy for lookups by id: folders by the id's hash, sorted by id, with a bloom filter of ids in each row group.
+
+    ``scans.read_by_id`` then opens one folder; within it row groups without the id are skipped.
+    """
+    dealt = df.withColumn("id_bucket", id_bucket(F.col(column), buckets))
+    dealt.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", column).write.mode("overwrite").option(
+        f"parquet.bloom.filter.enabled#{column}", "true"
+    ).partitionBy("id_bucket").parquet(path)
+
+
 def materialize_subset(df: DataFrame, keep: Column, order: list[str], path: str) -> None:
     """A small, often-read slice kept as its own sorted table."""
     write_sorted(df.filter(keep), path, order)

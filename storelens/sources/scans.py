@@ -50,3 +50,11 @@ def read_partitioned(spark: SparkSession, path: str, part: str = "part") -> Data
 def scan_sorted_range(spark: SparkSession, path: str, ts: str, lo: str, hi: str) -> DataFrame:
     """The same rows from a time-sorted copy, where Parquet skips blocks by min and max."""
     return spark.read.parquet(path).filter(time_range(F.col(ts), lo, hi))
+
+
+def read_by_id(spark: SparkSession, path: str, schema: str, column: str, value, buckets: int) -> DataFrame:
+    """Rows of one id from a copy written by ``layout.write_by_id`` with that many buckets: one folder is opened."""
+    table = spark.read.schema(f"{schema}, id_bucket int").parquet(path)
+    wanted = F.lit(value).cast(table.schema[column].dataType)
+    of_id = F.pmod(F.xxhash64(wanted), F.lit(buckets)).cast("int")
+    return table.filter((F.col("id_bucket") == of_id) & (F.col(column) == wanted)).drop("id_bucket")
