@@ -43,14 +43,17 @@ def _(t):
 
 @case(
     "d04_seller_state_buckets",
-    """SELECT seller_state AS state, 0 AS bucket, count(*) AS seller_count, count(*) AS state_sellers,
-    string_agg(CAST(seller_id AS VARCHAR), ',' ORDER BY seller_id) AS sellers FROM c_sellers GROUP BY 1""",
+    """SELECT seller_state AS state, count(*) AS seller_count, count(*) AS state_sellers, string_agg(seller_id || ' ' || seller_city || ' ' || seller_zip_code_prefix,
+    ',' ORDER BY seller_id) AS sellers FROM c_sellers GROUP BY 1""",
 )
 def _(t):
-    docs = documents.seller_state_buckets(t)
-    return docs.withColumn(
-        "sellers", F.concat_ws(",", F.transform("sellers", lambda s: s["seller_id"].cast("string")))
+    """States in up to four documents, their sellers put together again."""
+    docs = documents.seller_state_buckets(t, buckets=4)
+    whole = docs.groupBy("state").agg(
+        F.max("seller_count").alias("seller_count"), F.max("state_sellers").alias("state_sellers"), F.array_sort(F.flatten(F.collect_list("sellers"))).alias("sellers")
     )
+    shown = F.transform("sellers", lambda s: F.concat_ws(" ", s["seller_id"].cast("string"), s["city"], s["zip_code_prefix"].cast("string")))
+    return whole.withColumn("sellers", F.concat_ws(",", shown))
 
 
 @case(
@@ -70,20 +73,25 @@ def _(t):
 
 @case(
     "d06_enriched_catalog",
-    """SELECT product_id, category, price, units, rating, CAST(name_length AS VARCHAR) AS name_length, weight_g, width_cm
-    FROM c_enriched_catalog""",
+    f"""SELECT e.product_id, 'Producto ' || upper(e.category[1]) || lower(e.category[2:]) || ' - ' || left(CAST(e.product_id AS VARCHAR), 5) AS name, e.category, e.price,
+    'https://images.example/' || e.product_id || '_1.jpg' AS photos, e.units, e.rating, e.name_length, CAST(p.product_description_lenght AS BIGINT) AS description_length, e.photos_qty,
+    e.weight_g, p.product_length_cm AS length_cm, p.product_height_cm AS height_cm, e.width_cm, CAST(TIMESTAMP '{AS_OF}' AS VARCHAR) AS created_at
+    FROM c_enriched_catalog e JOIN c_products p USING (product_id)""",
 )
 def _(t):
     docs = documents.enriched_catalog(t, F.lit(AS_OF).cast("timestamp"))
+    spec = lambda name: F.col("specifications")[name].cast("bigint").alias(name)
     return docs.select(
         "product_id",
+        "name",
         "category",
         "price",
+        F.concat_ws(",", "photos").alias("photos"),
         F.col("computed_metrics.total_units_sold").alias("units"),
         F.col("computed_metrics.average_rating").alias("rating"),
-        F.col("specifications")["name_length"].alias("name_length"),
-        "dimensions.weight_g",
-        "dimensions.width_cm",
+        *(spec(n) for n in ("name_length", "description_length", "photos_qty")),
+        "dimensions.*",
+        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
     )
 
 
@@ -108,57 +116,37 @@ def _(t):
 
 @case(
     "d08_seller_metrics",
-    "SELECT i.seller_id, " + half_even("sum(score_sum)", "nullif(sum(score_count), 0)", 1) + """ AS reputation_score,
-    CAST(sum(i.sales) AS DOUBLE) AS total_sales, count(*) AS orders,
-    round(avg(date_diff('hour', o.order_delivered_carrier_date, o.order_delivered_customer_date)), 4) AS hours
-    FROM (SELECT seller_id, order_id, sum(price) AS sales FROM c_order_items GROUP BY 1, 2) i
+    "SELECT i.seller_id, " + half_even("sum(score_sum)", "nullif(sum(score_count), 0)", 1) + """ AS reputation_score, '2018-08' AS period,
+    CAST(sum(i.sales) AS DOUBLE) AS total_sales, count(*) AS orders, """
+    + half_even("sum(date_diff('second', o.order_delivered_carrier_date, o.order_delivered_customer_date))", "(count(o.order_delivered_customer_date) * 3600)", 1)
+    + """ AS avg_shipping_hours FROM (SELECT seller_id, order_id, sum(price) AS sales FROM c_order_items GROUP BY 1, 2) i
     LEFT JOIN c_orders_delivered o USING (order_id) LEFT JOIN c_order_scores s USING (order_id) GROUP BY 1""",
 )
 def _(t):
-    """Shipping hours are compared through their own mean; the document rounds them to 0.1."""
     docs = documents.seller_metrics(t.replacing(orders=t["orders_delivered"]))
-    hours = (
-        t["order_items"]
-        .select("seller_id", "order_id")
-        .distinct()
-        .join(t["orders_delivered"], "order_id")
-        .groupBy("seller_id")
-        .agg(
-            F.round(
-                F.avg(
-                    F.timestamp_diff(
-                        "HOUR",
-                        F.col("order_delivered_carrier_date").cast("timestamp"),
-                        F.col("order_delivered_customer_date").cast("timestamp"),
-                    )
-                ),
-                4,
-            ).alias("hours")
-        )
-    )
-    return docs.join(hours, "seller_id").select(
-        "seller_id",
-        "reputation_score",
-        F.col("kpis.total_sales").cast("double").alias("total_sales"),
-        "kpis.orders",
-        F.when(F.abs(F.col("kpis.avg_shipping_hours") - F.col("hours")) <= 0.0501, F.col("hours")).alias(
-            "hours"
-        ),
+    return docs.select(
+        "seller_id", "reputation_score", "kpis.period", F.col("kpis.total_sales").cast("double").alias("total_sales"), "kpis.orders", "kpis.avg_shipping_hours"
     )
 
 
 @case(
     "d09_review_documents",
-    """SELECT review_id, review_score, review_comment_title AS title, review_comment_message AS message FROM c_order_reviews""",
+    """SELECT review_id, order_id, review_score, review_comment_title AS title, review_comment_message AS message,
+    date_trunc('milliseconds', review_creation_date) AS created,
+    date_trunc('milliseconds', review_answer_timestamp) AS answered FROM c_order_reviews""",
 )
 def _(t):
     docs = documents.review_documents(t)
     parsed = docs.select("review_id", F.parse_json("document").alias("d"))
+    text = lambda name: F.try_variant_get("d", f"$.{name}", "string")
     return parsed.select(
         "review_id",
+        text("order_id").cast("bigint").alias("order_id"),
         F.variant_get("d", "$.review_score", "int").alias("review_score"),
-        F.try_variant_get("d", "$.review_comment_title", "string").alias("title"),
-        F.try_variant_get("d", "$.review_comment_message", "string").alias("message"),
+        text("review_comment_title").alias("title"),
+        text("review_comment_message").alias("message"),
+        text("review_creation_date").cast("timestamp").cast("timestamp_ntz").alias("created"),
+        text("review_answer_timestamp").cast("timestamp").cast("timestamp_ntz").alias("answered"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.bindings import half_even
 from checks.catalog import case, dbl
 from storelens import schemas
-from storelens.operators import joins, quality
+from storelens.operators import joins, model_rules, quality
 from storelens.plans import documents
 from storelens.sinks import layout
 from storelens.sources import scans
@@ -33,6 +33,63 @@ def _(t):
     return quality.row_violations(t["products"], "products", ["product_id"], rules)
 
 
+_MODEL_SQL = """WITH o AS (SELECT o_orderkey AS order_id, CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'lost' END AS order_status,
+      o_orderdate AS bought, CASE WHEN o_orderkey % 50 = 0 THEN o_orderdate - INTERVAL 1 DAY END AS approved, o_custkey + CASE WHEN o_orderkey % 100 = 7 THEN 10000000 ELSE 0 END AS customer_id FROM orders),
+    c AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 40 = 0 THEN 'rj' ELSE 'RJ' END AS state, CASE WHEN c_custkey % 70 = 0 THEN NULL ELSE c_mktsegment END AS city FROM customer),
+    i AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 7 THEN -l_extendedprice ELSE l_extendedprice END AS price FROM lineitem
+      UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_orderkey % 64 = 1),
+    p AS (SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN 'boleto' WHEN 'A' THEN 'voucher' ELSE 'cash' END AS kind FROM lineitem),
+    r AS (SELECT event_id, event_id * 3 // 4 AS order_id, CAST(floor(value) AS BIGINT) % 7 AS score FROM events),
+    v AS (SELECT 'pattern:customer_state' AS "check", 'customers' AS tbl, 1 AS rows FROM c WHERE state = 'rj'
+      UNION ALL SELECT 'not_null:customer_city', 'customers', 1 FROM c WHERE city IS NULL
+      UNION ALL SELECT 'domain:order_status', 'orders', 1 FROM o WHERE order_status = 'lost'
+      UNION ALL SELECT 'order:order_approved_at>=order_purchase_timestamp', 'orders', 1 FROM o WHERE approved < bought
+      UNION ALL SELECT 'foreign:customer_id', 'orders', count(*) FROM o WHERE customer_id NOT IN (SELECT id FROM c) GROUP BY customer_id
+      UNION ALL SELECT 'range:price', 'order_items', 1 FROM i WHERE price < 0
+      UNION ALL SELECT 'unique:order_id,order_item_id', 'order_items', count(*) FROM i GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+      UNION ALL SELECT 'foreign:product_id', 'order_items', count(*) FROM i WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 90 <> 0) GROUP BY l_partkey
+      UNION ALL SELECT 'unique:order_id,payment_sequential', 'order_payments', count(*) FROM p GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+      UNION ALL SELECT 'domain:payment_type', 'order_payments', 1 FROM p WHERE kind = 'cash'
+      UNION ALL SELECT 'range:review_score', 'order_reviews', 1 FROM r WHERE score NOT BETWEEN 1 AND 5
+      UNION ALL SELECT 'foreign:order_id', t, n FROM (SELECT 'order_reviews' AS t, count(*) AS n FROM r WHERE order_id NOT IN (SELECT order_id FROM o) GROUP BY order_id
+        UNION ALL SELECT 'order_items', count(*) FROM i WHERE l_orderkey NOT IN (SELECT order_id FROM o) GROUP BY l_orderkey
+        UNION ALL SELECT 'order_payments', count(*) FROM p WHERE l_orderkey NOT IN (SELECT order_id FROM o) GROUP BY l_orderkey))
+    SELECT "check", tbl, CAST(count(*) AS BIGINT) AS keys, CAST(sum(rows) AS BIGINT) AS rows FROM v GROUP BY 1, 2"""
+
+
+@case("v01_model_rules", _MODEL_SQL)
+def _(t):
+    """The model's rule sets over the whole table set, with violations put into the copies."""
+    key, part, line = F.col("order_id"), F.col("p_partkey"), F.col("order_item_id")
+    status = F.when(F.col("order_status") == "F", "delivered").when(F.col("order_status") == "O", "shipped").otherwise("lost")
+    bought = F.col("order_purchase_timestamp")
+    orders = t["orders"].withColumns(
+        {
+            "order_status": status,
+            "order_approved_at": F.when(key % 50 == 0, bought - F.expr("INTERVAL 1 DAY")),
+            "customer_id": F.col("customer_id") + F.when(key % 100 == 7, 10_000_000).otherwise(0),
+        }
+    )
+    who = F.col("customer_id")
+    customers = t["customers"].withColumns(
+        {"customer_state": F.when(who % 40 == 0, "rj").otherwise("RJ"), "customer_city": F.when(who % 70 != 0, F.col("customer_city"))}
+    )
+    items = t["order_items"]
+    items = items.withColumn("price", F.when(line == 7, -F.col("price")).otherwise(F.col("price"))).unionByName(items.filter(key % 64 == 1))
+    kind = F.when(F.col("payment_type") == "R", "boleto").when(F.col("payment_type") == "A", "voucher").otherwise("cash")
+    tables = {
+        "orders": orders,
+        "customers": customers,
+        "order_items": items,
+        "order_payments": t["order_payments"].withColumn("payment_type", kind),
+        "order_reviews": t.star("events").select(
+            F.col("event_id").alias("review_id"), F.expr("(event_id * 3) DIV 4").alias("order_id"), (F.floor("value") % 7).alias("review_score")
+        ),
+        "products": t["products"].filter(F.col("product_id") % 90 != 0),
+    }
+    return model_rules.summary(model_rules.check_tables(tables))
+
+
 @case(
     "v02_unique_key",
     """SELECT 'unique:order_id,order_item_id' AS "check", 'order_items' AS tbl, order_id || '|' || order_item_id AS key,
@@ -129,11 +186,16 @@ def _(t):
 @case(
     "v07_blank_text",
     """SELECT 'not_blank:text' AS "check", 'conversations' AS tbl, conv_id || '|' || turn AS key, 'text is blank' AS detail, CAST(1 AS BIGINT) AS rows
-    FROM conversations WHERE length(trim(text, ' ')) = 0""",
+    FROM conversations WHERE length(trim(CASE WHEN (conv_id + turn) % 9 = 0 THEN '   ' ELSE text END, ' ')) = 0
+    UNION ALL SELECT 'not_blank:review_comment_title', 'order_reviews', CAST(event_id AS VARCHAR), 'review_comment_title is blank', 1 FROM events WHERE event_type = 'click'""",
 )
 def _(t):
-    return quality.row_violations(
-        t.star("conversations"), "conversations", ["conv_id", "turn"], [quality.not_blank("text")]
+    """Blank texts, put into every ninth turn and in place of one kind of title."""
+    turns = t.star("conversations")
+    turns = turns.withColumn("text", F.when((F.col("conv_id") + F.col("turn")) % 9 == 0, "   ").otherwise(F.col("text")))
+    reviews = t["order_reviews"].withColumn("review_comment_title", F.coalesce("review_comment_title", F.lit(" ")))
+    return quality.row_violations(turns, "conversations", ["conv_id", "turn"], [quality.not_blank("text")]).unionByName(
+        quality.row_violations(reviews, "order_reviews", ["review_id"], [quality.not_blank("review_comment_title")])
     )
 
 
@@ -192,6 +254,86 @@ def _(t):
     )
 
 
+def _shape_case(t, docs, key, shape, name):
+    return quality.validate_docs(docs.select(key, F.try_parse_json("document").alias("doc")), "doc", key, shape, name)
+
+
+@case(
+    "v09_review_documents",
+    """SELECT 'type:review_id' AS "check", 'order_reviews' AS tbl, CAST(event_id AS VARCHAR) AS key, 'review_id is BIGINT' AS detail, CAST(1 AS BIGINT) AS rows FROM events
+    UNION ALL SELECT 'type:order_id', 'order_reviews', CAST(event_id AS VARCHAR), 'order_id is BIGINT', 1 FROM events
+    UNION ALL SELECT 'min:review_score', 'order_reviews', CAST(event_id AS VARCHAR), 'review_score=0', 1 FROM events WHERE CAST(floor(value) AS BIGINT) % 6 = 0
+    UNION ALL SELECT 'required:review_score', 'order_reviews', CAST(event_id AS VARCHAR), 'review_score is missing', 1 FROM events WHERE CAST(floor(value) AS BIGINT) % 6 = 5
+    UNION ALL SELECT 'type:review_creation_date', 'order_reviews', CAST(event_id AS VARCHAR), 'review_creation_date is STRING', 1 FROM events WHERE event_type = 'error'""",
+)
+def _(t):
+    """Reviews as documents with numbers for ids, scores of 0, scores left out, and dates that are none."""
+    score = F.floor("value") % 6
+    docs = t.star("events").select(
+        "event_id",
+        F.to_json(
+            F.struct(
+                F.col("event_id").alias("review_id"),
+                F.expr("(event_id * 3) DIV 4").alias("order_id"),
+                F.when(score != 5, score).alias("review_score"),
+                F.col("event_type").alias("review_comment_title"),
+                F.when(F.col("event_type") == "error", "tomorrow").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("review_creation_date"),
+            )
+        ).alias("document"),
+    )
+    return _shape_case(t, docs, "event_id", schemas.ORDER_REVIEWS_DOC, "order_reviews")
+
+
+@case(
+    "v09_order_documents",
+    """WITH d AS (SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS key, c_custkey AS known, o_orderstatus AS status FROM orders LEFT JOIN customer ON c_custkey = o_custkey)
+    SELECT "check", 'orders_analytics' AS tbl, key, detail, CAST(1 AS BIGINT) AS rows FROM (
+    SELECT 'type:status' AS "check", key, 'status is BIGINT' AS detail FROM d WHERE status = 'P'
+    UNION ALL SELECT 'required:purchase_ts', key, 'purchase_ts is missing' FROM d WHERE id % 30 = 0
+    UNION ALL SELECT 'required:customer.city', key, 'customer.city is missing' FROM d WHERE id % 45 = 0 AND id % 77 <> 3
+    UNION ALL SELECT 'type:payment_summary.payment_types', key, 'payment_summary.payment_types is STRING' FROM d WHERE id % 60 = 1
+    UNION ALL SELECT 'required:customer', key, 'customer is missing' FROM d WHERE id % 77 = 3)""",
+)
+def _(t):
+    """Order documents with a status that is a number, times, cities and customers left out, and types that are no list."""
+    id_ = F.col("order_id")
+    customer = F.struct(
+        F.col("customer_id").cast("string").alias("customer_id"), F.lit("RJ").alias("state"), F.when(id_ % 45 != 0, "Rio").alias("city"), F.lit(20000).alias("zip_code_prefix")
+    )
+    body = F.struct(
+        id_.cast("string").alias("order_id"),
+        F.date_format("order_purchase_timestamp", "yyyy-MM").alias("purchase_year_month"),
+        F.when(id_ % 30 != 0, F.date_format("order_purchase_timestamp", "yyyy-MM-dd'T'HH:mm:ss")).alias("purchase_ts"),
+        F.when(id_ % 77 != 3, customer).alias("customer"),
+    )
+    status = F.when(F.col("order_status") == "P", "7").otherwise(F.concat(F.lit('"'), F.col("order_status"), F.lit('"')))
+    types = F.when(id_ % 60 == 1, '"boleto"').otherwise('["boleto"]')
+    more = F.concat(F.lit(',"status":'), status, F.lit(',"payment_summary":{"total_value":1.5,"max_installments":2,"payment_types":'), types, F.lit("}}"))
+    docs = t["orders"].select("order_id", F.concat(F.regexp_replace(F.to_json(body), r"\}$", ""), more).alias("document"))
+    return _shape_case(t, docs, "order_id", schemas.ORDERS_ANALYTICS_DOC, "orders_analytics")
+
+
+@case(
+    "v09_seller_bucket_documents",
+    """WITH s AS (SELECT s_nationkey AS k, count(*) AS n, bool_or(s_suppkey % 9 = 0) AS numbers, bool_or(s_suppkey % 11 = 0) AS lost FROM supplier GROUP BY 1)
+    SELECT "check", 'seller_state_buckets' AS tbl, CAST(k AS VARCHAR) AS key, detail, CAST(1 AS BIGINT) AS rows FROM (
+    SELECT 'type:sellers' AS "check", k, 'sellers[] breaks type:sellers[].seller_id' AS detail FROM s WHERE numbers
+    UNION ALL SELECT 'required:sellers', k, 'sellers[] breaks required:sellers[].city' FROM s WHERE lost
+    UNION ALL SELECT 'type:seller_count', k, 'seller_count is STRING' FROM s WHERE k % 4 = 1)""".replace("'type:sellers' AS", "'type:sellers[].seller_id' AS").replace("'required:sellers', k", "'required:sellers[].city', k"),
+)
+def _(t):
+    """Bucket documents in which some sellers have numbers for ids or no city, and some counts are text."""
+    k = F.col("s_suppkey")
+    seller = F.concat(
+        F.lit('{"seller_id":'), F.when(k % 9 == 0, k.cast("string")).otherwise(F.concat(F.lit('"'), k, F.lit('"'))),
+        F.when(k % 11 == 0, F.lit("")).otherwise(F.lit(',"city":"Rio"')), F.lit("}"),
+    )
+    grouped = t.star("supplier").groupBy("s_nationkey").agg(F.concat_ws(",", F.collect_list(seller)).alias("all"), F.count("*").alias("n"))
+    count = F.when(F.col("s_nationkey") % 4 == 1, F.concat(F.lit('"'), F.col("n"), F.lit('"'))).otherwise(F.col("n").cast("string"))
+    docs = grouped.select(F.col("s_nationkey").alias("state"), F.concat(F.lit('{"state":"S","seller_count":'), count, F.lit(',"sellers":['), "all", F.lit("]}")).alias("document"))
+    return _shape_case(t, docs, "state", schemas.SELLER_STATE_BUCKETS_DOC, "seller_state_buckets")
+
+
 @case(
     "v10_duplicate_rows",
     """SELECT CAST((SELECT count(*) FROM documents) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS BIGINT) AS duplicate_rows""",
@@ -275,25 +417,32 @@ def _(t):
     return by_order.unionByName(by_review.withColumnRenamed("review_id", "order_id"))
 
 
+def _side(table: str, column: str) -> str:
+    return f"(SELECT CASE WHEN max(n) = 1 THEN '1' ELSE 'N' END FROM (SELECT count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY {column}))"
+
+
+_RELATIONS = {
+    "orders-items": ("c_orders", "c_order_items", "order_id"),
+    "orders-payments": ("c_orders", "c_order_payments", "order_id"),
+    "orders-reviews": ("c_orders", "c_order_reviews", "order_id"),
+    "customers-orders": ("c_customers", "c_orders", "customer_id"),
+    "products-items": ("c_products", "c_order_items", "product_id"),
+    "sellers-items": ("c_sellers", "c_order_items", "seller_id"),
+    "translations-products": ("c_product_categories", "c_products", "product_category_name"),
+    "documents-labels": ("documents", "labels", "doc_id"),
+}
+
+
 @case(
     "v15_cardinality",
-    """SELECT 'orders-items' AS relation, '1' AS left_side, 'N' AS right_side UNION ALL
-    SELECT 'customers-orders', '1', 'N' UNION ALL SELECT 'products-items', '1', 'N' UNION ALL
-    SELECT 'sellers-items', '1', 'N' UNION ALL SELECT 'orders-reviews', '1', 'N' UNION ALL
-    SELECT 'documents-labels', '1', '1'""",
+    " UNION ALL ".join(f"SELECT '{name}' AS relation, {_side(a, key)} AS left_side, {_side(b, key)} AS right_side" for name, (a, b, key) in _RELATIONS.items()),
 )
 def _(t):
-    pairs = {
-        "orders-items": (t["orders"], t["order_items"], "order_id"),
-        "customers-orders": (t["customers"], t["orders"], "customer_id"),
-        "products-items": (t["products"], t["order_items"], "product_id"),
-        "sellers-items": (t["sellers"], t["order_items"], "seller_id"),
-        "orders-reviews": (t["orders"], t["order_reviews"], "order_id"),
-        "documents-labels": (t.star("documents"), t.star("labels"), "doc_id"),
-    }
     out = None
-    for name, (a, b, key) in pairs.items():
-        row = quality.cardinality(a, b, key).select(F.lit(name).alias("relation"), "*")
+    for name, (a, b, key) in _RELATIONS.items():
+        # the translations come with a row per product here
+        tables = [t[x[2:]].distinct() if x == "c_product_categories" else t[x[2:]] if x.startswith("c_") else t.star(x) for x in (a, b)]
+        row = quality.cardinality(*tables, key).select(F.lit(name).alias("relation"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 

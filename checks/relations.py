@@ -78,7 +78,7 @@ def _(t):
 
 @case(
     "j05_lookup_arrays",
-    """SELECT o.order_id, 0 AS chunk, count(r.review_id) AS reviews, coalesce(string_agg(CAST(r.review_id AS VARCHAR), ',' ORDER BY r.review_id), '') AS ids
+    """SELECT o.order_id, count(r.review_id) AS reviews, coalesce(string_agg(CAST(r.review_id AS VARCHAR), ',' ORDER BY r.review_id), '') AS ids
     FROM c_orders o LEFT JOIN c_order_reviews r USING (order_id) GROUP BY 1""",
 )
 def _(t):
@@ -88,13 +88,11 @@ def _(t):
         "order_id",
         "reviewed",
         "reviews",
+        buckets=4,
     )
-    return found.select(
-        "order_id",
-        "chunk",
-        F.size("reviews").cast("bigint").alias("reviews"),
-        F.concat_ws(",", F.transform("reviews", lambda r: r["review_id"].cast("string"))).alias("ids"),
-    )
+    # an order's four arrays, put together again
+    whole = found.groupBy("order_id").agg(F.array_sort(F.flatten(F.collect_list(F.transform("reviews", lambda r: r["review_id"])))).alias("ids"))
+    return whole.select("order_id", F.size("ids").cast("bigint").alias("reviews"), F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
 
 
 @case(

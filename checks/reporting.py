@@ -193,43 +193,18 @@ def _(t):
 @case(
     "j09_pair_distances",
     "SELECT * FROM (WITH pairs AS (SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT i.seller_id AS seller_zip, "
-    "c.customer_zip_code_prefix AS customer_zip, a.latitude AS lat1, a.longitude AS lng1, b.latitude AS lat2, "
-    "b.longitude AS lng2 FROM c_order_items i JOIN c_orders o USING (order_id) JOIN c_customers c USING (customer_id) "
-    "JOIN c_geo_locations a ON a.zip_code_prefix = i.seller_id JOIN c_geo_locations b "
-    "ON b.zip_code_prefix = c.customer_zip_code_prefix)) SELECT CAST(seller_zip AS INTEGER) AS seller_zip, customer_zip, "
-    "round(" + _SPHERE.format(lat1="lat1", lng1="lng1", lat2="lat2", lng2="lng2") + " / 1000, 2) AS sphere_km FROM pairs)",
+    "c.customer_zip_code_prefix AS customer_zip, CAST(a.latitude AS DOUBLE) AS lat1, CAST(a.longitude AS DOUBLE) AS lng1, CAST(b.latitude AS DOUBLE) AS lat2, "
+    "CAST(b.longitude AS DOUBLE) AS lng2 FROM c_order_items i JOIN c_orders o USING (order_id) JOIN c_customers c USING (customer_id) "
+    "JOIN c_geo_locations a ON a.zip_code_prefix = i.seller_id JOIN c_geo_locations b ON b.zip_code_prefix = c.customer_zip_code_prefix)), "
+    + _GEODESIC.format(name="measured", src="pairs")
+    + " SELECT CAST(seller_zip AS INTEGER) AS seller_zip, customer_zip, round(metres / 1000, 5) AS distance_km FROM measured)",
 )
 def _(t):
-    """Every seller-customer zip pair that traded, with both distances; the sphere one is compared."""
-    from storelens.functions.geo import sphere_m
-
-    pairs = (
-        t["order_items"]
-        .select("order_id", F.col("seller_id").cast("int").alias("seller_zip"))
-        .join(t["orders"].select("order_id", "customer_id"), "order_id")
-        .join(
-            t["customers"].select(
-                "customer_id", F.col("customer_zip_code_prefix").alias("customer_zip")
-            ),
-            "customer_id",
-        )
-        .select("seller_zip", "customer_zip")
-        .distinct()
-    )
-    geo = t["geo_locations"].select("zip_code_prefix", F.col("latitude").cast("double"), F.col("longitude").cast("double"))
-    a = geo.toDF("seller_zip", "lat1", "lng1")
-    b = geo.toDF("customer_zip", "lat2", "lng2")
-    return (
-        pairs.join(a, "seller_zip")
-        .join(b, "customer_zip")
-        .select(
-            "seller_zip",
-            "customer_zip",
-            F.round(
-                sphere_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")) / 1000, 2
-            ).alias("sphere_km"),
-        )
-    )
+    """Every pair of zip prefixes between which something was sold, on the ellipsoid."""
+    sold = t["order_items"].select("order_id", F.col("seller_id").cast("int").alias("seller_zip")).join(t["orders"].select("order_id", "customer_id"), "order_id")
+    buyers = t["customers"].select("customer_id", F.col("customer_zip_code_prefix").alias("customer_zip"))
+    pairs = sold.join(buyers, "customer_id").select("seller_zip", "customer_zip").distinct()
+    return reports.pair_distances(pairs, t["geo_locations"]).withColumn("distance_km", F.round("distance_km", 5))
 
 
 _N11 = """SELECT c.customer_state, CAST(date_trunc('month', o.order_purchase_timestamp) AS TIMESTAMP) AS purchase_month,
@@ -294,10 +269,10 @@ def _(t):
 @case(
     "c06_product_promotions",
     """SELECT promotion_id, CAST(discount_percentage AS DOUBLE) AS discount_percentage FROM c_product_promotions
-    WHERE product_id = 42 AND period_lo <= TIMESTAMP '1998-06-15' AND period_hi > TIMESTAMP '1998-06-15'""",
+    WHERE product_id = 36 AND period_lo <= TIMESTAMP '1996-01-15' AND period_hi > TIMESTAMP '1996-01-15'""",
 )
 def _(t):
-    return reports.active_promotions(t, "1998-06-15", 42).select(
+    return reports.active_promotions(t, "1996-01-15", 36).select(
         "promotion_id", F.col("discount_percentage").cast("double").alias("discount_percentage")
     )
 

@@ -9,14 +9,14 @@ from storelens.operators.aggregates import last_row_per_key
 
 
 def lookup(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, as_: str, buckets: int = 1
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, as_: str, buckets: int
 ) -> DataFrame:
     """Matching right rows as an array per left row, empty if there are none.
 
     Every left row gives ``buckets`` rows, numbered by ``chunk``, whatever the size of the data; a
-    match is in one of them, by its hash. With the default 1 all matches of a key meet in
-    one array, so a table with crowded keys needs more buckets, or ``lookup_unwound`` if
-    the joined rows are enough. Equal right rows are counted before the shuffle and dealt
+    match is in one of them, by its hash. With 1 all matches of a key meet in
+    one array, so the number is the caller's to declare: as many as keep the most crowded key's arrays small;
+    or ``lookup_unwound`` if the joined rows are enough. Equal right rows are counted before the shuffle and dealt
     over the buckets in turn.
     """
     names = right.columns

@@ -136,7 +136,7 @@ def orders_analytics(tables: Tables) -> DataFrame:
     )
 
 
-def seller_state_buckets(tables: Tables, buckets: int = 1) -> DataFrame:
+def seller_state_buckets(tables: Tables, buckets: int) -> DataFrame:
     """Sellers grouped by state, each state in ``buckets`` documents at most.
 
     ``bucket`` numbers a state's documents, to which sellers are dealt by a hash of their id;

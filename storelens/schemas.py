@@ -40,6 +40,18 @@ ORDER_REVIEWS = (
     "review_comment_message string, review_creation_date timestamp, review_answer_timestamp timestamp"
 )
 
+TABLES = {
+    "customers": CUSTOMERS,
+    "sellers": SELLERS,
+    "geolocation": GEOLOCATION,
+    "categories": CATEGORIES,
+    "products": PRODUCTS,
+    "orders": ORDERS,
+    "order_items": ORDER_ITEMS,
+    "order_payments": ORDER_PAYMENTS,
+    "order_reviews": ORDER_REVIEWS,
+}
+
 # Order states and payment types of the model.
 ORDER_STATUSES = [
     "created",
