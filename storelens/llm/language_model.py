@@ -20,7 +20,7 @@ _COUNTS_ARROW = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("n", pa.int
 _CELLS_ARROW = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
 _FITTED_ARROW = pa.schema([("part", pa.int64()), ("pieces", pa.int64()), ("weights", pa.binary())])
 _BUCKETS, _DIMS = 512, 32
-_SCORED = "ref bigint, doc_id bigint, n_tokens bigint, known bigint, base double, score double, rest array<bigint>"
+_SCORED = "ref bigint, o bigint, doc_id bigint, n_tokens bigint, known bigint, base double, rest array<bigint>"
 
 
 class Subwords:
@@ -130,12 +130,14 @@ class Attention:
             place = at[some][:, None] + np.arange(width)
             inside = place < length[who[some]][:, None]
             flat = bounds[who[some]][:, None] + np.minimum(place, length[who[some]][:, None] - 1)
-            said = self.class_logs(before[flat])
             # what the window before has scored is only context here
             scored = inside & ((at[some] == 0)[:, None] | (np.arange(width) >= size - step))
-            b, c = np.nonzero(scored)
-            target = flat[b, c]
-            logs[target] = said[b, c, self.class_of[ids[target]]]
+            target = flat[scored]
+            z = self.hidden(before[flat], self.weights)[-1][scored] @ self.weights["out"]
+            z += self.direct[before[target]]
+            z -= z.max(1, keepdims=True)
+            said = z[np.arange(len(z)), self.class_of[ids[target]]]
+            logs[target] = said - np.log(np.exp(z, out=z).sum(1))
         logs += self.log_share[self.class_of[before], ids]
         return np.add.reduceat(logs.astype(np.float64), bounds[:-1]) if len(length) else np.zeros(0)
 
@@ -221,6 +223,12 @@ def _counted(follows: np.ndarray, id_counts: np.ndarray, class_of: np.ndarray, w
     return Attention(class_of, log_share, w["embed"], direct, w, window)
 
 
+#: windows of a step
+BATCH = 256
+#: ids that a learner has of all, as long as that makes no more learners than LEARNERS; and how often their weights are averaged
+LEARNER_IDS, LEARNERS, ROUNDS = 1 << 22, 4096, 4
+
+
 class Fit:
     """Adam on the cross-entropy of the classes over batches of windows, from the weights of ``model``."""
 
@@ -268,29 +276,29 @@ class Fit:
         for name, d in (("q", dq), ("k", dk), ("v", dv)):
             g[name] = flat(e).T @ flat(d)
         de = flat(dm @ w["skip"].T + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T)
-        g["embed"] = np.stack([np.bincount(x.ravel(), d, len(w["embed"])) for d in de.T], 1).astype(np.float32)
+        # of the ids' vectors only those in the batch move
+        some, back = np.unique(x, return_inverse=True)
+        g["embed"] = np.stack([np.bincount(back.ravel(), d, len(some)) for d in de.T], 1).astype(np.float32)
         self.step += 1
         rate = 0.01 * min(1, self.step / 50) / (1 - 0.9**self.step) * np.sqrt(1 - 0.99**self.step)
         for name, d in g.items():
-            first, second = self.first[name], self.second[name]
+            rows = some if name == "embed" else slice(None)
+            first, second = self.first[name][rows], self.second[name][rows]
             first += 0.1 * (d - first)
             second += 0.01 * (d * d - second)
-            w[name] -= (rate * first / (np.sqrt(second) + 1e-7)).astype(np.float32)
+            self.first[name][rows], self.second[name][rows] = first, second
+            w[name][rows] -= (rate * first / (np.sqrt(second) + 1e-7)).astype(np.float32)
 
-    def all(self, sequences: Iterator[tuple[np.ndarray, np.ndarray]], steps: int, small: int = 128, large: int = 1024) -> None:
-        """Every window of the sequences once; where that makes fewer than ``steps`` steps, in small batches and again."""
-        held, have = [], 0
+    def all(self, sequences: Iterator[tuple[np.ndarray, np.ndarray]], steps: int = 0, batch: int = BATCH) -> None:
+        """Every window of the sequences once; again only while that makes fewer than ``steps`` steps."""
+        held = []
         for flat, bounds in sequences:
             held.append(self.windows(flat, bounds))
-            have += len(held[-1][0])
-            if have >= steps * small:
-                self.once(*(np.concatenate(c) for c in zip(*held, strict=True)), large)
-                held, have = [], 0
-        if held:
-            held = [np.concatenate(c) for c in zip(*held, strict=True)]
-            self.once(*held, large if self.step >= steps else small)
-            while self.step < steps:
-                self.once(*held, small)
+            self.once(*held[-1], batch)
+            if steps == 0:
+                held.clear()
+        while held and self.step < steps:
+            self.once(*(np.concatenate(c) for c in zip(*held, strict=True)), batch)
 
 
 def train(
@@ -311,10 +319,13 @@ def train(
     return Attention(class_of, model.log_share, fit.w["embed"], model.direct, fit.w, window)
 
 
-def encoded(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame:
-    """``o, ids``: the ids of every learnable text, closed by the end id, as bytes; ``o`` is a hash of the row."""
+def encoded(docs: DataFrame, learnable: Column, model: bytes, every: bool = False) -> DataFrame:
+    """``o, ids``: the ids of every learnable text, closed by the end id, as bytes; ``o`` is a hash of the row.
+
+    With ``every``, of all texts, and ``learns`` tells the learnable ones.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("o", pa.int64()), ("ids", pa.binary())])
+    schema = pa.schema([("o", pa.int64()), ("learns", pa.bool_()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = Subwords(shared.value)
@@ -325,10 +336,16 @@ def encoded(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame:
                 flat, bounds = subwords.sequences(words, words.hashes())
                 flat = flat.astype(kind)
                 lists = [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield kernels.rows(schema, kernels.column(part, "o"), lists)
+                yield kernels.rows(schema, kernels.column(part, "o"), kernels.column(part, "learns"), lists)
+
+    named = docs.select(_row_hash().alias("o"), F.coalesce(learnable, F.lit(False)).alias("learns"), text_or_empty().alias("text"))
+    if every:
+        return named.mapInArrow(run, "o bigint, learns boolean, ids binary")
+    return named.where("learns").mapInArrow(run, "o bigint, learns boolean, ids binary").drop("learns")
 
-    o = F.xxhash64("doc_id", text_or_empty()).alias("o")
-    return docs.where(learnable).select(o, text_or_empty().alias("text")).mapInArrow(run, "o bigint, ids binary")
+
+def _row_hash() -> Column:
+    return F.xxhash64("doc_id", text_or_empty())
 
 
 def _kind(n: int) -> type:
@@ -406,38 +423,47 @@ def _mean(weights: Iterator[pa.RecordBatch]) -> tuple[int, np.ndarray | None]:
     return total, mean
 
 
-def _fitted(ids: DataFrame, model: Attention, most: int | None, steps: int, seed: int) -> dict[str, np.ndarray]:
-    """Weights fitted by every task on all its windows, and their mean by the number of windows."""
+def _fitted(ids: DataFrame, model: Attention, all_ids: int, most: int | None, rounds: int, steps: int, seed: int) -> dict[str, np.ndarray]:
+    """Weights fitted in ``rounds`` rounds, each over a share of the texts, that begin at the mean of the round before.
+
+    Texts are dealt by their hash to rounds and learners, whose number follows from the ids there are and not from how files or
+    tasks are cut; a learner takes its windows in the order of the hash. So neither has a part in the result, and every window is
+    learnt from once.
+    """
     spark = ids.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    learners = max(1, min(LEARNERS, -(-all_ids // LEARNER_IDS)))
     ddl = "part bigint, pieces bigint, weights binary"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        fit = Fit(shared.value, seed + part)
-        fit.all(_sequences(batches, fit.begin, most), steps)
-        if fit.pieces:
-            yield kernels.rows(_FITTED_ARROW, [part], [fit.pieces], [np.concatenate([v.ravel() for v in fit.w.values()]).tobytes()])
+    weights = model.weights
+    cuts = np.cumsum([v.size for v in weights.values()])[:-1]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, mean = _mean(batches)
         if total:
             yield kernels.rows(_FITTED_ARROW, [0], [total], [mean.astype(np.float32).tobytes()])
 
-    parts = stored(ids.select("ids").mapInArrow(run, ddl), "lm-fitted")
-    groups = isqrt(max(parts.count() - 1, 0)) + 1
-    merged = parts.repartition(groups, "part").mapInArrow(merge, ddl).toArrow()
-    total, mean = _mean(merged.sort_by("pieces").to_batches())
-    if not total:
-        return model.weights
-    sizes = np.cumsum([v.size for v in model.weights.values()])[:-1]
-    return {k: x.reshape(v.shape).astype(np.float32) for (k, v), x in zip(model.weights.items(), np.split(mean, sizes), strict=True)}
+    for r in range(rounds):
+        shared = spark.sparkContext.broadcast(Attention(model.class_of, model.log_share, weights["embed"], model.direct, weights, model.window))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, r=r) -> Iterator[pa.RecordBatch]:
+            part = TaskContext.get().partitionId()
+            fit = Fit(shared.value, seed + r * LEARNERS + part)
+            fit.all(_sequences(batches, fit.begin, most), steps)
+            if fit.pieces:
+                yield kernels.rows(_FITTED_ARROW, [part], [fit.pieces], [np.concatenate([v.ravel() for v in fit.w.values()]).tobytes()])
+
+        share = ids.where(F.pmod(F.shiftright("o", 20), F.lit(rounds)) == r).select("o", "ids")
+        parts = share.repartition(learners, "o").sortWithinPartitions("o", "ids").select("ids").mapInArrow(run, ddl)
+        merged = parts.repartition(isqrt(learners - 1) + 1, "part").mapInArrow(merge, ddl).toArrow()
+        total, mean = _mean(merged.sort_by("pieces").to_batches())
+        if total:
+            weights = {k: x.reshape(v.shape).astype(np.float32) for (k, v), x in zip(weights.items(), np.split(mean, cuts), strict=True)}
+    return weights
 
 
 def learn(
-    ids: DataFrame, id_counts: np.ndarray, fit_texts: int | None, fit_ids: int | None, classes: int = 64, width: int = 8, window: int = 16, steps: int = 300, pull: float = 20.0, seed: int = 7
+    ids: DataFrame, id_counts: np.ndarray, fit_texts: int | None, fit_ids: int | None, classes: int = 64, width: int = 8, window: int = 16, steps: int = 0, pull: float = 20.0, seed: int = 7, rounds: int = ROUNDS
 ) -> Attention:
-    """Classes, counts and weights from all sequences of ``ids``; a task makes ``steps`` steps at least, more with its windows."""
+    """Classes, counts and weights from all sequences of ``ids`` (``o, ids``); a learner makes ``steps`` steps a round at least, more with its windows."""
     rng = np.random.default_rng(seed)
     n = len(id_counts)
     bucket, space = _buckets(id_counts), rng.normal(0, 1, (2 * _BUCKETS, _DIMS))
@@ -451,17 +477,15 @@ def learn(
     model = _counted(follows, id_counts, class_of, width, window, pull, rng)
     if fit_texts is not None:
         ids = ids.orderBy("o", "ids").limit(fit_texts)
-    w = _fitted(ids, model, fit_ids, steps, seed)
+    w = _fitted(ids, model, int(id_counts.sum()), fit_ids, rounds, steps, seed)
     return Attention(class_of, model.log_share, w["embed"], model.direct, w, window)
 
 
-def corpus_counts(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame:
-    """``kind, h, n`` over all learnable texts: how often each word (0) and each subword id (1) occurs, and the texts (2)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def corpus_counts(docs: DataFrame, learnable: Column) -> DataFrame:
+    """``kind, h, n`` over all learnable texts: how often each word (0) occurs, and the texts (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords = Subwords(shared.value)
-        ids, texts_seen = np.zeros(subwords.end, np.int64), 0
+        texts_seen = 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -474,10 +498,7 @@ def corpus_counts(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame
                 texts_seen += len(texts)
                 if not len(words):
                     continue
-                unique, back, starts, sizes = subwords.of(words, words.hashes())
-                n = np.bincount(back, minlength=len(unique))
-                np.add.at(ids, subwords.pool[kernels.ragged(starts, sizes)], np.repeat(n, sizes))
-                held.append((unique, n))
+                held.append(np.unique(words.hashes(), return_counts=True))
                 if sum(len(h) for h, _ in held) > 1_500_000:
                     held = [merged()]
                     if len(held[0][0]) > 1_000_000:
@@ -485,8 +506,6 @@ def corpus_counts(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame
                         held = []
         if held:
             yield _count_rows(0, *merged())
-        some = np.flatnonzero(ids)
-        yield _count_rows(1, some.astype(np.uint64), ids[some])
         yield _count_rows(2, np.zeros(1, np.uint64), np.array([texts_seen]))
 
     found = docs.where(learnable).select("text").mapInArrow(run, "kind int, h bigint, n bigint")
@@ -497,6 +516,27 @@ def _count_rows(kind: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return kernels.rows(_COUNTS_ARROW, np.full(len(h), kind, np.int32), h.view(np.int64), n)
 
 
+def _net_scores(sequences: DataFrame, net: Attention, size: int, block: int = 1 << 20) -> DataFrame:
+    """``o`` and the log10 probability of every sequence."""
+    shared = sequences.sparkSession.sparkContext.broadcast(net)
+    schema = pa.schema([("o", pa.int64()), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _kind(size)
+        for batch in batches:
+            ids = kernels.column(batch, "ids")
+            _, offsets, data = ids.buffers()
+            ends = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1].astype(np.int64) // np.dtype(kind).itemsize
+            flat, row = np.frombuffer(data, kind), 0
+            while row < len(ids):
+                last = max(row + 1, int(np.searchsorted(ends, ends[row] + block, "right")) - 1)
+                logs = shared.value.text_logs(flat[ends[row] : ends[last]].astype(np.int64), ends[row : last + 1] - ends[row])
+                yield kernels.rows(schema, kernels.column(batch, "o").slice(row, last - row), logs / np.log(10))
+                row = last
+
+    return sequences.select("o", "ids").mapInArrow(run, "o bigint, score double")
+
+
 def score(
     docs: DataFrame, learnable: Column, model_file: str, fit_texts: int | None = None, fit_ids: int | None = None, frequent: int = 2_000_000, add: float = 0.1
 ) -> DataFrame:
@@ -515,7 +555,7 @@ def score(
     with open(model_file, "rb") as f:
         raw = f.read()
     learnable = F.coalesce(learnable, F.lit(False))
-    counts = stored(corpus_counts(docs, learnable, raw), "lm-counts")
+    counts = stored(corpus_counts(docs, learnable), "lm-counts")
     words = counts.where("kind = 0")
     n_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_texts = counts.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -525,23 +565,26 @@ def score(
     h, n = (often.column(c).to_numpy().copy() for c in ("h", "n"))
     order = np.argsort(h.view(np.uint64))
     h, n = h.view(np.uint64)[order], n[order].astype(np.float64)
-    id_rows = counts.where("kind = 1").select("h", "n").toArrow()
-    id_counts = np.zeros(len(_model(raw)) + 1)
-    id_counts[id_rows.column("h").to_numpy()] = id_rows.column("n").to_numpy()
-    id_counts[-1] = n_texts
-    fitted = learn(stored(encoded(docs, learnable, raw), "lm-ids"), id_counts, fit_texts, fit_ids)
-    shared = spark.sparkContext.broadcast((raw, h, np.log10(n + add) - below, fitted))
+    size = len(_model(raw)) + 1
+    sequences = stored(encoded(docs, learnable, raw, every=True), "lm-ids")
+    learnt = sequences.where("learns").select("o", "ids")
+    id_rows = _tallied(learnt, size, size, lambda flat, bounds: flat).toArrow()
+    id_counts = np.zeros(size)
+    id_counts[id_rows.column("cell").to_numpy()] = id_rows.column("n").to_numpy()
+    fitted = learn(learnt, id_counts, fit_texts, fit_ids)
+    # equal rows have one hash, and one score
+    nets = _net_scores(sequences, fitted, size).groupBy("o").agg(F.min("score").alias("score"))
+    shared = spark.sparkContext.broadcast((h, np.log10(n + add) - below))
     end_log = float(np.log10(n_texts + add) - below)
     schema = pa.schema(
         [
-            ("ref", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-            ("base", pa.float64()), ("score", pa.float64()), ("rest", pa.list_(pa.int64())),
+            ("ref", pa.int64()), ("o", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
+            ("base", pa.float64()), ("rest", pa.list_(pa.int64())),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw_, table, logs, net = shared.value
-        subwords = Subwords(raw_)
+        table, logs = shared.value
         # a number for each row, kept with the rows once they are written
         ref = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -556,20 +599,19 @@ def score(
                     known, base = np.zeros(len(hashes), bool), np.zeros(len(texts))
                 rest = hashes[~known].view(np.int64)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(owner[~known], minlength=len(texts)))])
-                ids, bounds = subwords.sequences(words_, hashes)
                 yield kernels.rows(
                     schema,
                     ref + np.arange(len(texts)),
+                    kernels.column(part, "o"),
                     kernels.column(part, "doc_id"),
                     words_.count + 1,
                     np.bincount(owner[known], minlength=len(texts)) + (n_texts > 0),
                     base + end_log,
-                    net.text_logs(ids, bounds) / np.log(10),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest)),
                 )
                 ref += len(texts)
 
-    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    named = docs.select(_row_hash().alias("o"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     scored = stored(named.mapInArrow(run, _SCORED), "lm-scored")
     rest = scored.select("ref", F.explode("rest").alias("h")).groupBy("ref", "h").agg(F.count("*").alias("times"))
     # a word that no learnable text has is not in the table of counts
@@ -579,7 +621,7 @@ def score(
         (F.col("times") * (F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(add)) - F.lit(below))).alias("base"),
     )
     per_row = met.groupBy("ref").agg(F.sum("known").alias("known_rest"), F.sum("base").alias("base_rest"))
-    return scored.drop("rest").join(per_row, "ref", "left").select(
+    return scored.drop("rest").join(per_row, "ref", "left").join(nets, "o").select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("known_rest", F.lit(0))).alias("n_known"),
