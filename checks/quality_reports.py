@@ -472,6 +472,19 @@ def _(t):
     return quality.default_rows(t["orders"].withColumn("part", bucket))
 
 
+@case(
+    "v16_files_per_partition",
+    """SELECT CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'
+    THEN strftime(o_orderdate, '%Y') ELSE 'default' END AS part, count(*) AS rows, true AS has_files, true AS has_bytes FROM orders GROUP BY 1""",
+)
+def _(t):
+    """Rows by the file-backed report; how many files and bytes is the writer's choice."""
+    path = fresh_path(t.spark, "v16f")
+    layout.write_partitioned(t["orders"], path, "order_purchase_timestamp", "year", "1996-01-01", "2000-01-01")
+    found = quality.bytes_per_partition(t.spark.read.parquet(path))
+    return found.select(F.col("part").cast("string").alias("part"), "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > F.col("files")).alias("has_bytes"))
+
+
 @case("v16_bytes_per_partition")
 def _(t):
     path = fresh_path(t.spark, "v16b")

@@ -8,7 +8,6 @@ from checks.bindings import half_even
 from checks.catalog import case, dbl
 from storelens.plans import collections as col_reports
 from storelens.plans import documents, lookups, reports
-from storelens.session import fresh_path
 
 LO, HI = "1997-01-01", "1998-01-01"
 
@@ -396,7 +395,6 @@ def _(t):
         "F",
         LO,
         HI,
-        path=fresh_path(t.spark, "m01"),
     )
     return out.select(
         "facet", "state", "month", "total_orders", dbl("total_revenue", 2), dbl("avg_review_score")

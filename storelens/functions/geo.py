@@ -184,7 +184,7 @@ def _by_azimuth(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
 
     def integral(g: Column, of) -> Column:
         half, mid = (g["to"] - g["from"]) / 2, (g["to"] + g["from"]) / 2
-        nodes = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(w).alias("w")) for x, w in _NODES))
+        nodes = F.expr("array(" + ", ".join(f"named_struct('x', {x!r}D, 'w', {w!r}D)" for x, w in _NODES) + ")")
         root = lambda x: F.sqrt(1 + g["k2"] * F.pow(F.sin(mid + half * x), F.lit(2.0)))
         return half * F.aggregate(nodes, F.lit(0.0), lambda total, n: total + n["w"] * of(root(n["x"])))
 

@@ -37,15 +37,18 @@ def copy_into_partitioned(
     write_partitioned(df.select(*columns), path, ts, unit, lo, hi)
 
 
-def write_sorted(df: DataFrame, path: str, columns: list[str]) -> None:
+def write_sorted(df: DataFrame, path: str, columns: list[str], rows_per_range: int = 5_000_000) -> None:
     """A copy sorted by the columns, so block statistics are narrow.
 
     End the list with a key: a range boundary can then fall inside one repeated time
-    value, and no task gets all rows of a popular instant.
+    value, and no task gets all rows of a popular instant. Where the session's number of shuffle partitions would make
+    ranges of more than ``rows_per_range`` rows, there are as many as the rows ask for; to know, they are
+    counted, which for Parquet reads footers alone.
     """
-    df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(
-        path
-    )
+    ranges = -(-df.count() // rows_per_range)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *columns) if ranges > usual else df.repartitionByRange(*columns)
+    dealt.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
 def id_bucket(value: Column, buckets: int) -> Column:
@@ -60,7 +63,7 @@ def write_by_id(df: DataFrame, path: str, column: str, buckets: int) -> None:
     dealt = df.withColumn("id_bucket", id_bucket(F.col(column), buckets))
     dealt.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", column).write.mode("overwrite").option(
         f"parquet.bloom.filter.enabled#{column}", "true"
-    ).partitionBy("id_bucket").parquet(path)
+    ).option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("id_bucket").parquet(path)
 
 
 def materialize_subset(df: DataFrame, keep: Column, order: list[str], path: str) -> None:

@@ -89,3 +89,11 @@ def test_lookups_by_id_open_one_folder(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[isnotnull\(id_bucket#\d+\), \(id_bucket#\d+ = \d+\)\]", plan(read(77)))
     assert "EqualTo(id,77)" in plan(read(77))
     assert spark.read.parquet(path).count() == 501
+
+
+def test_sorted_copies_have_as_many_ranges_as_rows_ask_for(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 3).alias("k"))
+    layout.write_sorted(df, str(tmp_path / "many"), ["k", "id"], rows_per_range=50)
+    files = spark.read.parquet(str(tmp_path / "many")).select(F.input_file_name().alias("f"), "k", "id").groupBy("f").agg(F.min(F.struct("k", "id")).alias("lo"), F.max(F.struct("k", "id")).alias("hi"))
+    edges = sorted((r.lo, r.hi) for r in files.collect())
+    assert len(edges) >= 15 and all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
