@@ -33,7 +33,8 @@ class _Pieces:
         self.words = kernels.Words(texts.lowered(), _APART)
         langs = kernels.column(part, "lang").dictionary_encode()
         self.names = langs.dictionary.to_pylist()
-        self.salt = np.array([_name_hash(x) for x in self.names], _U)
+        # a language's name as a word must not cancel its salt
+        self.salt = kernels.mix(np.array([_name_hash(x) for x in self.names], _U) + _U(0x9E3779B97F4A7C15))
         owner = self.words.owner()
         self.lang = langs.indices.to_numpy(zero_copy_only=False)[owner]
         self.hashes = kernels.mix(self.words.hashes() ^ self.salt[self.lang]) if len(owner) else np.zeros(0, _U)

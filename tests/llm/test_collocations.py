@@ -48,6 +48,8 @@ def texts(seed):
         lang = rnd.choice(["en", "de", None, ""])
         text = "".join(rnd.choice(words) + rnd.choice([" ", " ", " ", "\t", "  ", ", ", ".\n", "\r\n", "!?"]) for _ in range(rnd.randrange(60)))
         rows.append((lang, rnd.choice([text, text, text, None, "", " . , "])))
+    # words that are named as a language
+    rows += [(lang, f"{lang or 'und'} {lang or 'und'} de. en und") for lang in ("en", "de", None) for _ in range(60)]
     return rows + [("en", "new york new york new york city " * 30)] * 3
 
 
