@@ -173,6 +173,15 @@ def test_fuzzy_join_finds_all_pairs(frame, threshold, block):
     assert {(r[0], r[1]): pytest.approx(r[2]) for r in got} == expected
 
 
+def test_fuzzy_join_over_several_blocks_sends_no_table_to_the_driver(frame):
+    left = [f"casa {i} mesa" for i in range(1100)] + ["!", None]
+    right = [f"casa {i}" for i in range(0, 1100, 50)] + left[:3]
+    joined = text.fuzzy_join(frame([(v,) for v in left], "v string"), frame([(v,) for v in right], "v string"), "v", "v", 0.75)
+    assert "Broadcast" not in joined._jdf.queryExecution().toString()
+    expected = {(a, b): py_sim(a, b) for a in left if a for b in right if py_sim(a, b) >= 0.75}
+    assert {(r[0], r[1]): pytest.approx(r[2]) for r in joined.collect()} == expected and joined.count() == len(expected)
+
+
 def test_keyword_search_scores_and_stop_words(frame):
     df = frame(
         [(1, "Muito bom produto", "bom bom"), (2, "ruim", None), (3, None, "bomba"), (4, "", "")],
