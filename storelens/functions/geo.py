@@ -6,8 +6,10 @@ import math
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from storelens.functions.scalars import let
 from storelens.operators.runs import spread_join
@@ -142,6 +144,50 @@ def geodesic_m(
     return let(ends, solve)
 
 
+def geodesic_pairs_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
+    """The same metres for tables of many pairs: the rounds run over batches of pairs in Python workers; what has not settled, over single pairs."""
+    settled = _vincenty_m(*(x.cast("double") for x in (lat1, lng1, lat2, lng2)))
+    known = lat1.isNotNull() & lng1.isNotNull() & lat2.isNotNull() & lng2.isNotNull()
+    return F.when(settled.isNotNull(), settled).when(known, _by_azimuth(lat1, lng1, lat2, lng2))
+
+
+@F.arrow_udf(DoubleType())
+def _vincenty_m(lat1: pa.Array, lng1: pa.Array, lat2: pa.Array, lng2: pa.Array) -> pa.Array:
+    """``geodesic_m`` up to the opposite points, which are null, over a batch; pairs that have settled leave the rounds."""
+    f = WGS84_F
+    p1, g1, p2, g2 = (x.to_numpy(zero_copy_only=False) for x in (lat1, lng1, lat2, lng2))
+    with np.errstate(all="ignore"):
+        u1, u2 = np.arctan((1 - f) * np.tan(np.radians(p1))), np.arctan((1 - f) * np.tan(np.radians(p2)))
+        s1, c1, s2, c2, d = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2), np.radians(g2 - g1)
+        out, at, lam = np.full(len(d), np.nan), np.flatnonzero(~np.isnan(s1 + s2 + d)), None
+        s1, c1, s2, c2, d = (x[at] for x in (s1, c1, s2, c2, d))
+        lam = d
+        for done in range(201):
+            sin_l, cos_l = np.sin(lam), np.cos(lam)
+            x, y = c2 * sin_l, c1 * s2 - s1 * c2 * cos_l
+            sin_s, cos_s = np.sqrt(x * x + y * y), s1 * s2 + c1 * c2 * cos_l
+            sigma = np.arctan2(sin_s, cos_s)
+            sin_a = np.where(sin_s == 0, 0.0, c1 * c2 * sin_l / sin_s)
+            cos2_a = 1 - sin_a * sin_a
+            mid = np.where(np.abs(cos2_a) < 1e-15, 0.0, cos_s - 2 * s1 * s2 / cos2_a)
+            if done:
+                still = moved > 1e-12
+                uu = cos2_a * ((WGS84_A**2 - WGS84_B**2) / WGS84_B**2)
+                big_a = 1 + uu / 16384 * (4096 + uu * (-768 + uu * (320 - 175 * uu)))
+                big_b = uu / 1024 * (256 + uu * (-128 + uu * (74 - 47 * uu)))
+                turn = cos_s * (2 * mid * mid - 1) - big_b / 6 * mid * (4 * sin_s * sin_s - 3) * (4 * mid * mid - 3)
+                metres = WGS84_B * big_a * (sigma - big_b * sin_s * (mid + big_b / 4 * turn))
+                out[at[moved <= 1e-12]] = metres[moved <= 1e-12]
+                if not still.any():
+                    break
+                at, lam, s1, c1, s2, c2, d = (v[still] for v in (at, lam, s1, c1, s2, c2, d))
+                sin_s, cos_s, sigma, sin_a, cos2_a, mid = (v[still] for v in (sin_s, cos_s, sigma, sin_a, cos2_a, mid))
+            c = f / 16 * cos2_a * (4 + f * (4 - 3 * cos2_a))
+            new = d + (1 - c) * f * sin_a * (sigma + c * sin_s * (mid + c * cos_s * (2 * mid * mid - 1)))
+            moved, lam = np.abs(new - lam), new
+    return pa.array(out, from_pandas=True)
+
+
 # Nodes and weights of the 16-point Gauss-Legendre rule on [-1, 1], worked out from its polynomial.
 _NODES = tuple(zip(*(x.tolist() for x in np.polynomial.legendre.leggauss(16)), strict=True))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions.geo import geodesic_m, nearest
+from storelens.functions.geo import geodesic_pairs_m, nearest
 from storelens.functions.predicates import (
     active_at,
     array_has_all,
@@ -190,7 +190,7 @@ def pair_distances(pairs: DataFrame, geo: DataFrame) -> DataFrame:
         )
 
     located = pairs.join(ends("seller"), "seller_zip").join(ends("customer"), "customer_zip")
-    metres = geodesic_m(
+    metres = geodesic_pairs_m(
         F.col("seller_lat"), F.col("seller_lng"), F.col("customer_lat"), F.col("customer_lng")
     )
     return located.select("seller_zip", "customer_zip", (metres / 1000).alias("distance_km"))

@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from storelens.functions import geo, predicates, scalars, text
+from storelens.plans import reports
 from storelens.sources import readers
 
 
@@ -210,6 +211,22 @@ def test_distances(value):
     assert sphere == pytest.approx(m(0, 0, 0, 1), rel=0.005)
 
 
+def test_distances_of_many_pairs_run_over_batches(frame):
+    import random
+
+    rng = random.Random(3)
+    place = lambda: (rng.uniform(-90, 90), rng.uniform(-180, 180))
+    rows = [(*place(), *place()) for _ in range(300)]
+    rows += [(0.0, 0.0, 0.0, 180.0), (0.0, 0.0, 0.5, 179.7), (90.0, 0.0, -90.0, 5.0), (1.0, 2.0, 1.0, 2.0), (0.0, 1.0, 0.0, 2.0), (None, 1.0, 2.0, 3.0), (1.0, 1.0, 2.0, None)]
+    at = [F.col(c) for c in "abcd"]
+    out = frame(rows, "a double, b double, c double, d double").select(geo.geodesic_m(*at).alias("one"), geo.geodesic_pairs_m(*at).alias("many"))
+    assert all(r.many == (None if r.one is None else pytest.approx(r.one, abs=1e-5)) for r in out.collect())
+    pairs = frame([(1, 2), (2, 1), (1, 9)], "seller_zip int, customer_zip int")
+    found = reports.pair_distances(pairs, frame([(1, 0.0, 0.0), (2, 0.0, 1.0)], "zip_code_prefix int, latitude double, longitude double"))
+    assert "ArrowEvalPython" in found._jdf.queryExecution().toString()
+    assert sorted((r[0], r[1], round(r[2], 3)) for r in found.collect()) == [(1, 2, 111.319), (2, 1, 111.319)]
+
+
 def test_nearest_each_agrees_with_all_pairs(frame):
     import random
 
