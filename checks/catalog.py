@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.bindings import CommerceTables, oracle
-from storelens.session import configure
+from storelens.session import bytes_under, configure, fit_tasks
 
 QUERIES: dict[str, Callable[[CommerceTables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,7 +30,8 @@ def case(name: str, sql: str | None = None):
 
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return QUERIES[name](CommerceTables(configure(spark), sf_dir))
+        fit_tasks(configure(spark), bytes_under(spark, sf_dir))
+        return QUERIES[name](CommerceTables(spark, sf_dir))
 
     return run
 

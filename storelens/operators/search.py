@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.stemming import portuguese_stem
 from storelens.functions.text import stop_words, words
+from storelens.session import file_sized
 
 #: folders that terms are dealt to by their hash
 BUCKETS = 64
@@ -29,10 +30,12 @@ def build_index(df: DataFrame, key: str, columns: list[str], path: str, stems: b
         each = counted.select("term").distinct().mapInPandas(_stemmed, "term string, stem string")
         counted = counted.join(each, "term").groupBy("key", F.col("stem").alias("term")).agg(F.sum("tf").alias("tf"))
     dealt = counted.withColumn("bucket", _bucket(F.col("term")))
-    dealt.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "key").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    with file_sized(dealt.sparkSession):
+        dealt.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "key").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     kind = df.schema[key].dataType.simpleString()
     terms = postings(df.sparkSession, path, kind).groupBy("bucket", "term").agg(F.count("*").alias("rows"))
-    terms.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/terms")
+    with file_sized(terms.sparkSession):
+        terms.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/terms")
     df.agg(F.count("*").alias("rows"), F.lit(stems).alias("stems")).write.mode("overwrite").parquet(f"{path}/size")
 
 

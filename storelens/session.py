@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,50 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# What a task reads at most, of files or of a shuffle (compressed; sorted and hashed rows take many times that);
+# the bytes of input for which a shuffle gets one more partition; and how much larger rows are than their files.
+TASK_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+    "spark.sql.sources.fileCompressionFactor": "4",
+}
+SHUFFLE_INPUT_BYTES = 2 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def fit_tasks(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Settings with which a task holds about as much whatever the size of the input: more of it means more tasks.
+
+    Adaptive execution alone merges shuffles down to the number of cores, and a broadcast is chosen by the size of files.
+    """
+    for key, value in TASK_SETTINGS.items():
+        spark.conf.set(key, value)
+    tasks = -(-input_bytes // SHUFFLE_INPUT_BYTES)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(_INITIAL, str(tasks))
+    else:
+        spark.conf.unset(_INITIAL)
+    return spark
+
+
+def bytes_under(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files under a folder that Spark can read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+@contextmanager
+def file_sized(spark: SparkSession, size: str = "64m"):
+    """Rebalanced writes within give files of about this size, whatever suits the tasks of other work."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def settings_for(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Settings for jobs over that much input: shuffles begin with enough partitions.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.functions.predicates import instant, time_range
+from storelens.session import file_sized
 from storelens.sources.scans import BUCKET_FORMATS
 
 
@@ -25,9 +26,9 @@ def write_partitioned(
     and adaptive execution cuts a bucket that holds far more rows than the others
     into several tasks of the advisory size.
     """
-    df.withColumn(part, range_bucket(F.col(ts), unit, lo, hi)).hint("rebalance", part).write.mode(
-        "overwrite"
-    ).partitionBy(part).parquet(path)
+    dealt = df.withColumn(part, range_bucket(F.col(ts), unit, lo, hi)).hint("rebalance", part)
+    with file_sized(df.sparkSession):
+        dealt.write.mode("overwrite").partitionBy(part).parquet(path)
 
 
 def copy_into_partitioned(
@@ -61,9 +62,10 @@ def write_by_id(df: DataFrame, path: str, column: str, buckets: int) -> None:
     ``scans.read_by_id`` then opens one folder; within it row groups without the id are skipped.
     """
     dealt = df.withColumn("id_bucket", id_bucket(F.col(column), buckets))
-    dealt.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", column).write.mode("overwrite").option(
-        f"parquet.bloom.filter.enabled#{column}", "true"
-    ).option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("id_bucket").parquet(path)
+    with file_sized(df.sparkSession):
+        dealt.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", column).write.mode("overwrite").option(
+            f"parquet.bloom.filter.enabled#{column}", "true"
+        ).option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("id_bucket").parquet(path)
 
 
 def materialize_subset(df: DataFrame, keep: Column, order: list[str], path: str) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.operators.aggregates import last_row_per_key
-from storelens.session import fresh_path
+from storelens.session import file_sized, fresh_path
 from storelens.sinks.layout import range_bucket
 from storelens.sinks.upserts import upsert
 
@@ -96,7 +96,8 @@ def merge(
 
 def _overwrite(df: DataFrame, path: str, by: list[str]) -> None:
     """Replace the folders that ``df`` has rows for, and no others."""
-    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    with file_sized(df.sparkSession):
+        df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def _with_keys(df: DataFrame, prefix: str) -> DataFrame:

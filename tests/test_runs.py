@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storelens.operators import quality
+from storelens import session
 from storelens.operators.runs import RUN, numbered, sorted_runs, spread_join
 
 
@@ -64,3 +65,29 @@ def test_spread_join(spark):
     one = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, x double")
     got = sorted(tuple(r) for r in spread_join(many, one, ["k"], "salt").collect())
     assert got == sorted([("a", i % 9, i, 1.0) for i in range(90)] + [("b", 0, 1, 2.0), ("c", 0, 2, None)], key=lambda r: r[:3])
+
+
+def test_tasks_grow_in_number_and_not_in_size(spark, tmp_path):
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.sources.fileCompressionFactor"]
+    before, first = [spark.conf.get(k) for k in keys], "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        session.fit_tasks(spark, 6 << 30)
+        assert spark.conf.get(first) == "3072"
+        advised = spark.conf.get(keys[1])
+        with session.file_sized(spark):
+            assert spark.conf.get(keys[1]) == "64m"
+        assert spark.conf.get(keys[1]) == advised
+        session.fit_tasks(spark, 1)
+        assert spark.conf.get(first, None) is None
+        # 80 MB in a shuffle are merged to tasks of a few MB, not to one for each core
+        rows = spark.range(10_000_000).select("id", F.xxhash64("id").alias("x")).groupBy(F.col("id") % 5_000_000, "x").agg(F.count("*").alias("n"))
+        session.fit_tasks(spark, 1 << 30)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        rows.write.parquet(str(tmp_path / "out"))
+        assert len(spark.read.parquet(str(tmp_path / "out")).inputFiles()) > 12
+        (tmp_path / "two").write_bytes(b"x" * 700)
+        assert session.bytes_under(spark, str(tmp_path / "two")) == 700
+    finally:
+        spark.conf.unset(first)
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
