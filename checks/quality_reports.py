@@ -221,7 +221,8 @@ def _(t):
 )
 def _(t):
     shape = {"required": ["k"], "fields": {"k": {"types": ["int"], "min": 0, "max": 49}}}
-    docs = t.star("events").select("event_id", F.try_parse_json("props").alias("doc"))
+    rows = quality.dealt(t.star("events").select("event_id", "props"))
+    docs = rows.select("event_id", F.try_parse_json("props").alias("doc"))
     return quality.validate_docs(docs, "doc", "event_id", shape, "props")
 
 
@@ -232,7 +233,7 @@ def _(t):
 )
 def _(t):
     """Ids of the test tables are numbers where the shape wants text; all else must hold."""
-    docs = documents.products_catalog(t)
+    docs = quality.dealt(documents.products_catalog(t))
     text = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
     parsed = docs.select("product_id", F.parse_json(text).alias("doc"))
     return quality.validate_docs(
@@ -245,7 +246,7 @@ def _(t):
     """SELECT 'key' AS unused WHERE false""".replace("'key' AS unused", "'' AS \"check\", '' AS tbl, '' AS key, '' AS detail, CAST(0 AS BIGINT) AS rows"),
 )
 def _(t):
-    docs = documents.geolocation_points(t)
+    docs = quality.dealt(documents.geolocation_points(t))
     parsed = docs.select(
         "zip_code_prefix", F.parse_json(F.to_json(F.struct(*docs.columns))).alias("doc")
     )
@@ -255,7 +256,7 @@ def _(t):
 
 
 def _shape_case(t, docs, key, shape, name):
-    return quality.validate_docs(docs.select(key, F.try_parse_json("document").alias("doc")), "doc", key, shape, name)
+    return quality.validate_docs(quality.dealt(docs.select(key, "document")).select(key, F.try_parse_json("document").alias("doc")), "doc", key, shape, name)
 
 
 @case(

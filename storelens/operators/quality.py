@@ -323,6 +323,14 @@ _TYPE_PATTERNS = {
 }
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt over the tasks by their hash: a file of few bytes is few tasks, but many documents to make, parse and test.
+
+    Use it before texts or columns become a VARIANT, which has no hash.
+    """
+    return rows.repartition(F.xxhash64(*rows.columns))
+
+
 def validate_docs(docs: DataFrame, doc: str, key: str, shape: dict, collection: str) -> DataFrame:
     """Violations of a document shape, from a VARIANT column, in one pass.
 

@@ -91,3 +91,11 @@ def test_tasks_grow_in_number_and_not_in_size(spark, tmp_path):
         spark.conf.unset(first)
         for k, v in zip(keys, before, strict=True):
             spark.conf.set(k, v)
+
+
+def test_documents_of_one_file_are_dealt_over_tasks(spark, tmp_path):
+    spark.createDataFrame([(i, None if i % 3 else "x") for i in range(500)], "k int, v string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    one = spark.read.parquet(str(tmp_path / "t"))
+    many = quality.dealt(one.select("k", F.struct("v").alias("s")))
+    assert one.select(F.spark_partition_id()).distinct().count() == 1
+    assert many.select(F.spark_partition_id()).distinct().count() > 1 and sorted(r.k for r in many.collect()) == list(range(500))
