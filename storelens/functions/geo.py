@@ -332,7 +332,7 @@ def nearest_each(
         children = counts.groupBy(F.expr("_row div 8").alias("_row"), F.expr("_col div 8").alias("_col")).agg(
             F.collect_list(F.struct(*cell, "_n", "_leaf")).alias("_parts")
         )
-        opened = spread_join(front.filter(~F.col("_leaf")).drop("_n", "_leaf", "_least", "_most"), children, cell, "_salt", "inner")
+        opened = spread_join(front.filter(~F.col("_leaf")).drop("_n", "_leaf", "_least", "_most"), children, cell, "_salt", "inner", shuffled=True)
         below = opened.select("_key", "_query", "_salt", F.lit(level).cast("bigint").alias("_level"), F.explode("_parts").alias("_part")).select("_key", "_query", "_salt", "_level", "_part.*")
         spread = _cell_bounds(below, F.col(f"_query.{query_lat}"), F.col(f"_query.{query_lng}"), side)
         seen = front.filter("_leaf").unionByName(spread)
@@ -342,14 +342,14 @@ def nearest_each(
         near = seen.withColumn("_sum", F.sum("_n").over(by_reach)).withColumn("_bound", surely)
         front = kept(near.filter(F.col("_bound").isNull() | (F.col("_least") <= F.col("_bound") + 0.01)).drop("_sum", "_bound"), "front")
         wanted = front.filter(F.col("_level") == level).select(*cell, "_leaf").distinct()
-        held = spread_join(placed.withColumn("_salt", F.pmod(F.xxhash64("_lat", "_lng"), F.lit(64))), wanted, cell, "_salt", "inner")
+        held = spread_join(placed.withColumn("_salt", F.pmod(F.xxhash64("_lat", "_lng"), F.lit(64))), wanted, cell, "_salt", "inner", shuffled=True)
         held = kept(held, "held")
         found.append(held.filter("_leaf").groupBy(*cell).agg(F.collect_list("_point").alias("_points")).withColumn("_level", F.lit(level).cast("bigint")))
         if front.filter(~F.col("_leaf")).isEmpty():
             break
         rest = held.filter(~F.col("_leaf")).select("_point", "_lat", "_lng")
     leaves = reduce(DataFrame.unionByName, found)
-    met = spread_join(front.select("_key", "_query", "_salt", "_level", *cell), leaves, ["_level", *cell], "_salt", "inner")
+    met = spread_join(front.select("_key", "_query", "_salt", "_level", *cell), leaves, ["_level", *cell], "_salt", "inner", shuffled=True)
     compared = met.select("_query", F.explode("_points").alias("_point")).select("_query.*", "_point.*")
     sphere = sphere_m(F.col(lat_col), F.col(lng_col), F.col(query_lat), F.col(query_lng))
     order = Window.partitionBy(query_key).orderBy(F.round("_sphere", 3), *tie)

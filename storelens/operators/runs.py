@@ -23,17 +23,18 @@ def sorted_runs(df: DataFrame, order: list[str], label: str = "runs") -> DataFra
     return df.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
-def spread_join(many: DataFrame, one: DataFrame, on: list[str], salt: str, how: str = "left") -> DataFrame:
+def spread_join(many: DataFrame, one: DataFrame, on: list[str], salt: str, how: str = "left", shuffled: bool = False) -> DataFrame:
     """``many`` joined with ``one``, which has a row per key; rows of a hot key meet in as many tasks as ``salt`` has values.
 
     The distinct (key, salt) are joined with ``one`` first; with map-side combining they are at most one row per salt and key.
-    Keys must not be null in rows that are to match.
+    Keys must not be null in rows that are to match. With ``shuffled`` neither join is left to a broadcast, which the driver would collect.
     """
-    keys = many.select(*on, salt).distinct().join(one, on, how)
+    plain = (lambda df: df.hint("merge")) if shuffled else (lambda df: df)
+    keys = many.select(*on, salt).distinct().join(plain(one), on, how)
     extra = [c for c in one.columns if c not in on]
     right = keys.select(*(F.col(c).alias(f"_k_{c}") for c in [*on, salt]), *extra)
     match = [many[c] == right[f"_k_{c}"] for c in [*on, salt]]
-    return many.join(right, match, how).select(*many.columns, *extra)
+    return many.join(plain(right), match, how).select(*many.columns, *extra)
 
 
 def numbered(df: DataFrame, order: list[str], name: str, label: str = "numbered") -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from storelens.functions import geo
 from storelens.operators import quality
 from storelens import session
 from storelens.operators.runs import RUN, numbered, sorted_runs, spread_join
@@ -99,3 +100,17 @@ def test_documents_of_one_file_are_dealt_over_tasks(spark, tmp_path):
     many = quality.dealt(one.select("k", F.struct("v").alias("s")))
     assert one.select(F.spark_partition_id()).distinct().count() == 1
     assert many.select(F.spark_partition_id()).distinct().count() > 1 and sorted(r.k for r in many.collect()) == list(range(500))
+
+
+def test_a_shuffled_spread_join_collects_neither_side(spark):
+    many = spark.createDataFrame([("a", i % 3) for i in range(9)] + [("b", 0)], "k string, salt int")
+    one = spark.createDataFrame([("a", 1), ("c", 2)], "k string, v int")
+    met = spread_join(many, one, ["k"], "salt", "inner", shuffled=True)
+    assert met.count() == 9 and "Broadcast" not in met._jdf.queryExecution().toString()
+
+
+def test_nearest_points_are_found_without_a_broadcast(spark):
+    points = spark.range(300).selectExpr("id", "id / 1000 AS lat", "id / 700 AS lng")
+    asked = spark.range(3).selectExpr("id AS q", "id / 100 AS qlat", "id / 100 AS qlng")
+    met = geo.nearest_each(points, asked, "lat", "lng", "qlat", "qlng", "q", 2, ["id"])
+    assert "Broadcast" not in met._jdf.queryExecution().toString() and met.count() == 6
