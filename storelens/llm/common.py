@@ -10,8 +10,18 @@ from storelens.session import configure, fresh_path
 LAST_ID = (1 << 63) - 1
 
 
+#: bytes of an Arrow batch; both sides of the pipe to a Python worker hold about two of them, a worker works on slices of half of one
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches are cut by their bytes, as 10,000 long texts would be one of hundreds of MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(configure(spark)).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def id_or_last(name: str = "doc_id") -> Column:

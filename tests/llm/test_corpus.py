@@ -430,3 +430,21 @@ def test_stages_on_messy_rows(spark, messy, empty, split):
     assert last.columns == ["doc_id", "source", "n_tokens", "ids"] and last.count() == messy.count()
     assert all(r.n_tokens == 0 for r in last.join(messy.where("coalesce(text, '') = ''"), "doc_id", "left_semi").collect())
     assert corpus_pipeline.STAGES[4][1](spark, empty, "").count() == 0
+
+
+def test_stages_take_small_batches(spark):
+    """Long texts come in batches of a few MB, not 10,000 rows at once."""
+    long = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.col("id").cast("string"), 3000).alias("text"), *(F.lit("en").alias(c) for c in ("lang", "source")), F.lit(1).cast("bigint").alias("n_chars"))
+    schema = pa.schema([("size", pa.int64())])
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "secrets":  # works in the JVM alone
+                continue
+            spark.conf.unset(key)
+            stage(spark, long, "")
+            sizes = [r.size for r in long.mapInArrow(lambda batches: (kernels.rows(schema, [b.nbytes]) for b in batches), "size bigint").collect()]
+            assert len(sizes) > 1 and max(sizes) < 6 << 20, name
+    finally:
+        spark.conf.set(key, before)
