@@ -114,17 +114,56 @@ class _Tally:
         order = np.argsort(known)
         self.known, self.spelled = known[order], np.concatenate([self.spelled, spelled])[order]
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in _W), ("n", pa.int64())])
-        langs, spelled = pa.array(list(self.names), pa.string()), pa.array(self.spelled, pa.string())
-        for i in range(0, len(self.n), 1 << 16):
-            part = slice(i, i + (1 << 16))
-            columns = []
-            for k in range(LONGEST):
-                h = self.words[k, part]
-                where = np.minimum(np.searchsorted(self.known, h), max(len(self.known) - 1, 0))
-                columns.append(spelled.take(pa.array(where, pa.int64(), mask=h == 0)))
-            yield kernels.rows(schema, langs.take(pa.array(self.lang[part])), *columns, self.n[part])
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        """A row for each block of keys: its windows' keys and counts, and their words as places in a list of the block's words."""
+        edges = np.searchsorted(self.key >> _U(64 - _BLOCK_BITS), np.arange((1 << _BLOCK_BITS) + 1, dtype=_U))
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            part = slice(edges[b], edges[b + 1])
+            used, at = np.unique(self.words[:, part], return_inverse=True)
+            none = int(used[0] == 0)
+            words = self.spelled[np.searchsorted(self.known, used[none:])].tolist()
+            yield kernels.rows(_BLOCKS, [b], [self.key[part].view(np.int64)], [self.n[part]], [list(self.names)], [self.lang[part]], [words], [at.ravel() - none])
+
+
+#: blocks of keys that windows are merged by
+_BLOCK_BITS = 8
+_BLOCKS = pa.schema(
+    [
+        ("block", pa.int32()), ("key", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("lang", pa.list_(pa.int32())),
+        ("words", pa.list_(pa.string())), ("at", pa.list_(pa.int32())),
+    ]
+)
+_BLOCKS_DDL = "block int, key array<bigint>, n array<bigint>, langs array<string>, lang array<int>, words array<string>, at array<int>"
+_WINDOWS = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in _W), ("n", pa.int64())])
+
+
+def _summed(held: list[tuple[np.ndarray, pa.Table]]) -> tuple[np.ndarray, pa.Table]:
+    """Each key once, with the sum of its counts."""
+    key, first, back = np.unique(np.concatenate([k for k, _ in held]), return_index=True, return_inverse=True)
+    every = pa.concat_tables([t for _, t in held])
+    n = np.bincount(back, every.column("n").to_numpy(), len(key)).astype(np.int64)
+    return key, every.take(pa.array(first)).drop_columns("n").append_column("n", pa.array(n)).combine_chunks()
+
+
+def _merge_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window of a block once, with its count in all tasks; rows of a block come together."""
+    held, block, summed = [], None, 0
+    for batch in batches:
+        b, key, n, langs, lang, words, places = (kernels.column(batch, f.name) for f in _BLOCKS)
+        for i in range(len(batch)):
+            if block not in (None, b[i].as_py()):
+                yield from _summed(held)[1].to_batches(1 << 16)
+                held, summed = [], 0
+            block = b[i].as_py()
+            at = places[i].values.to_numpy().reshape(LONGEST, -1)
+            spelled = [words[i].values.take(pa.array(x, mask=x < 0)) for x in at]
+            columns = [langs[i].values.take(lang[i].values), *spelled, n[i].values]
+            held.append((key[i].values.to_numpy(), pa.Table.from_arrays(columns, schema=_WINDOWS)))
+            if sum(len(k) for k, _ in held) > max(1 << 17, 2 * summed):
+                held = [_summed(held)]
+                summed = len(held[0][0])
+    if held:
+        yield from _summed(held)[1].to_batches(1 << 16)
 
 
 def longest_windows(docs: DataFrame, least: int, bits: int = CELL_BITS) -> DataFrame:
@@ -133,7 +172,8 @@ def longest_windows(docs: DataFrame, least: int, bits: int = CELL_BITS) -> DataF
     A window begins at every word and leads to the four after it; it is padded with nulls where the piece ends, and from where
     it surely occurs fewer than ``least`` times in the language, as no phrase that counts goes on there. Two passes find out where: one counts words
     and pairs of neighbours in cells, the next the longer beginnings of windows that those leave. A word that
-    is itself so rare gives a window of nulls, so the windows of a language are as many as its words.
+    is itself so rare gives a window of nulls, so the windows of a language are as many as its words. A task counts its windows and
+    gives them out in blocks of keys; blocks of all tasks are merged, so each window is one row.
     """
     frame = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().alias("text"))
     share = lambda marks: docs.sparkSession.sparkContext.broadcast(np.packbits(marks))
@@ -158,11 +198,12 @@ def longest_windows(docs: DataFrame, least: int, bits: int = CELL_BITS) -> DataF
                 if len(p.words):
                     tally.add(p, *_windows(p, [first.value, second.value], bits))
                 if len(tally.n) > _HELD:
-                    yield from tally.rows()
+                    yield from tally.blocks()
                     tally = _Tally()
-        yield from tally.rows()
+        yield from tally.blocks()
 
-    return frame.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in _W) + ", n bigint")
+    blocks = frame.mapInArrow(run, _BLOCKS_DDL).repartition("block").sortWithinPartitions("block")
+    return blocks.mapInArrow(_merge_blocks, "lang string, " + ", ".join(f"{w} string" for w in _W) + ", n bigint")
 
 
 def phrase_counts(windows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -193,7 +234,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, bits: int =
     ones at the first place. It is left out if a longer phrase that holds it occurs as often.
 
     Null texts are empty, a null language is ``und``, repeated rows count again, other columns are not read, an empty table gives no
-    rows; ties go by score, count and the phrase's bytes. Counts are exact but for words and windows of one task that share a 64-bit hash.
+    rows; ties go by score, count and the phrase's bytes. Counts are exact but for words and windows that share a 64-bit hash.
     """
     totals, counts = phrase_counts(longest_windows(docs, least, bits), least)
     wanted = counts.where("k >= 2").withColumn("part", F.pmod(F.xxhash64("p"), F.lit(64)))

@@ -92,3 +92,22 @@ def test_cells_never_hide_a_frequent_hash(spark):
             assert marks[cell] or n < least
         assert marks.sum() <= sum(count.values()) / least
     assert not frequent_cells(docs.limit(0), lambda part, texts: kernels.Words(texts).hashes(), 16, 2).any()
+
+
+def test_a_window_is_one_row_whatever_the_tasks(spark):
+    rows = texts(3)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(8)
+    windows = collocations.longest_windows(docs, 12).collect()
+    assert len({tuple(r)[:-1] for r in windows}) == len(windows)
+    n = Counter()
+    for lang, text in rows:
+        n["und" if lang is None else lang] += sum(len(re.findall(r"[^\x20\x09]+", p)) for p in re.split(r"[.,;:!?\x0A-\x0D]", text or ""))
+    assert n == sum((Counter({r.lang: r.n}) for r in windows), Counter())
+
+
+def test_blocks_are_merged_in_steps(monkeypatch):
+    row = lambda b, key, n, at: kernels.rows(collocations._BLOCKS, [b], [key], [n], [["en"]], [[0] * len(n)], [["a", "b"]], [at])
+    none = [-1] * 6
+    given = [row(0, [1, 2], [3, 4], [0, 1, *none, -1, -1]), row(0, [2], [5], [1, -1, -1, -1, -1]), row(9, [7], [1], [0, 1, 0, 1, 0])]
+    got = [tuple(r.values()) for b in collocations._merge_blocks(iter(given)) for r in b.to_pylist()]
+    assert got == [("en", "a", None, None, None, None, 3), ("en", "b", None, None, None, None, 9), ("en", "a", "b", "a", "b", "a", 1)]
