@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,21 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each query that runs within go when it ends, not when the driver happens to collect its garbage.
+
+    For frames that are executed once: what is executed again would have to be computed again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_batches(configure(spark)).read.parquet(f"{sf_dir}/documents.parquet")
 

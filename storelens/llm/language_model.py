@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm import kernels
-from storelens.llm.common import stored, text_or_empty
+from storelens.llm.common import shuffles_dropped, stored, text_or_empty
 from storelens.llm.token_counts import _model
 
 _COUNTS_ARROW = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
@@ -551,6 +551,11 @@ def score(
     null or empty text is just the end; repeated rows stay; rows whose ``learnable`` is null are not learnt from; without learnable rows
     the counts are zero. Other columns are not read.
     """
+    with shuffles_dropped(docs.sparkSession):
+        return _score(docs, learnable, model_file, fit_texts, fit_ids, frequent, add)
+
+
+def _score(docs: DataFrame, learnable: Column, model_file: str, fit_texts: int | None, fit_ids: int | None, frequent: int, add: float) -> DataFrame:
     spark = docs.sparkSession
     with open(model_file, "rb") as f:
         raw = f.read()

@@ -116,3 +116,14 @@ def test_rounds_beat_the_counts_whatever_the_layout(follows, monkeypatch):
     # sixteen tasks, with several learners: the same weights, so the same scores
     many = scores(follows.repartition(16), 4)
     assert [many[i] for i in sorted(many)] == pytest.approx([one[i] for i in sorted(one)], rel=1e-4)
+
+
+def test_shuffle_files_go_with_each_round(spark, follows):
+    """What rounds and counts have shuffled is gone when the scores are handed out."""
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    found = lm.score(follows, F.col("doc_id") % 10 != 0, PATH)
+    assert tracker.shuffleStatuses().size() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert found.count() == 2000
+    assert found.where("score < 0").count() == 2000
