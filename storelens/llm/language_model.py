@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import isqrt
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,52 +19,54 @@ from storelens.llm.token_counts import _model
 
 _COUNTS_ARROW = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
 _CELLS_ARROW = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
-_FITTED_ARROW = pa.schema([("part", pa.int64()), ("pieces", pa.int64()), ("weights", pa.binary())])
+_FITTED = "part bigint, block bigint, pieces bigint, weights binary"
+_FITTED_ARROW = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("pieces", pa.int64()), ("weights", pa.binary())])
 _BUCKETS, _DIMS = 512, 32
-_SCORED = "ref bigint, o bigint, doc_id bigint, n_tokens bigint, known bigint, base double, rest array<bigint>"
+_ROWS = "ref bigint, o bigint, learns boolean, doc_id bigint, n_tokens bigint, known bigint, base double, rest array<struct<h: bigint, times: bigint>>, ids binary"
 
 
 class Subwords:
     """Subword ids of the words of many texts; each distinct word is encoded once while it is remembered."""
 
-    def __init__(self, raw: bytes, most: int = 300_000):
+    def __init__(self, raw: bytes, most: int = 1_000_000):
         self.model, self.most = _model(raw), most
         self.end = len(self.model)
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.starts, self.sizes = [], []
+        # hashes in order, and where in ``pool`` the ids of each are
+        self.seen = np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.filled = np.zeros(1 << 16, np.int32), 0
 
-    def of(self, words: kernels.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct words (their hashes), which one each word is, and their ids' places and number in ``pool``."""
-        unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.place) + len(unique) > self.most:
+    def of(self, words: kernels.Words, unique: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``pool`` and numbers of the ids of distinct words, given by their hashes in order and a place of each."""
+        at = np.searchsorted(self.seen, unique)
+        new = at == len(self.seen)
+        new[~new] = self.seen[at[~new]] != unique[~new]
+        if len(self.seen) and len(self.seen) + new.sum() > self.most:
             self.forget()
-        keys = unique.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.place]
-        if new:
-            data, at, to = words.texts.data, words.starts[first[new]].tolist(), words.ends[first[new]].tolist()
-            ids = self.model.encode([data[a:b].tobytes().decode() for a, b in zip(at, to, strict=True)], num_threads=1)
-            flat = np.array([x for one in ids for x in one], np.int32)
-            while self.filled + len(flat) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.int32)])
-            self.pool[self.filled : self.filled + len(flat)] = flat
-            for i, one in zip(new, ids, strict=True):
-                self.place[keys[i]] = len(self.starts)
-                self.starts.append(self.filled)
-                self.sizes.append(len(one))
-                self.filled += len(one)
-        at = np.array([self.place[h] for h in keys], np.int64)
-        return unique, back, np.array(self.starts, np.int64)[at] if len(at) else at, np.array(self.sizes, np.int64)[at] if len(at) else at
-
-    def sequences(self, words: kernels.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of every text, each closed by the end id, and where each text begins."""
-        _, back, starts, sizes = self.of(words, hashes)
-        n = sizes[back] if len(back) else np.zeros(0, np.int64)
-        per_text = np.zeros(len(words.count), np.int64)
-        np.add.at(per_text, words.owner(), n)
+            return self.of(words, unique, first)
+        if new.any():
+            data, a, b = words.texts.data, words.starts[first[new]].tolist(), words.ends[first[new]].tolist()
+            ids = self.model.encode([data[x:y].tobytes() for x, y in zip(a, b, strict=True)], num_threads=1)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            stop = self.filled + int(sizes.sum())
+            if stop > len(self.pool):
+                self.pool = np.concatenate([self.pool[: self.filled], np.zeros(max(stop, len(self.pool)), np.int32)])
+            self.pool[self.filled : stop] = np.fromiter(chain.from_iterable(ids), np.int32, stop - self.filled)
+            self.seen = np.insert(self.seen, at[new], unique[new])
+            self.starts = np.insert(self.starts, at[new], self.filled + np.cumsum(sizes) - sizes)
+            self.sizes = np.insert(self.sizes, at[new], sizes)
+            self.filled = stop
+            at += np.cumsum(new) - new
+        return self.starts[at], self.sizes[at]
+
+    def sequences(self, words: kernels.Words, unique: np.ndarray, first: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of every text, each closed by the end id, and where each text begins; ``back`` tells which distinct word each is."""
+        starts, sizes = self.of(words, unique, first)
+        n = sizes[back]
+        per_text = np.diff(np.concatenate([[0], np.cumsum(n)])[words.first])
         bounds = np.concatenate([[0], np.cumsum(per_text + 1)])
         out = np.full(bounds[-1], self.end, np.int32)
         inside = np.ones(len(out), bool)
@@ -73,6 +76,43 @@ class Subwords:
         return out, bounds
 
 
+_LOG2E = float(np.log2(np.e))
+#: 2**f for f from -0.5 to 0.5, highest power first; off by 3 in a million at most
+_POWERS = (0.00957009748, 0.0559178666, 0.24024745, 0.693121814, 0.999999261)
+#: exponents within this neither overflow nor underflow in 32 bits, times shares of classes that are not below exp(-50)
+_CALM = 30
+
+
+def _exp2(x: np.ndarray) -> np.ndarray:
+    """2**x in the place of ``x``. Of 32-bit numbers, which have to be within 100 of 0, by a polynomial, in a third of the time."""
+    if x.dtype != np.float32:
+        return np.exp2(x, out=x)
+    whole = np.rint(x)
+    x -= whole
+    out = x * _POWERS[0]
+    for c in _POWERS[1:-1]:
+        out += c
+        out *= x
+    out += _POWERS[-1]
+    bits = whole.astype(np.int32)
+    bits <<= 23
+    np.add(out.view(np.int32), bits, out=out.view(np.int32))
+    return out
+
+
+def _powers(logs: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """exp of scores where ``seen`` (the last and all before) is 1; else 0. Each row may be times a number."""
+    given = logs
+    logs = np.clip(given, -80, np.where(seen, np.inf, 0).astype(given.dtype))
+    if logs.max(initial=0) > 2 * _CALM or np.diagonal(logs, seen.shape[1] - seen.shape[0], 1, 2).min(initial=0) < -2 * _CALM:
+        logs = np.where(seen, given, -np.inf)
+        return np.exp(logs - logs.max(2, keepdims=True))
+    logs *= _LOG2E
+    logs = _exp2(logs)
+    logs *= seen
+    return logs
+
+
 @dataclass(frozen=True)
 class Attention:
     """P(id | before) = P(class of the id | before) P(id | its class, class of the id before).
@@ -92,6 +132,32 @@ class Attention:
     def begin(self) -> int:
         return len(self.embed) - 1
 
+    @cached_property
+    def shares(self) -> np.ndarray:
+        """``direct`` as shares."""
+        return np.exp(self.direct)
+
+    @cached_property
+    def lower(self) -> tuple[np.ndarray, np.ndarray]:
+        """``near`` where a place may look, and where that is."""
+        near = self.weights["near"]
+        seen = np.tri(self.window, dtype=near.dtype)
+        return near * seen, seen
+
+    @cached_property
+    def lowest(self) -> float:
+        return float(self.direct.min())
+
+    def calm(self, out: np.ndarray) -> bool:
+        """Whether shares of classes by the weights ``out`` need no logarithms; the hidden state is within 1."""
+        return self.lowest > -50 and np.abs(out).sum(0).max() < _CALM
+
+    @cached_property
+    def turned(self) -> np.ndarray:
+        """The query, key, value, a 1 and the skipped part of each id."""
+        w = self.weights
+        return np.append(self.embed, np.ones((len(self.embed), 1), self.embed.dtype), 1) @ _side_by_side(w)
+
     def hidden(self, x: np.ndarray, w: dict[str, np.ndarray]) -> tuple:
         """Masked attention over a batch of windows, and what its gradient needs."""
         e = self.embed[x] if w is self.weights else w["embed"][x]
@@ -112,35 +178,66 @@ class Attention:
         z -= np.log(np.exp(z).sum(2, keepdims=True))
         return z
 
-    def text_logs(self, ids: np.ndarray, bounds: np.ndarray, block: int = 512) -> np.ndarray:
+    def text_logs(self, ids: np.ndarray, bounds: np.ndarray, block: int = 256) -> np.ndarray:
         """Natural log probability of every text. Windows overlap by a quarter and each id is scored once."""
-        size, step = self.window, self.window - self.window // 4
-        length = np.diff(bounds)
-        before = np.empty(len(ids), np.int32)
-        before[1:] = ids[:-1]
-        before[bounds[:-1]] = self.begin
+        size, shared = self.window, self.window // 4
+        step, length = size - shared, np.diff(bounds)
+        before = _before(ids, bounds, self.begin) if len(ids) else ids
         n = 1 + np.maximum(0, -(-(length - size) // step))
         who = np.repeat(np.arange(len(length)), n)
         at = kernels.ragged(np.zeros(len(n), np.int64), n) * step
-        shorter = np.argsort(np.minimum(length[who] - at, size), kind="stable")
+        start, width = bounds[who] + at, np.minimum(length[who] - at, size)
         logs = np.zeros(len(ids), np.float32)
-        for row in range(0, len(at), block):
-            some = shorter[row : row + block]
-            width = int(min(size, (length[who[some]] - at[some]).max()))
-            place = at[some][:, None] + np.arange(width)
-            inside = place < length[who[some]][:, None]
-            flat = bounds[who[some]][:, None] + np.minimum(place, length[who[some]][:, None] - 1)
-            # what the window before has scored is only context here
-            scored = inside & ((at[some] == 0)[:, None] | (np.arange(width) >= size - step))
-            target = flat[scored]
-            z = self.hidden(before[flat], self.weights)[-1][scored] @ self.weights["out"]
-            z += self.direct[before[target]]
-            z -= z.max(1, keepdims=True)
-            said = z[np.arange(len(z)), self.class_of[ids[target]]]
-            logs[target] = said - np.log(np.exp(z, out=z).sum(1))
+        # what the window before has scored is only context
+        for rows, context in ((np.flatnonzero(at == 0), 0), (np.flatnonzero(at > 0), shared)):
+            rows = rows[np.argsort(width[rows], kind="stable")]
+            for row in range(0, len(rows), block):
+                some = rows[row : row + block]
+                most = width[some[-1]]
+                place = start[some][:, None] + np.minimum(np.arange(most), width[some][:, None] - 1)
+                h, target = self._state(before[place], context), place[:, context:].ravel()
+                if width[some[0]] < most:
+                    inside = (np.arange(context, most) < width[some][:, None]).ravel()
+                    h, target = h[inside], target[inside]
+                logs[target] = self._chosen(h, before[target], self.class_of[ids[target]])
         logs += self.log_share[self.class_of[before], ids]
         return np.add.reduceat(logs.astype(np.float64), bounds[:-1]) if len(length) else np.zeros(0)
 
+    def _state(self, x: np.ndarray, context: int) -> np.ndarray:
+        """The hidden state after each place of windows of ids but the first ``context``, as ``hidden`` has it."""
+        width, size = self.embed.shape[1], x.shape[1]
+        t = self.turned.take(x, 0)
+        a = t[:, context:, :width] @ t[:, :, width : 2 * width].transpose(0, 2, 1)
+        a += self.lower[0][context:size, :size]
+        a = _powers(a, self.lower[1][context:size, :size])
+        m = a @ t[:, :, 2 * width : 3 * width + 1]
+        h = m[:, :, :width] / m[:, :, width:]
+        h += t[:, context:, 3 * width + 1 :]
+        return np.tanh(h, out=h).reshape(-1, width)
+
+    def _chosen(self, h: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """log P(class y) after the ids x."""
+        if self.calm(self.weights["out"]):
+            p = _exp2(h @ (self.weights["out"] * _LOG2E))
+            p *= self.shares.take(x, 0)
+            return np.log(p.reshape(-1)[np.arange(0, p.size, p.shape[1]) + y] / (p @ np.ones(p.shape[1], p.dtype)))
+        z = h @ self.weights["out"]
+        z += self.direct[x]
+        z -= z.max(1, keepdims=True)
+        said = z[np.arange(len(z)), y]
+        return said - np.log(np.exp(z, out=z).sum(1))
+
+
+def _side_by_side(w: dict[str, np.ndarray]) -> np.ndarray:
+    """What turns an id's vector, followed by a 1, into its query, key, value, that 1 and the skipped part with the shift."""
+    width = len(w["shift"])
+    out = np.zeros((width + 1, 4 * width + 1), w["q"].dtype)
+    for k, name in enumerate(("q", "k", "v")):
+        out[:width, k * width : (k + 1) * width] = w[name]
+    out[width, 3 * width] = 1
+    out[:width, 3 * width + 1 :], out[width, 3 * width + 1 :] = w["skip"], w["shift"]
+    return out
+
 
 def _buckets(id_counts: np.ndarray) -> np.ndarray:
     """The bucket of each id as a neighbour: frequent ids have their own, the others share the last."""
@@ -227,26 +324,42 @@ def _counted(follows: np.ndarray, id_counts: np.ndarray, class_of: np.ndarray, w
 BATCH = 256
 #: ids that a learner has of all, as long as that makes no more learners than LEARNERS; and how often their weights are averaged
 LEARNER_IDS, LEARNERS, ROUNDS = 1 << 22, 4096, 4
+#: weights that are averaged together
+BLOCK = 1 << 12
 
 
 class Fit:
     """Adam on the cross-entropy of the classes over batches of windows, from the weights of ``model``."""
 
     def __init__(self, model: Attention, seed: int):
-        self.w = {k: v.copy() for k, v in model.weights.items()}
-        self.inside = Attention(model.class_of, model.log_share, np.zeros((1, model.embed.shape[1]), np.float32), model.direct, {}, model.window)
-        self.begin, self.rng, self.step, self.pieces = model.begin, np.random.default_rng(seed), 0, 0
-        self.first, self.second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
+        ids, width = model.weights["embed"].shape
+        # an id's vector is followed by a 1, the other weights are one array
+        self.vectors = np.append(model.weights["embed"], np.ones((ids, 1), model.weights["embed"].dtype), 1)
+        self.other = np.concatenate([v.ravel() for k, v in model.weights.items() if k != "embed"])
+        self.first_other, self.second_other = np.zeros_like(self.other), np.zeros_like(self.other)
+        self.w, self.first, self.second = {}, {}, {}
+        at = 0
+        for k, v in model.weights.items():
+            if k == "embed":
+                self.w[k], self.first[k], self.second[k] = self.vectors[:, :width], np.zeros_like(v), np.zeros_like(v)
+                continue
+            for kept, flat in ((self.w, self.other), (self.first, self.first_other), (self.second, self.second_other)):
+                kept[k] = flat[at : at + v.size].reshape(v.shape)
+            at += v.size
+        self.inside, self.begin = model, model.begin
+        self.rng, self.step, self.pieces = np.random.default_rng(seed), 0, 0
+        self.row, self.here = np.zeros(ids, np.int64), np.zeros(ids, bool)
 
     def windows(self, flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids before, classes wanted, and which places are in the text, of windows that have every id once."""
         size, length = self.inside.window, np.diff(bounds)
         n = -(-length // size)
-        who = np.repeat(np.arange(len(length)), n)
-        place = (kernels.ragged(np.zeros(len(n), np.int64), n) * size)[:, None] + np.arange(size)
-        real = place < length[who][:, None]
-        at = bounds[who][:, None] + np.minimum(place, length[who][:, None] - 1)
-        return _before(flat, bounds, self.begin)[at], self.inside.class_of[flat][at], real
+        before, last = _before(flat, bounds, self.begin), np.repeat(bounds[1:] - 1, n)
+        x, y = (np.repeat(v[last], size) for v in (before, self.inside.class_of[flat]))
+        real = np.zeros(len(x), bool)
+        place = np.arange(len(flat)) + np.repeat((np.cumsum(n) - n) * size - bounds[:-1], length)
+        x[place], y[place], real[place] = before, self.inside.class_of[flat], True
+        return x.reshape(-1, size), y.reshape(-1, size), real.reshape(-1, size)
 
     def once(self, x: np.ndarray, y: np.ndarray, ok: np.ndarray, batch: int) -> None:
         """Every window once, in random order."""
@@ -257,37 +370,74 @@ class Fit:
         self.pieces += len(x)
 
     def learn(self, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> None:
-        w, flat = self.w, lambda a: a.reshape(-1, a.shape[-1])
-        e, q, k, v, a, m, h = self.inside.hidden(x, w)
-        p = flat(h) @ w["out"]
-        p += self.inside.direct[x.ravel()]
-        p -= p.max(1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(p)), y.ravel()] -= 1
-        p *= (ok.reshape(-1, 1) / ok.sum()).astype(np.float32)
-        g = {"out": flat(h).T @ p}
-        dm = (p @ w["out"].T).reshape(h.shape) * (1 - h**2)
-        g["shift"], g["skip"] = dm.sum((0, 1)), flat(e).T @ flat(dm)
-        da, dv = dm @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dm
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        g["near"] = np.tril(ds.sum(0))
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        for name, d in (("q", dq), ("k", dk), ("v", dv)):
-            g[name] = flat(e).T @ flat(d)
-        de = flat(dm @ w["skip"].T + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T)
+        w, (count, size), width = self.w, x.shape, self.vectors.shape[1] - 1
+        x, y, turn, seen = x.ravel(), y.ravel(), _side_by_side(w), self.inside.lower[1][:size, :size]
+        e = self.vectors.take(x, 0)
+        t = (e @ turn).reshape(count, size, -1)
+        q, k, v = t[:, :, :width], t[:, :, width : 2 * width], t[:, :, 2 * width : 3 * width + 1]
+        a = q @ k.transpose(0, 2, 1)
+        a += w["near"][:size, :size] * seen
+        a = _powers(a, seen)
+        m = a @ v
+        # the value is followed by a 1, so the sum of a row is beside its mean
+        under = 1 / m[:, :, width:]
+        a *= under
+        m = m[:, :, :width] * under
+        h = m + t[:, :, 3 * width + 1 :]
+        h = np.tanh(h, out=h).reshape(-1, width)
+        p = self._shares(h, x)
+        back, total = p @ w["out"].T, p @ np.ones(p.shape[1], p.dtype)
+        part = (ok.ravel() / ok.sum()).astype(p.dtype)
+        p.reshape(-1)[np.arange(0, p.size, p.shape[1]) + y] -= total
+        scale = (part / total)[:, None]
+        g = {"out": (h * scale).T @ p}
+        d = np.zeros((count, size, 4 * width + 1), p.dtype)
+        dm = back * scale
+        dm -= np.ascontiguousarray(w["out"].T).take(y, 0) * part[:, None]
+        dm *= 1 - h * h
+        dm = dm.reshape(m.shape)
+        # what the mean takes off each weight goes with that 1
+        ds = np.concatenate([dm, -np.einsum("bik,bik->bi", dm, m)[:, :, None]], 2) @ v.transpose(0, 2, 1)
+        ds *= a
+        g["near"] = np.zeros_like(w["near"])
+        g["near"][:size, :size] = ds.sum(0) * seen
+        d[:, :, 3 * width + 1 :] = dm
+        np.matmul(ds, k, out=d[:, :, :width])
+        np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, width : 2 * width])
+        np.matmul(a.transpose(0, 2, 1), dm, out=d[:, :, 2 * width : 3 * width])
+        d = d.reshape(len(x), -1)
+        turned = e.T @ d
+        g["q"], g["k"], g["v"], _, g["skip"] = np.split(turned[:width], [width, 2 * width, 3 * width, 3 * width + 1], 1)
+        g["shift"] = turned[width, 3 * width + 1 :]
         # of the ids' vectors only those in the batch move
-        some, back = np.unique(x, return_inverse=True)
-        g["embed"] = np.stack([np.bincount(back.ravel(), d, len(some)) for d in de.T], 1).astype(np.float32)
+        self.here[x] = True
+        some = np.flatnonzero(self.here)
+        self.here[some], self.row[some] = False, np.arange(len(some)) * width
+        cells = self.row.take(x)[:, None] + np.arange(width)
+        embed = np.bincount(cells.ravel(), (d @ turn[:width].T).ravel(), len(some) * width).reshape(-1, width).astype(d.dtype)
         self.step += 1
-        rate = 0.01 * min(1, self.step / 50) / (1 - 0.9**self.step) * np.sqrt(1 - 0.99**self.step)
-        for name, d in g.items():
-            rows = some if name == "embed" else slice(None)
-            first, second = self.first[name][rows], self.second[name][rows]
-            first += 0.1 * (d - first)
-            second += 0.01 * (d * d - second)
-            self.first[name][rows], self.second[name][rows] = first, second
-            w[name][rows] -= (rate * first / (np.sqrt(second) + 1e-7)).astype(np.float32)
+        rate = 0.01 * min(1, self.step / 50) / (1 - 0.9**self.step) * float(np.sqrt(1 - 0.99**self.step))
+        self._move(self.other, self.first_other, self.second_other, rate, np.concatenate([g[k].ravel() for k in w if k != "embed"]))
+        held = [self.vectors.take(some, 0), self.first["embed"].take(some, 0), self.second["embed"].take(some, 0)]
+        self._move(held[0][:, :width], *held[1:], rate, embed)
+        self.vectors[some], self.first["embed"][some], self.second["embed"][some] = held
+
+    def _move(self, w: np.ndarray, first: np.ndarray, second: np.ndarray, rate: float, d: np.ndarray) -> None:
+        first += 0.1 * (d - first)
+        second += 0.01 * (d * d - second)
+        w -= rate * first / (np.sqrt(second) + 1e-7)
+
+    def _shares(self, h: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Shares of the classes after the ids x, each row times a number."""
+        out = self.w["out"]
+        if self.inside.calm(out):
+            p = _exp2(h @ (out * _LOG2E))
+            p *= self.inside.shares.take(x, 0)
+            return p
+        p = h @ out
+        p += self.inside.direct[x]
+        p -= p.max(1, keepdims=True)
+        return np.exp(p, out=p)
 
     def all(self, sequences: Iterator[tuple[np.ndarray, np.ndarray]], steps: int = 0, batch: int = BATCH) -> None:
         """Every window of the sequences once; again only while that makes fewer than ``steps`` steps."""
@@ -319,29 +469,63 @@ def train(
     return Attention(class_of, model.log_share, fit.w["embed"], model.direct, fit.w, window)
 
 
-def encoded(docs: DataFrame, learnable: Column, model: bytes, every: bool = False) -> DataFrame:
-    """``o, ids``: the ids of every learnable text, closed by the end id, as bytes; ``o`` is a hash of the row.
+def encoded(docs: DataFrame, learnable: Column, model: bytes) -> DataFrame:
+    """``o, ids``: the ids of every learnable text, closed by the end id, as bytes; ``o`` is a hash of the row."""
+    rows = _rows(docs, F.coalesce(learnable, F.lit(False)), model, np.zeros(0, np.uint64), np.zeros(0), 0.0, 0)
+    return rows.where("learns").select("o", "ids")
 
-    With ``every``, of all texts, and ``learns`` tells the learnable ones.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("o", pa.int64()), ("learns", pa.bool_()), ("ids", pa.binary())])
+
+def _rows(docs: DataFrame, learnable: Column, raw: bytes, table: np.ndarray, logs: np.ndarray, end_log: float, end_known: int) -> DataFrame:
+    """The ids of every text, and its base score and known tokens as far as words are in ``table`` (hashes in order); the others are in ``rest``."""
+    shared = docs.sparkSession.sparkContext.broadcast((raw, table, logs))
+    of_rest = pa.struct([("h", pa.int64()), ("times", pa.int64())])
+    schema = pa.schema(
+        [
+            ("ref", pa.int64()), ("o", pa.int64()), ("learns", pa.bool_()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
+            ("base", pa.float64()), ("rest", pa.list_(of_rest)), ("ids", pa.binary()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords = Subwords(shared.value)
+        raw, table, logs = shared.value
+        subwords = Subwords(raw)
         kind = _kind(subwords.end + 1)
+        # a number for each row, kept with the rows once they are written
+        ref = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part, texts in kernels.slices(batch):
-                words = kernels.Words(texts.lowered())
-                flat, bounds = subwords.sequences(words, words.hashes())
+                words_ = kernels.Words(texts.lowered())
+                unique, first, back = np.unique(words_.hashes(), return_index=True, return_inverse=True)
+                owner = words_.owner()
+                if len(table):
+                    at = np.minimum(np.searchsorted(table, unique), len(table) - 1)
+                    in_table = table[at] == unique
+                    known = in_table[back]
+                    base = np.bincount(owner[known], logs[at][back[known]], len(texts))
+                else:
+                    known, base = np.zeros(len(back), bool), np.zeros(len(texts))
+                # the other words of each text, once each
+                cell, times = np.unique(owner[~known] * max(1, len(unique)) + back[~known], return_counts=True)
+                rest = pa.StructArray.from_arrays([pa.array(unique[cell % max(1, len(unique))].view(np.int64)), pa.array(times)], fields=list(of_rest))
+                ends = np.searchsorted(cell, np.arange(len(texts) + 1) * max(1, len(unique)))
+                flat, bounds = subwords.sequences(words_, unique, first, back)
                 flat = flat.astype(kind)
-                lists = [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield kernels.rows(schema, kernels.column(part, "o"), kernels.column(part, "learns"), lists)
+                yield kernels.rows(
+                    schema,
+                    ref + np.arange(len(texts)),
+                    kernels.column(part, "o"),
+                    kernels.column(part, "learns"),
+                    kernels.column(part, "doc_id"),
+                    words_.count + 1,
+                    np.bincount(owner[known], minlength=len(texts)) + end_known,
+                    base + end_log,
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest),
+                    [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
+                )
+                ref += len(texts)
 
-    named = docs.select(_row_hash().alias("o"), F.coalesce(learnable, F.lit(False)).alias("learns"), text_or_empty().alias("text"))
-    if every:
-        return named.mapInArrow(run, "o bigint, learns boolean, ids binary")
-    return named.where("learns").mapInArrow(run, "o bigint, learns boolean, ids binary").drop("learns")
+    named = docs.select(_row_hash().alias("o"), learnable.alias("learns"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return named.mapInArrow(run, _ROWS)
 
 
 def _row_hash() -> Column:
@@ -413,14 +597,14 @@ def _placed(cells: DataFrame, id_counts: np.ndarray, bucket: np.ndarray, space:
     return out
 
 
-def _mean(weights: Iterator[pa.RecordBatch]) -> tuple[int, np.ndarray | None]:
-    total, mean = 0, None
-    for batch in weights:
-        for n, raw in zip(kernels.column(batch, "pieces").to_pylist(), kernels.column(batch, "weights"), strict=True):
-            one = np.frombuffer(raw.as_buffer(), np.float32).astype(np.float64)
-            total += n
-            mean = one if mean is None else mean + (one - mean) * (n / total)
-    return total, mean
+def _mean(block: pa.Table) -> pa.Table:
+    """The mean of what learners have in one block of their weights, by their pieces; in the order of the learners."""
+    block, total, mean = block.sort_by("part"), 0, 0.0
+    for n, raw in zip(block.column("pieces").to_pylist(), block.column("weights"), strict=True):
+        one = np.frombuffer(raw.as_buffer(), np.float32).astype(np.float64)
+        total += n
+        mean = mean + (one - mean) * (n / total)
+    return pa.table([[0], [block.column("block")[0].as_py()], [total], [mean.astype(np.float32).tobytes()]], schema=_FITTED_ARROW)
 
 
 def _fitted(ids: DataFrame, model: Attention, all_ids: int, most: int | None, rounds: int, steps: int, seed: int) -> dict[str, np.ndarray]:
@@ -432,15 +616,9 @@ def _fitted(ids: DataFrame, model: Attention, all_ids: int, most: int | None, ro
     """
     spark = ids.sparkSession
     learners = max(1, min(LEARNERS, -(-all_ids // LEARNER_IDS)))
-    ddl = "part bigint, pieces bigint, weights binary"
     weights = model.weights
     cuts = np.cumsum([v.size for v in weights.values()])[:-1]
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, mean = _mean(batches)
-        if total:
-            yield kernels.rows(_FITTED_ARROW, [0], [total], [mean.astype(np.float32).tobytes()])
-
     for r in range(rounds):
         shared = spark.sparkContext.broadcast(Attention(model.class_of, model.log_share, weights["embed"], model.direct, weights, model.window))
 
@@ -449,13 +627,17 @@ def _fitted(ids: DataFrame, model: Attention, all_ids: int, most: int | None, ro
             fit = Fit(shared.value, seed + r * LEARNERS + part)
             fit.all(_sequences(batches, fit.begin, most), steps)
             if fit.pieces:
-                yield kernels.rows(_FITTED_ARROW, [part], [fit.pieces], [np.concatenate([v.ravel() for v in fit.w.values()]).tobytes()])
+                flat = np.concatenate([v.ravel() for v in fit.w.values()])
+                blocks = [flat[k : k + BLOCK].tobytes() for k in range(0, len(flat), BLOCK)]
+                yield kernels.rows(_FITTED_ARROW, [part] * len(blocks), np.arange(len(blocks)), [fit.pieces] * len(blocks), blocks)
 
         share = ids.where(F.pmod(F.shiftright("o", 20), F.lit(rounds)) == r).select("o", "ids")
-        parts = share.repartition(learners, "o").sortWithinPartitions("o", "ids").select("ids").mapInArrow(run, ddl)
-        merged = parts.repartition(isqrt(learners - 1) + 1, "part").mapInArrow(merge, ddl).toArrow()
-        total, mean = _mean(merged.sort_by("pieces").to_batches())
-        if total:
+        parts = share.repartition(learners, "o").sortWithinPartitions("o", "ids").select("ids").mapInArrow(run, _FITTED)
+        # whatever number of learners and tasks there are, the driver gets each block once
+        merged = parts.groupBy("block").applyInArrow(_mean, _FITTED).toArrow().sort_by("block")
+        shared.destroy()
+        if len(merged):
+            mean = np.frombuffer(b"".join(merged.column("weights").to_pylist()), np.float32)
             weights = {k: x.reshape(v.shape).astype(np.float32) for (k, v), x in zip(weights.items(), np.split(mean, cuts), strict=True)}
     return weights
 
@@ -516,10 +698,10 @@ def _count_rows(kind: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return kernels.rows(_COUNTS_ARROW, np.full(len(h), kind, np.int32), h.view(np.int64), n)
 
 
-def _net_scores(sequences: DataFrame, net: Attention, size: int, block: int = 1 << 20) -> DataFrame:
-    """``o`` and the log10 probability of every sequence."""
-    shared = sequences.sparkSession.sparkContext.broadcast(net)
-    schema = pa.schema([("o", pa.int64()), ("score", pa.float64())])
+def _net_scores(rows: DataFrame, net: Attention, size: int, block: int = 1 << 20) -> DataFrame:
+    """``rows`` with the log10 probability of every sequence in the place of ``ids``, which is their last column."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+    kept = rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = _kind(size)
@@ -531,10 +713,11 @@ def _net_scores(sequences: DataFrame, net: Attention, size: int, block: int = 1
             while row < len(ids):
                 last = max(row + 1, int(np.searchsorted(ends, ends[row] + block, "right")) - 1)
                 logs = shared.value.text_logs(flat[ends[row] : ends[last]].astype(np.int64), ends[row : last + 1] - ends[row])
-                yield kernels.rows(schema, kernels.column(batch, "o").slice(row, last - row), logs / np.log(10))
+                columns = [kernels.column(batch, c).slice(row, last - row) for c in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(logs / np.log(10))], names=[*kept, "score"])
                 row = last
 
-    return sequences.select("o", "ids").mapInArrow(run, "o bigint, score double")
+    return rows.mapInArrow(run, ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept), "score double"]))
 
 
 def score(
@@ -571,54 +754,15 @@ def _score(docs: DataFrame, learnable: Column, model_file: str, fit_texts: int |
     order = np.argsort(h.view(np.uint64))
     h, n = h.view(np.uint64)[order], n[order].astype(np.float64)
     size = len(_model(raw)) + 1
-    sequences = stored(encoded(docs, learnable, raw, every=True), "lm-ids")
-    learnt = sequences.where("learns").select("o", "ids")
+    end_log = float(np.log10(n_texts + add) - below)
+    rows = stored(_rows(docs, learnable, raw, h, np.log10(n + add) - below, end_log, int(n_texts > 0)), "lm-rows")
+    learnt = rows.where("learns").select("o", "ids")
     id_rows = _tallied(learnt, size, size, lambda flat, bounds: flat).toArrow()
     id_counts = np.zeros(size)
     id_counts[id_rows.column("cell").to_numpy()] = id_rows.column("n").to_numpy()
     fitted = learn(learnt, id_counts, fit_texts, fit_ids)
-    # equal rows have one hash, and one score
-    nets = _net_scores(sequences, fitted, size).groupBy("o").agg(F.min("score").alias("score"))
-    shared = spark.sparkContext.broadcast((h, np.log10(n + add) - below))
-    end_log = float(np.log10(n_texts + add) - below)
-    schema = pa.schema(
-        [
-            ("ref", pa.int64()), ("o", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-            ("base", pa.float64()), ("rest", pa.list_(pa.int64())),
-        ]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, logs = shared.value
-        # a number for each row, kept with the rows once they are written
-        ref = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for part, texts in kernels.slices(batch):
-                words_ = kernels.Words(texts.lowered())
-                hashes, owner = words_.hashes(), words_.owner()
-                if len(table):
-                    at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-                    known = table[at] == hashes
-                    base = np.bincount(owner[known], logs[at[known]], len(texts))
-                else:
-                    known, base = np.zeros(len(hashes), bool), np.zeros(len(texts))
-                rest = hashes[~known].view(np.int64)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owner[~known], minlength=len(texts)))])
-                yield kernels.rows(
-                    schema,
-                    ref + np.arange(len(texts)),
-                    kernels.column(part, "o"),
-                    kernels.column(part, "doc_id"),
-                    words_.count + 1,
-                    np.bincount(owner[known], minlength=len(texts)) + (n_texts > 0),
-                    base + end_log,
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest)),
-                )
-                ref += len(texts)
-
-    named = docs.select(_row_hash().alias("o"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    scored = stored(named.mapInArrow(run, _SCORED), "lm-scored")
-    rest = scored.select("ref", F.explode("rest").alias("h")).groupBy("ref", "h").agg(F.count("*").alias("times"))
+    scored = _net_scores(rows.select("ref", "doc_id", "n_tokens", "known", "base", "ids"), fitted, size)
+    rest = rows.select("ref", F.explode("rest").alias("rest")).select("ref", "rest.h", "rest.times")
     # a word that no learnable text has is not in the table of counts
     met = rest.join(words.select("h", "n"), "h", "left").select(
         "ref",
@@ -626,7 +770,7 @@ def _score(docs: DataFrame, learnable: Column, model_file: str, fit_texts: int |
         (F.col("times") * (F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(add)) - F.lit(below))).alias("base"),
     )
     per_row = met.groupBy("ref").agg(F.sum("known").alias("known_rest"), F.sum("base").alias("base_rest"))
-    return scored.drop("rest").join(per_row, "ref", "left").join(nets, "o").select(
+    return scored.join(per_row, "ref", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("known_rest", F.lit(0))).alias("n_known"),

@@ -127,3 +127,93 @@ def test_shuffle_files_go_with_each_round(spark, follows):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert found.count() == 2000
     assert found.where("score < 0").count() == 2000
+
+
+def test_driver_gets_weights_once_whatever_the_learners(spark, follows, monkeypatch):
+    """What comes to the driver after a round is one set of weights, not some of the learners'."""
+    monkeypatch.setattr(lm, "LEARNER_IDS", 1 << 12)
+    sent, collect = [], type(follows).toArrow
+
+    def counted(df):
+        found = collect(df)
+        if "weights" in found.column_names:
+            sent.append((found.nbytes, found.num_rows))
+        return found
+
+    monkeypatch.setattr(type(follows), "toArrow", counted)
+    lm.score(follows, F.col("doc_id") % 10 != 0, PATH)
+    whole = 4 * (32_002 * 8 + 4 * 64 + 16 * 16 + 8 + 8 * 64)
+    assert len(sent) == lm.ROUNDS
+    assert max(n for n, _ in sent) < 1.1 * whole
+
+
+def single(seed=1, scale=1.0):
+    """``small`` in 32 bits, as models are fitted."""
+    model = small(seed)
+    w = {k: (v * (scale if k in ("q", "out") else 1)).astype(np.float32) for k, v in model.weights.items()}
+    return lm.Attention(model.class_of, model.log_share, w["embed"], model.direct.astype(np.float32), w, model.window)
+
+
+@pytest.mark.parametrize("scale", [1, 5, 400])
+def test_scores_in_32_bits_by_loops(scale):
+    """Also where scores are too far from 0 for powers without their highest."""
+    model, rng = single(2, scale), np.random.default_rng(3)
+    w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    for length in (1, 5, 6, 30):
+        ids = rng.integers(0, 12, length)
+        before = np.append(12, ids[:-1])
+        total, scored, at = 0.0, 0, 0
+        while scored < length:
+            logs = naive(model, before[at : at + 5], w)
+            for i in range(scored - at, len(logs)):
+                total += logs[i, model.class_of[ids[at + i]]] + model.log_share[model.class_of[before[at + i]], ids[at + i]]
+                scored += 1
+            at += 4
+        assert model.text_logs(ids, np.array([0, length]))[0] == pytest.approx(total, rel=3e-5)
+
+
+@pytest.mark.parametrize("scale", [1, 400])
+def test_a_step_in_32_bits_goes_as_in_64(scale):
+    x, y = np.array([[12, 3, 7, 7, 1], [0, 5, 11, 2, 9]]), np.array([[1, 0, 3, 2, 2], [3, 1, 0, 0, 1]])
+    ok = np.ones((2, 5), bool)
+    ok[1, 3:] = False
+    first = []
+    for model in (single(1, scale), lm.Attention(*(lambda m: (m.class_of, m.log_share, m.embed.astype(float), m.direct.astype(float), {k: v.astype(float) for k, v in m.weights.items()}, m.window))(single(1, scale)))):
+        fit = lm.Fit(model, 1)
+        fit.learn(x, y, ok)
+        first.append({k: v.copy() for k, v in fit.first.items()})
+    for k, v in first[1].items():
+        assert first[0][k] == pytest.approx(v, rel=1e-4, abs=2e-6 * max(1, scale / 10)), k
+
+
+def test_classes_take_no_exponential_each(monkeypatch):
+    """numpy's exp takes 2.6 ns a number without vector units of Intel's, which was most of the time of fitting and scoring."""
+    model, taken, plain = single(), [], np.exp
+    model.shares  # noqa: B018
+    monkeypatch.setattr(np, "exp", lambda a, *rest, **named: taken.append(np.size(a)) or plain(a, *rest, **named))
+    ids = np.arange(1000) % 12
+    model.text_logs(ids, np.array([0, 1000]))
+    fit = lm.Fit(model, 1)
+    fit.all(iter([(ids, np.array([0, 1000]))]))
+    assert sum(taken) == 0
+
+
+def test_powers_of_two():
+    x = np.random.default_rng(4).uniform(-90, 90, 10_000).astype(np.float32)
+    assert lm._exp2(x.copy()) == pytest.approx(np.exp2(x.astype(float)), rel=4e-6)
+
+
+def test_remembered_words_keep_their_ids():
+    """Also when they are forgotten in between, and when a batch has more than is remembered."""
+    from storelens.llm import kernels
+
+    with open(PATH, "rb") as f:
+        raw = f.read()
+    rng, few, model = np.random.default_rng(6), lm.Subwords(raw, 20), lm._model(raw)
+    for _ in range(6):
+        texts = [" ".join(f"w{n}" for n in rng.integers(0, 30, rng.integers(0, 40))) for _ in range(5)]
+        data = [t.encode() for t in texts]
+        words = kernels.Words(kernels.Texts(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])))
+        flat, bounds = few.sequences(words, *np.unique(words.hashes(), return_index=True, return_inverse=True))
+        for t, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+            assert flat[a:b].tolist() == [*(i for w in t.split() for i in model.encode(w)), few.end]
