@@ -1,6 +1,8 @@
 import hashlib
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -183,6 +185,41 @@ def test_fuzzy_join_over_several_blocks_sends_no_table_to_the_driver(frame):
     assert {(r[0], r[1]): pytest.approx(r[2]) for r in joined.collect()} == expected and joined.count() == len(expected)
 
 
+def test_fuzzy_join_stores_values_and_no_pairs(frame, monkeypatch):
+    kept = []
+    monkeypatch.setattr(text, "_kept", lambda df, label, write=text._kept: kept.append(write(df, label)) or kept[-1])
+    left = [f"casa {i} mesa" for i in range(150)]
+    right = [f"casa {i} mesa" for i in range(100, 200)]
+    joined = text.fuzzy_join(frame([(v,) for v in left], "v string"), frame([(v,) for v in right], "v string"), "v", "v", 0.3, gram_block=40)
+    expected = {(a, b): py_sim(a, b) for a in left for b in right if py_sim(a, b) >= 0.3}
+    assert {(r[0], r[1]): pytest.approx(r[2]) for r in joined.collect()} == expected and joined.count() == len(expected) == 15_000
+    assert sum(df.count() for df in kept) <= 200
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert -1 < plan.find("CartesianProduct") < plan.find("Exchange")
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.45, 1.0])
+@pytest.mark.parametrize("vocabulary", [12, 60, 3000])
+def test_blocks_of_sets_give_all_near_pairs(threshold, vocabulary):
+    rng = np.random.default_rng(5)
+    draw = lambda n: [sorted({*rng.integers(0, vocabulary, rng.integers(1, 12)).tolist(), *([7, 8] if rng.random() < 0.5 else [])}) for _ in range(n)]
+    sides = draw(90), draw(70) + [[10**15], list(range(vocabulary))]
+    blocks = [text._block(pa.table({"value": [str(i) for i in range(len(s))], "grams": pa.array(s, pa.list_(pa.int64()))})) for s in sides]
+    l, r = ([np.frombuffer(b[c][0].as_buffer(), kind) for c, kind in text._ARRAYS] for b in blocks)
+    got = {(int(i), int(j)): s for part in text._near(l, r, threshold) for i, j, s in zip(*part, strict=True)}
+    scores = {(i, j): len({*a} & {*b}) / len({*a} | {*b}) for i, a in enumerate(sides[0]) for j, b in enumerate(sides[1])}
+    assert got == {k: v for k, v in scores.items() if v >= threshold}
+
+
+def test_sets_are_packed_whole_and_in_order():
+    sets = [[i, i + 1] for i in range(25)] + [list(range(text.BLOCK_GRAMS + 1))] + [[i] for i in range(6)]
+    table = pa.table({"value": [str(i) for i in range(len(sets))], "grams": pa.array(sets, pa.list_(pa.int64()))})
+    blocks = [*text._packed(10)(iter(table.to_batches(max_chunksize=7)))]
+    assert [v for b in blocks for v in b["values"][0].as_py()] == [str(i) for i in range(len(sets))]
+    assert [len(b["values"][0]) for b in blocks] == [10, 10, 5, 1, 6]
+    assert [(b["least"][0].as_py(), b["most"][0].as_py()) for b in blocks[2:]] == [(2, 2), (text.BLOCK_GRAMS + 1,) * 2, (1, 1)]
+
+
 def test_keyword_search_scores_and_stop_words(frame):
     df = frame(
         [(1, "Muito bom produto", "bom bom"), (2, "ruim", None), (3, None, "bomba"), (4, "", "")],
