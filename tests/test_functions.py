@@ -211,6 +211,14 @@ def test_blocks_of_sets_give_all_near_pairs(threshold, vocabulary):
     assert got == {k: v for k, v in scores.items() if v >= threshold}
 
 
+@pytest.mark.parametrize("share", [0.03, 0.3])
+def test_shared_grams_are_counted_in_several_steps(share):
+    l, r = (np.random.default_rng(seed).random((900, 2600)) < share for seed in (1, 2))
+    l[:, 7], r[:, 7] = True, True
+    sides = [(np.nonzero(m.T)[1], np.nonzero(m.T)[0], len(m)) for m in (l, r)]
+    assert (text._shared(*sides, 2600) == l.astype(np.float32) @ r.T.astype(np.float32)).all()
+
+
 def test_sets_are_packed_whole_and_in_order():
     sets = [[i, i + 1] for i in range(25)] + [list(range(text.BLOCK_GRAMS + 1))] + [[i] for i in range(6)]
     table = pa.table({"value": [str(i) for i in range(len(sets))], "grams": pa.array(sets, pa.list_(pa.int64()))})
